@@ -141,7 +141,7 @@ def over(rows: int | str | None = None, key: str = "symbol", order: str = "ts")
 def roll(agg: str, column: str, rows: int, key: str = "symbol", order: str = "ts") -> str:
     """SQL text of an aggregate over a full frame of ``rows`` values."""
     w = over(rows, key, order)
-    return f"CASE WHEN count({column}) {w} = {rows} THEN {agg}({column}) {w} END"
+    return f"(CASE WHEN count({column}) {w} = {rows} THEN {agg}({column}) {w} END)"
 
 
 def ewm_sql(name: str, source: str, outputs: dict[str, tuple[str, float]], keep: Iterable[str] = ("ts",)) -> str:

@@ -162,20 +162,27 @@ CHARTS = ("head_and_shoulders", "double_top", "triple_bottom", "bullish_wedge",
 CANDLES = ("doji", "engulfing", "hammer", "morning_star", "evening_star", "dark_cloud_cover")
 
 
-@query("w11_chart_patterns", f"WITH {BARS_SQL}, {LAGS_SQL} SELECT symbol, ts, {CHART_SQL} FROM lg")
+def as_numbers(df, flags):
+    """Flags as 1, 0 or NULL, so that NULL compares alike everywhere."""
+    return tidy(df.select(*OUT, *[F.col(c).cast("double") for c in flags]))
+
+
+@query("w11_chart_patterns", f"""WITH {BARS_SQL}, {LAGS_SQL}, p AS (SELECT symbol, ts, {CHART_SQL} FROM lg)
+  SELECT symbol, ts, {r(*CHARTS)} FROM p""")
 def w11_chart_patterns(spark, sf):
-    return tidy(patterns.chart_patterns(bars(spark, sf), BARS), *OUT, *CHARTS)
+    return as_numbers(patterns.chart_patterns(bars(spark, sf), BARS), CHARTS)
 
 
-@query("w12_candlestick_patterns", f"""WITH {BARS_SQL}, {LAGS_SQL} SELECT symbol, ts,
+@query("w12_candlestick_patterns", f"""WITH {BARS_SQL}, {LAGS_SQL}, p AS (SELECT symbol, ts,
   abs(open - close) <= 0.1 * (high - low) AS doji,
   open < close1 AND close1 < open1 AND open1 < close AS engulfing,
   close > open AND low < open AND close - open >= 2 * (open - low) AS hammer,
   close2 < open2 AND close1 < open1 AND close > open AND open > (open2 + close2) / 2 AS morning_star,
   close2 > open2 AND close1 > open1 AND close < open AND open < (open2 + close2) / 2 AS evening_star,
-  close1 > open1 AND open > high1 AND close < open1 AND close > (open1 + close1) / 2 AS dark_cloud_cover FROM lg""")
+  close1 > open1 AND open > high1 AND close < open1 AND close > (open1 + close1) / 2 AS dark_cloud_cover FROM lg)
+  SELECT symbol, ts, {r(*CANDLES)} FROM p""")
 def w12_candlestick_patterns(spark, sf):
-    return tidy(patterns.candlestick_patterns(bars(spark, sf), BARS), *OUT, *CANDLES)
+    return as_numbers(patterns.candlestick_patterns(bars(spark, sf), BARS), CANDLES)
 
 
 @query("o1_latest", f"""WITH {BARS_SQL}, {LAGS_SQL}, p AS (SELECT symbol, ts, {CHART_SQL} FROM lg)
