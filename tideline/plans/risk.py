@@ -210,7 +210,7 @@ def b1_trades(spark, sf):
 
 
 def performance_sql(source: str, key: str = "symbol") -> str:
-    return f"""p1 AS (SELECT *, CASE WHEN held = 0 AND was = 0 THEN total * 0 ELSE total / lag(total) {over(key=key)} - 1 END AS ret, max(total) {over('all', key=key)} AS top
+    return f"""p1 AS (SELECT *, CASE WHEN held = 0 AND was = 0 AND pb IS NOT NULL THEN total * 0 ELSE total / lag(total) {over(key=key)} - 1 END AS ret, max(total) {over('all', key=key)} AS top
        FROM {source}),
 p2 AS (SELECT {key}, count(*) AS n_rows, last(total ORDER BY ts) / first(total ORDER BY ts) - 1 AS cumulative_return,
    stddev_samp(ret) * sqrt(252) AS annualized_volatility, stddev_samp(ret) FILTER (ret < 0) * sqrt(252) AS downside,
@@ -229,11 +229,11 @@ PERFORMANCE = ("annualized_return", "annualized_volatility", "sharpe_ratio", "so
 
 
 @query("r13_strategy_metrics", f"""WITH {BARS_SQL}, {LEDGER_SQL}, {performance_sql('ledger')}
-  SELECT symbol, n_rows, n_trades, {r(*PERFORMANCE, 'ln(1 + cumulative_return) AS log_growth')} FROM perf""")
+  SELECT symbol, n_rows, n_trades, {r(*PERFORMANCE)}, {r('cumulative_return', digits=2)} FROM perf""")
 def r13_strategy_metrics(spark, sf):
     out = strategy.strategy_metrics(strategy.equity_ledger(_signals(spark, sf), BARS), BARS)
-    out = out.withColumn("log_growth", F.log1p("cumulative_return"))
-    return tidy(out, "symbol", "n_rows", "n_trades", *PERFORMANCE, "log_growth")
+    out = out.withColumn("cumulative_return", F.round("cumulative_return", 2))
+    return tidy(out, "symbol", "n_rows", "n_trades", *PERFORMANCE, "cumulative_return")
 
 
 @query("a16_regression_metrics", f"""WITH {BARS_SQL}, {LEDGER_SQL}, {performance_sql('ledger')}
