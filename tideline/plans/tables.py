@@ -238,13 +238,13 @@ def p8_drop_incomplete(spark, sf):
 
 
 @query("p9_wallet_profitability", f"""WITH {TRANSFERS_SQL}, p AS (SELECT *, transactionVolume - walletActivity - fees AS profitability,
-   close / 100 - 15 AS price_change, date_trunc('week', ts) AS wk FROM transfers),
+   close / 97 - 15 AS price_change, date_trunc('week', ts) AS wk FROM transfers),
   w AS (SELECT *, profitability / walletActivity * 100 AS pct, profitability + price_change AS adj,
     sum(profitability) OVER (PARTITION BY network, wk) AS weekly FROM p)
   SELECT tx_id, wallet_id, {r('profitability', 'pct AS profitability_percentage', 'weekly AS weekly_profitability',
      'adj AS adjusted_profitability')} FROM w WHERE adj > 0 AND pct > 10""")
 def p9_wallet_profitability(spark, sf):
-    t = transfers(spark, sf).withColumn("price_change", F.col("close") / 100 - 15)
+    t = transfers(spark, sf).withColumn("price_change", F.col("close") / 97 - 15)
     return tidy(onchain.wallet_profitability(t), "tx_id", "wallet_id", "profitability", "profitability_percentage",
                 "weekly_profitability", "adjusted_profitability")
 
