@@ -69,15 +69,15 @@ def extract_keywords(df: DataFrame, text: str, custom: Sequence[str] = (), repla
 def match_entities(df: DataFrame, key: str, text: str, gazetteer: DataFrame, longest: int = 3) -> DataFrame:
     """T5: (key, position, phrase, label) for every phrase of 1..``longest`` words listed in a gazetteer table."""
     tokens = df.select(key, tx.words(text).alias("_t")).where(F.size("_t") > 0)
-
-    def gram(n: int):
-        # element access only: slicing inside the lambda would copy the whole text for every word
-        return lambda i: F.struct((i + 1).alias("position"), F.when(i + n <= F.size("_t"), F.concat_ws(
-            " ", *[F.get("_t", i + k) for k in range(n)])).alias("phrase"))
-
-    starts = F.sequence(F.lit(0), F.size("_t") - 1)
-    grams = F.concat(*[F.transform(starts, gram(n)) for n in range(1, longest + 1)])
-    spans = tokens.select(key, F.inline(grams)).where(F.col("phrase").isNotNull())
+    # every word next to its followers: shifted copies of the text, zipped once per row
+    shifted = [F.col("_t"), *[F.slice("_t", n, F.greatest(F.size("_t") - (n - 1), F.lit(0))) for n in range(2, longest + 1)]]
+    zipped = tokens.select(key, F.posexplode(F.arrays_zip(*shifted)).alias("_at", "_w"))
+    grams, known = [], F.lit(True)
+    for n in range(1, longest + 1):
+        parts = [F.col("_w").getField(str(k) if k else "_t") for k in range(n)]
+        known = known & parts[-1].isNotNull()
+        grams.append(F.when(known, F.concat_ws(" ", *parts)))
+    spans = zipped.select(key, (F.col("_at") + 1).alias("position"), F.explode(F.array_compact(F.array(*grams))).alias("phrase"))
     return spans.join(broadcast_if_small(gazetteer.select("phrase", "label")), "phrase").select(
         key, "position", "phrase", "label")
 
