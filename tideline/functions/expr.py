@@ -24,11 +24,14 @@ def label(*cases: tuple[Column, str], default: str) -> Column:
 
 
 def safe_corr(x: Column | str, y: Column | str) -> Column:
-    """Pairwise-complete Pearson correlation, NULL when either side is constant."""
+    """Pairwise-complete Pearson correlation, NULL when either side is constant.
+
+    Built from covariance and deviations: ``corr`` raises on a constant side even behind a condition, because
+    aggregates are finished before the condition is looked at.
+    """
     x, y = col(x), col(y)
-    both = x.isNotNull() & y.isNotNull()
-    varies = (F.stddev_pop(F.when(both, x)) > 0) & (F.stddev_pop(F.when(both, y)) > 0)
-    return F.when(varies, F.corr(x, y))
+    x, y = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
 
 
 def hash_uniform(*parts: Column | str) -> Column:

@@ -206,8 +206,8 @@ def mining_trend(df: DataFrame, key: str = "network", value: str = "hashrate", t
     known = df.where(F.col(value).isNotNull()).select(key, F.col(value).alias("_y"), day.alias("_x"))
     out = known.groupBy(key).agg(
         F.count("_y").alias("n_points"),
-        F.when(F.stddev_pop("_x") > 0, F.regr_slope("_y", "_x")).alias("slope"),
-        F.when((F.stddev_pop("_x") > 0) & (F.stddev_pop("_y") > 0), F.regr_r2("_y", "_x")).alias("r_squared"))
+        ratio(F.covar_pop("_x", "_y"), F.var_pop("_x")).alias("slope"),
+        F.pow(safe_corr("_x", "_y"), 2).alias("r_squared"))
 
     @F.pandas_udf("double")
     def p_value(r2: pd.Series, n: pd.Series) -> pd.Series:

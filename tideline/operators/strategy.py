@@ -20,9 +20,9 @@ def signal_shift(df: DataFrame, spec: SeriesSpec, signal: str = "signal") -> Dat
 
 
 def crossing_signal(spec: SeriesSpec, price: str, short: int, long: int) -> Column:
-    """+1 while the short mean is above the long one, -1 while below, else 0."""
+    """+1 while the short mean is above the long one, -1 while below, else 0 (also when they differ by rounding only)."""
     gap = rolling(spec, price, short, F.avg) - rolling(spec, price, long, F.avg)
-    return F.coalesce(F.signum(gap), F.lit(0.0))
+    return F.coalesce(F.signum(F.round(gap, 9)), F.lit(0.0))
 
 
 def equity_ledger(df: DataFrame, spec: SeriesSpec, price: str = "price", signal: str = "signal",

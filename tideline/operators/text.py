@@ -67,19 +67,23 @@ def extract_keywords(df: DataFrame, text: str, custom: Sequence[str] = (), repla
 
 
 def match_entities(df: DataFrame, key: str, text: str, gazetteer: DataFrame, longest: int = 3) -> DataFrame:
-    """T5: (key, position, phrase, label) for every phrase of 1..``longest`` words listed in a gazetteer table."""
-    tokens = df.select(key, tx.words(text).alias("_t")).where(F.size("_t") > 0)
-    # every word next to its followers: shifted copies of the text, zipped once per row
-    shifted = [F.col("_t"), *[F.slice("_t", n, F.greatest(F.size("_t") - (n - 1), F.lit(0))) for n in range(2, longest + 1)]]
-    zipped = tokens.select(key, F.posexplode(F.arrays_zip(*shifted)).alias("_at", "_w"))
-    grams, known = [], F.lit(True)
-    for n in range(1, longest + 1):
-        parts = [F.col("_w").getField(str(k) if k else "_t") for k in range(n)]
-        known = known & parts[-1].isNotNull()
-        grams.append(F.when(known, F.concat_ws(" ", *parts)))
-    spans = zipped.select(key, (F.col("_at") + 1).alias("position"), F.explode(F.array_compact(F.array(*grams))).alias("phrase"))
-    return spans.join(broadcast_if_small(gazetteer.select("phrase", "label")), "phrase").select(
-        key, "position", "phrase", "label")
+    """T5: (key, position, phrase, label) for every phrase of 1..``longest`` words listed in a gazetteer table.
+
+    Every word is unrolled together with its followers (shifted copies of the text, zipped once per row) and joined to
+    the phrases that start with it; the join condition compares the other words, so no phrase is ever built.
+    """
+    tokens = df.select(key, tx.words(text).alias("w0")).where(F.size("w0") > 0)
+    shifted = [F.col("w0"), *[F.slice("w0", n + 1, F.greatest(F.size("w0") - n, F.lit(0))) for n in range(1, longest)]]
+    tokens = tokens.select(key, *[c.alias(f"w{n}") for n, c in enumerate(shifted)])
+    zipped = F.arrays_zip(*[f"w{n}" for n in range(longest)])
+    spans = tokens.select(key, F.posexplode(zipped).alias("_at", "_w")).select(key, (F.col("_at") + 1).alias("position"), "_w.*")
+    words = F.split("phrase", " ")
+    listed = gazetteer.select("phrase", "label", F.size(words).alias("_n"),
+                              *[F.get(words, n).alias(f"g{n}") for n in range(longest)]).where(F.col("_n") <= longest)
+    same = F.col("w0") == F.col("g0")
+    for n in range(1, longest):
+        same = same & ((F.col("_n") <= n) | (F.col(f"w{n}") == F.col(f"g{n}")))
+    return spans.join(broadcast_if_small(listed), same).select(key, "position", "phrase", "label")
 
 
 def entity_sets(mentions: DataFrame, key: str, entity: str = "phrase") -> DataFrame:

@@ -12,7 +12,7 @@ from tideline.plans.inputs import BARS, BARS_SQL, BENCHMARK_SQL, bars, benchmark
 from tideline.plans.registry import query
 from tideline.plans.risk import COLUMNS, RISK_SQL
 from tideline.sources import payloads, scans
-from tideline.staging import staging_root
+from tideline.staging import stage, staging_root
 
 
 def scratch(spark, name: str) -> str:
@@ -89,7 +89,7 @@ TEMPLATES = {
 
 
 def raw_quotes(spark, sf):
-    """events as quote messages of every source in turn; the last source is one nobody knows."""
+    """events as landed quote messages of every source in turn; the last source is one nobody knows."""
     names = F.array(*[F.lit(n) for n in TEMPLATES])
     t = ticks(spark, sf).withColumn("source", F.get(names, (F.col("event_id") % len(TEMPLATES)).cast("int")))
     price = F.col("price")
@@ -97,7 +97,7 @@ def raw_quotes(spark, sf):
     payload = F.lit(None).cast("string")
     for name, template in TEMPLATES.items():
         payload = F.when(F.col("source") == name, F.format_string(template, *values)).otherwise(payload)
-    return t.select("event_id", "ts", "source", payload.alias("payload"))
+    return stage(t.select("event_id", "ts", "source", payload.alias("payload")), "landed")
 
 
 QUOTES_SQL = TICKS_SQL + f""", q AS (SELECT event_id, {list(TEMPLATES)!r}[event_id % {len(TEMPLATES)} + 1] AS source,

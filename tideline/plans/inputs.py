@@ -22,6 +22,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents, spread over the cores when the file is a single split (a large table has splits enough)."""
+    docs = table(spark, sf_dir, "documents")
+    cores = spark.sparkContext.defaultParallelism
+    return docs.repartition(cores) if docs.rdd.getNumPartitions() < min(cores, 8) else docs
+
+
 def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events as price ticks: the symbol is the event type, the size comes out of the JSON properties."""
     return table(spark, sf_dir, "events").select(

@@ -133,9 +133,9 @@ def st7_alert_stream(spark, sf):
     return tidy(replay(spark, calls, build, "ts"))
 
 
-@query("st8_telemetry_stream", f"WITH {TELEMETRY_SQL} SELECT source, window_start, n_calls, n_errors, n_fallbacks, {r('avg_response_time', 'success_rate')} FROM hourly")
+@query("st8_telemetry_stream", f"WITH {TELEMETRY_SQL} SELECT source, window_start, n_calls, n_errors, n_fallbacks, {r('avg_response_time', 'success_rate', digits=8)} FROM hourly")
 def st8_telemetry_stream(spark, sf):
-    return tidy(replay(spark, zoned(telemetry(spark, sf), "ts"), lambda s: streams.telemetry_stream(s, watermark=LATE), "ts"))
+    return tidy(replay(spark, zoned(telemetry(spark, sf), "ts"), lambda s: streams.telemetry_stream(s, watermark=LATE), "ts"), digits=8)
 
 
 @query("st9_asof_stream", f"""WITH {MARKET_SQL}

@@ -51,7 +51,7 @@ for _number, _metric in enumerate(risk.METRICS, start=1):
 
 
 @query("r12_risk_metrics_ticks", f"""WITH {TICKS_SQL},
-  x AS (SELECT *, price / lag(price) {over(order='ts, event_id')} - 1 AS r FROM ticks),
+  x AS (SELECT *, price / nullif(lag(price) {over(order='ts, event_id')}, 0) - 1 AS r FROM ticks),
   rt AS (SELECT *, price / max(CASE WHEN r IS NOT NULL THEN price END) {over('all', order='ts, event_id')} - 1 AS dd FROM x),
   q AS (SELECT symbol, quantile_cont(r, 1 - 0.95) AS var FROM rt GROUP BY symbol)
   SELECT symbol, {r('any_value(var) AS var', 'avg(r) FILTER (r <= var) AS cvar', 'min(dd) AS max_drawdown',
@@ -181,7 +181,7 @@ def ledger_sql(source: str, name: str, key: str = "symbol", cost: str = "0.001")
 
 
 SIGNALS_SQL = f"""s0 AS (SELECT symbol, ts, close AS price,
-   coalesce(sign(({roll('avg', 'close', 5)}) - ({roll('avg', 'close', 20)})), 0) AS signal FROM bars),
+   coalesce(sign(round({roll('avg', 'close', 5)} - {roll('avg', 'close', 20)}, 9)), 0) AS signal FROM bars),
 signals AS (SELECT symbol, ts, price, lag(signal) {over()} AS signal FROM s0)"""
 LEDGER_SQL = f"{SIGNALS_SQL}, {ledger_sql('signals', 'ledger')}"
 
@@ -255,7 +255,7 @@ _TRIAL_SQL = " UNION ALL ".join(
     f"""SELECT symbol, '{t.name}' AS trial, CAST({t.cost} AS DOUBLE) AS cost, ts, price, lag(s{t.look_back}) {over()} AS signal FROM sg"""
     for t in TRIALS)
 _SWEEP_SQL = f"""sg AS (SELECT symbol, ts, close AS price, """ + ", ".join(
-    f"coalesce(sign(({roll('avg', 'close', 5)}) - ({roll('avg', 'close', n)})), 0) AS s{n}" for n in (10, 20, 50, 100)
+    f"coalesce(sign(round({roll('avg', 'close', 5)} - {roll('avg', 'close', n)}, 9)), 0) AS s{n}" for n in (10, 20, 50, 100)
 ) + f""" FROM bars), tr AS ({_TRIAL_SQL}),
 {ledger_sql('tr', 'ledger', 'symbol, trial', 'cost')}, {performance_sql('ledger', 'symbol, trial')}"""
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tideline.functions import text as tx
 from tideline.operators import features, graph, text
-from tideline.plans.inputs import BARS_SQL, TICKS, TICKS_SQL, bars, over, r, roll, table, ticks, tidy
+from tideline.plans.inputs import BARS_SQL, TICKS_SQL, bars, documents, over, r, roll, table, ticks, tidy
 from tideline.plans.registry import query
 from tideline.series import over_chunks
 
@@ -17,7 +17,7 @@ WORD = r"[\p{L}\p{N}_]+"
   b AS (SELECT doc_id, trim(lower(array_to_string(list_transform(string_split(t, ' '), lambda w: CASE WHEN length(w) IN (1, 2) THEN '' ELSE w END), ' ')), ' ') AS c FROM a)
   SELECT doc_id, md5(c) AS cleaned_md5, CAST(length(c) AS INTEGER) AS n_chars FROM b""")
 def t1_clean_text(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", tx.clean_text("text").alias("cleaned"))
+    docs = documents(spark, sf).select("doc_id", tx.clean_text("text").alias("cleaned"))
     return docs.select("doc_id", F.md5("cleaned").alias("cleaned_md5"), F.length("cleaned").alias("n_chars"))
 
 
@@ -44,7 +44,7 @@ NEGATORS = ("not", "in", "no")
 
 
 def document_sentiment(spark, sf):
-    return text.lexicon_sentiment(table(spark, sf, "documents"), "doc_id", "text", lexicon(spark, sf), NEGATORS)
+    return text.lexicon_sentiment(documents(spark, sf), "doc_id", "text", lexicon(spark, sf), NEGATORS)
 
 
 @query("t2_lexicon_sentiment", f"WITH {LEXICON_SQL}, {sentiment_sql('documents', 'doc_id')} SELECT doc_id, n_hits, {r('sentiment')} FROM sent")
@@ -61,7 +61,7 @@ _SCORES = "quality * 2 - 1 AS a, 1 - toxic * 2 AS b, (n_chars % 200) / 100.0 - 1
      '1 - (greatest(a, b, c) - least(a, b, c)) AS confidence_range')} FROM m""")
 def t3_ensemble_score(spark, sf):
     """Three model scores per labelled document: quality, absence of toxicity, and one from its length."""
-    s = table(spark, sf, "labels").join(table(spark, sf, "documents").select("doc_id", "n_chars"), "doc_id")
+    s = table(spark, sf, "labels").join(documents(spark, sf).select("doc_id", "n_chars"), "doc_id")
     s = s.select("doc_id", (F.col("quality") * 2 - 1).cast("double").alias("a"), (1 - F.col("toxic") * 2).cast("double").alias("b"),
                  ((F.col("n_chars") % 200) / 100 - 1).alias("c"))
     return tidy(s.select("doc_id", tx.ensemble_score({"a": 1.0, "b": 1.0, "c": 2.0}).alias("score"),
@@ -81,7 +81,7 @@ def keywords_sql(source: str, keys: str) -> str:
 @query("t4_keywords", f"""WITH k AS ({keywords_sql('documents', 'doc_id')})
   SELECT doc_id, CAST(len(kw) AS INTEGER) AS n_keywords, md5(array_to_string(kw, ' ')) AS keywords_md5 FROM k""")
 def t4_keywords(spark, sf):
-    k = text.extract_keywords(table(spark, sf, "documents"), "text", STOPS, replace=True)
+    k = text.extract_keywords(documents(spark, sf), "text", STOPS, replace=True)
     return k.select("doc_id", F.size("keywords").alias("n_keywords"), F.md5(F.array_join("keywords", " ")).alias("keywords_md5"))
 
 
@@ -112,7 +112,7 @@ de AS (SELECT DISTINCT doc_id, phrase FROM ent)"""
 
 
 def mentions(spark, sf):
-    return text.match_entities(table(spark, sf, "documents"), "doc_id", "text", gazetteer(spark, sf))
+    return text.match_entities(documents(spark, sf), "doc_id", "text", gazetteer(spark, sf))
 
 
 @query("t5_entities", f"WITH {ENTITIES_SQL} SELECT doc_id, position, phrase, label FROM ent")
@@ -170,7 +170,7 @@ def a6_tumbling_sentiment(spark, sf):
 @query("a13_sentiment_volatility", f"""WITH {LEXICON_SQL}, {sentiment_sql('documents', 'doc_id')}
   SELECT source, {r('stddev_samp(sentiment) AS volatility')}, count(sentiment) AS n FROM sent JOIN documents USING (doc_id) GROUP BY source""")
 def a13_sentiment_volatility(spark, sf):
-    scored = document_sentiment(spark, sf).join(table(spark, sf, "documents").select("doc_id", "source"), "doc_id")
+    scored = document_sentiment(spark, sf).join(documents(spark, sf).select("doc_id", "source"), "doc_id")
     return tidy(text.sentiment_volatility(scored, ["source"]))
 
 
@@ -179,13 +179,13 @@ POST_ORDER = "created_at, event_id"
 
 @query("f4_post_metrics", f"""WITH {POSTS_SQL}, p AS (SELECT *, CAST(floor(volume) AS BIGINT) AS v, CAST(trunc(volume) AS BIGINT) AS size FROM (SELECT p.*, t.volume FROM posts p JOIN ticks t USING (event_id)))
   SELECT event_id, {r('(size + size * 2 + user_id % 7 + user_id % 5 + size % 3) / nullif(user_id * 10, 0) AS engagement_rate',
-    roll('avg', 'sentiment', 7, 'source', POST_ORDER) + ' AS sentiment_trend', roll('stddev_samp', 'sentiment', 7, 'source', POST_ORDER) + ' AS sentiment_volatility')} FROM p""")
+    roll('avg', 'sentiment', 7, 'source', POST_ORDER) + ' AS sentiment_trend', roll('stddev_samp', 'sentiment', 7, 'source', POST_ORDER) + ' AS sentiment_volatility', digits=8)} FROM p""")
 def f4_post_metrics(spark, sf):
     """Raw posts, one source may hold most of them: the series is split into chunks."""
     from tideline.series import SeriesSpec
     spec = SeriesSpec(("source",), "created_at", ("event_id",))
     return tidy(over_chunks(posts(spark, sf), spec, features.post_metrics, halo=7, chunk_rows=1000),
-                "event_id", "engagement_rate", "sentiment_trend", "sentiment_volatility")
+                "event_id", "engagement_rate", "sentiment_trend", "sentiment_volatility", digits=8)
 
 
 @query("g3_influencer_impact")
@@ -197,5 +197,5 @@ def g3_influencer_impact(spark, sf):
 
 @query("t6_topic_model")
 def t6_topic_model(spark, sf):
-    topics, _ = text.topic_model(table(spark, sf, "documents").select("text"), "text", topics=5, iterations=10)
+    topics, _ = text.topic_model(documents(spark, sf).select("text"), "text", topics=5, iterations=10)
     return tidy(topics)

@@ -375,9 +375,9 @@ hourly AS (SELECT source, date_trunc('hour', ts) AS window_start, count(*) AS n_
   FROM tele GROUP BY source, date_trunc('hour', tele.ts))"""
 
 
-@query("a15_source_telemetry", f"WITH {TELEMETRY_SQL} SELECT source, window_start, n_calls, n_errors, n_fallbacks, {r('avg_response_time', 'success_rate')} FROM hourly")
+@query("a15_source_telemetry", f"WITH {TELEMETRY_SQL} SELECT source, window_start, n_calls, n_errors, n_fallbacks, {r('avg_response_time', 'success_rate', digits=8)} FROM hourly")
 def a15_source_telemetry(spark, sf):
-    return tidy(onchain.source_telemetry(telemetry(spark, sf)))
+    return tidy(onchain.source_telemetry(telemetry(spark, sf)), digits=8)
 
 
 @query("p16_success_alerts", f"""WITH {TELEMETRY_SQL} SELECT source, window_start, 'success_rate' AS metric, '<' AS op, CAST(80 AS DOUBLE) AS "limit",

@@ -60,8 +60,11 @@ class SeriesSpec:
         return self.window.rowsBetween(W.unboundedPreceding, -1)
 
     @property
-    def after(self) -> WindowSpec:
-        return self.window.rowsBetween(W.currentRow, W.unboundedFollowing)
+    def running_back(self) -> WindowSpec:
+        """From the end of the series to the row. Spark recomputes frames that start at the row and end at the end,
+        so looking forward is a running frame in descending order."""
+        return (W.partitionBy(*self.by).orderBy(*[F.col(c).desc() for c in self.order])
+                .rowsBetween(W.unboundedPreceding, W.currentRow))
 
     def rows(self, n: int) -> WindowSpec:
         return self.window.rowsBetween(-(n - 1), W.currentRow)
@@ -204,15 +207,15 @@ def fill_backward(df: DataFrame, spec: SeriesSpec, columns: Iterable[str]) -> Da
     """Replace NULLs by the next value after them."""
     columns = list(columns)
     if spec.part is None:
-        return df.withColumns({c: F.first(c, ignorenulls=True).over(spec.after) for c in columns})
+        return df.withColumns({c: F.last(c, ignorenulls=True).over(spec.running_back) for c in columns})
     firsts = df.groupBy(*spec.by).agg(*[
         F.min_by(c, F.when(F.col(c).isNotNull(), F.struct(*spec.order))).alias(f"_t_{c}") for c in columns])
-    later = W.partitionBy(*spec.keys).orderBy(spec.part).rowsBetween(1, W.unboundedFollowing)
-    carries = firsts.select(*spec.by, *[F.first(f"_t_{c}", ignorenulls=True).over(later).alias(f"_c_{c}")
+    later = W.partitionBy(*spec.keys).orderBy(F.col(spec.part).desc()).rowsBetween(W.unboundedPreceding, -1)
+    carries = firsts.select(*spec.by, *[F.last(f"_t_{c}", ignorenulls=True).over(later).alias(f"_c_{c}")
                                         for c in columns])
     out = equi_join(df, carries, spec.by)
     return out.withColumns({
-        c: F.coalesce(F.first(c, ignorenulls=True).over(spec.after), F.col(f"_c_{c}")) for c in columns
+        c: F.coalesce(F.last(c, ignorenulls=True).over(spec.running_back), F.col(f"_c_{c}")) for c in columns
     }).drop(*[f"_c_{c}" for c in columns])
 
 

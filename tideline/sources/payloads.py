@@ -40,10 +40,6 @@ QUOTE_PATHS = {
 }
 
 
-def _json(payload: Column, path: Column) -> Column:
-    return F.call_function("get_json_object", payload, path)
-
-
 def _with_last_rows(df: DataFrame) -> DataFrame:
     """For sources whose quote is the last row of a series, cut the message down to that row."""
     payload = F.col("payload")
@@ -63,20 +59,23 @@ def _with_last_rows(df: DataFrame) -> DataFrame:
 def parse_quotes(raw: DataFrame, symbol: str = "BTC") -> DataFrame:
     """raw(source, payload, ...) plus open, high, low, close, volume and ``rejected``.
 
-    The path of each field is looked up by source, so one set of expressions serves all of them. A message of an
-    unknown source, or one that lacks a field, is marked instead of dropped.
+    One CASE over the sources: a row is parsed with the constant paths of its own source only. A message of an unknown
+    source, or one that lacks a field, is marked instead of dropped.
     """
-    table = F.create_map(*[x for source, paths in QUOTE_PATHS.items()
-                           for x in (F.lit(source), F.array(*[F.lit(p.replace("{symbol}", symbol)) for p in paths]))])
-    df = _with_last_rows(raw).withColumn("_paths", F.try_element_at(table, F.col("source")))
-    values = {}
-    for i, field in enumerate(FIELDS):
-        path = F.get("_paths", i)
-        from_last = F.startswith(path, F.lit("$last"))
-        value = F.when(from_last, _json(F.col("_last"), F.replace(path, F.lit("$last"), F.lit("$")))).otherwise(
-            _json(F.col("payload"), path))
-        values[field] = value.try_cast("double")
-    df = df.withColumns(values).drop("_last", "_paths")
+    nothing = F.struct(*[F.lit(None).cast("double").alias(f) for f in FIELDS])
+    quote = None
+    for source, paths in QUOTE_PATHS.items():
+        fields = []
+        for field, path in zip(FIELDS, paths):
+            path = path.replace("{symbol}", symbol)
+            text = (F.get_json_object("_last", path.replace("$last", "$")) if path.startswith("$last")
+                    else F.get_json_object("payload", path))
+            fields.append(text.try_cast("double").alias(field))
+        found = F.struct(*fields)
+        quote = (F.when(F.col("source") == source, found) if quote is None
+                 else quote.when(F.col("source") == source, found))
+    # unrolled as a one-element array: a generator is evaluated once, however often its columns are used after it
+    df = _with_last_rows(raw).select(*raw.columns, F.inline(F.array(quote.otherwise(nothing))))
     missing = F.lit(False)
     for field in FIELDS:
         missing = missing | F.col(field).isNull()
