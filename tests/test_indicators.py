@@ -122,3 +122,13 @@ def test_alerts(spark):
     df = spark.createDataFrame([("a", -0.2, 2.0, 1.0), ("b", -0.1, 2.0, None)], "symbol string, max_drawdown double, sharpe double, sortino double")
     assert {(r["symbol"], r["metric"]) for r in risk.threshold_alerts(df, ["symbol"]).collect()} == {("a", "max_drawdown"), ("a", "sortino")}
     assert {r["symbol"]: r["acceptable"] for r in risk.risk_verdict(df).collect()} == {"a": False, "b": True}
+
+
+def test_packed_order_equals_struct_order(spark):
+    from tideline.operators.bars import arrival_order
+    spec = SeriesSpec(("k",), "ts", ("id",))
+    big = 9223372036854775807
+    rows = [("a", m, i) for m in (-1, 0, 1, 253402300799999999) for i in (-big, -1, 0, 1, big)]
+    df = spark.createDataFrame(rows, "k string, m long, id long").withColumn("ts", F.timestamp_micros("m"))
+    got = [(r["m"], r["id"]) for r in df.withColumn("o", arrival_order(df, spec)).orderBy("o").collect()]
+    assert got == sorted((m, i) for _, m, i in rows)

@@ -147,3 +147,15 @@ def test_partition_count_does_not_matter(spark, df):
         results.append(collected(over_chunks(df, SPEC, indicators.rsi, halo=15, chunk_rows=100))["RSI"].round(9).tolist())
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert results[0] == results[1] == results[2]
+
+
+def test_null_key_is_a_series_of_its_own(spark):
+    df = spark.createDataFrame([(None, i, 0, float(i)) for i in range(40)] + [("a", i, 0, 1.0) for i in range(40)],
+                               "symbol string, ts long, n int, x double")
+
+    def operator(frame, spec):
+        return running(frame, spec, {"s": ("sum", "x")})
+
+    got = over_chunks(df, SPEC, operator, halo=3, chunk_rows=7)
+    assert {(r["symbol"], r["s"]) for r in got.where("ts = 39").collect()} == {(None, 780.0), ("a", 40.0)}
+    assert got.count() == 80

@@ -34,6 +34,7 @@ class SeriesSpec:
     ts: str
     tiebreak: tuple[str, ...] = ()
     part: str | None = None
+    null_keys: bool = True  # whether a key may be NULL; splitting a series finds out
 
     @property
     def by(self) -> list[str]:
@@ -80,9 +81,15 @@ def rolling(spec: SeriesSpec, column: Column | str, n: int, agg: Callable[[Colum
     return F.when(F.count(column).over(frame) == n, agg(column).over(frame))
 
 
-def equi_join(left: DataFrame, right: DataFrame, on: Iterable[str], how: str = "left") -> DataFrame:
-    """Join on equal names where NULL equals NULL, so that rows with a NULL key are not lost."""
+def equi_join(left: DataFrame, right: DataFrame, on: Iterable[str], how: str = "left", null_keys: bool = True) -> DataFrame:
+    """Join on equal names where NULL equals NULL, so that rows with a NULL key are not lost.
+
+    Where keys are known to be non-NULL a plain join is used: its partitioning is the one the windows before and after
+    it need, so the long side is not shuffled again.
+    """
     on = list(on)
+    if not null_keys:
+        return left.join(right, on, how)
     renamed = right.withColumnsRenamed({c: f"_r_{c}" for c in on})
     condition = reduce(lambda a, b: a & b, [left[c].eqNullSafe(renamed[f"_r_{c}"]) for c in on])
     return left.join(renamed, condition, how).drop(*[f"_r_{c}" for c in on])
@@ -101,19 +108,21 @@ def place_rows(df: DataFrame, spec: SeriesSpec, partitions: int | None = None) -
     ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
     placed = ranged.sortWithinPartitions(*order).withColumn("_pos", F.monotonically_increasing_id())
     placed = stage(placed, "series").withColumn("_run", F.shiftright("_pos", 33))
-    return placed, replace(spec, part="_run")
+    # reads the key columns' statistics; row groups without NULLs are skipped
+    some_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in spec.keys])
+    return placed, replace(spec, part="_run", null_keys=not placed.where(some_null).isEmpty())
 
 
 def index_series(df: DataFrame, spec: SeriesSpec, partitions: int | None = None) -> DataFrame:
     """Add ``_idx``, the 0-based position of each row in its series, without a window over the whole series."""
-    placed, _ = place_rows(df, spec, partitions)
+    placed, placed_spec = place_rows(df, spec, partitions)
     runs = placed.groupBy(*spec.keys, "_run").agg(F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_n"))
     # one row per key and run: at most (keys + partitions) rows in total
     earlier = W.partitionBy(*spec.keys).orderBy("_run").rowsBetween(W.unboundedPreceding, -1)
     runs = runs.withColumn("_offset", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).drop("_n")
-    return (equi_join(placed, runs, [*spec.keys, "_run"], "inner")
-            .withColumn("_idx", F.col("_offset") + F.col("_pos") - F.col("_first"))
-            .drop("_pos", "_run", "_first", "_offset"))
+    joined = equi_join(placed, runs, [*spec.keys, "_run"], "inner", placed_spec.null_keys)
+    index = (F.col("_offset") + F.col("_pos") - F.col("_first")).alias("_idx", metadata={"null_keys": placed_spec.null_keys})
+    return joined.select(*df.columns, index)
 
 
 def split_chunks(indexed: DataFrame, spec: SeriesSpec, chunk_rows: int = CHUNK_ROWS, halo: int = 0,
@@ -130,7 +139,8 @@ def split_chunks(indexed: DataFrame, spec: SeriesSpec, chunk_rows: int = CHUNK_R
     ))
     chunked = (indexed.withColumn("_chunk", F.explode(targets))
                .withColumn(HALO, F.floor(F.col("_idx") / chunk_rows).cast("long") != F.col("_chunk")))
-    return chunked, replace(spec, part="_chunk")
+    null_keys = indexed.schema["_idx"].metadata.get("null_keys", True)
+    return chunked, replace(spec, part="_chunk", null_keys=null_keys)
 
 
 def drop_halo(df: DataFrame) -> DataFrame:
@@ -180,7 +190,7 @@ def running(df: DataFrame, spec: SeriesSpec, columns: Mapping[str, tuple[str, Co
     earlier = W.partitionBy(*spec.keys).orderBy(spec.part).rowsBetween(W.unboundedPreceding, -1)
     carries = totals.select(*spec.by, *[_SCANS[k][0](f"_t_{n}").over(earlier).alias(f"_c_{n}")
                                         for n, (k, _) in columns.items()])
-    out = equi_join(df, carries, spec.by)
+    out = equi_join(df, carries, spec.by, null_keys=spec.null_keys)
     values = {}
     for name, (kind, _) in columns.items():
         x, carry = F.col(f"_x_{name}"), F.col(f"_c_{name}")
@@ -213,7 +223,7 @@ def fill_backward(df: DataFrame, spec: SeriesSpec, columns: Iterable[str]) -> Da
     later = W.partitionBy(*spec.keys).orderBy(F.col(spec.part).desc()).rowsBetween(W.unboundedPreceding, -1)
     carries = firsts.select(*spec.by, *[F.last(f"_t_{c}", ignorenulls=True).over(later).alias(f"_c_{c}")
                                         for c in columns])
-    out = equi_join(df, carries, spec.by)
+    out = equi_join(df, carries, spec.by, null_keys=spec.null_keys)
     return out.withColumns({
         c: F.coalesce(F.last(c, ignorenulls=True).over(spec.running_back), F.col(f"_c_{c}")) for c in columns
     }).drop(*[f"_c_{c}" for c in columns])
@@ -275,7 +285,7 @@ def quantiles(df: DataFrame, keys: Iterable[str], column: str, shares: Mapping[s
     values = values.select(*keys, F.col(column).cast("double").alias("_v")).where(F.col("_v").isNotNull())
     indexed = index_series(values, SeriesSpec(tuple(keys), "_v"))
     sizes = indexed.groupBy(*keys).agg((F.max("_idx") + 1).alias("_size"))
-    ranked = equi_join(indexed, sizes, keys, "inner")
+    ranked = equi_join(indexed, sizes, keys, "inner", indexed.schema["_idx"].metadata["null_keys"])
     out = []
     for name, share in shares.items():
         at = F.lit(share) * (F.col("_size") - 1)
