@@ -159,3 +159,21 @@ def test_null_key_is_a_series_of_its_own(spark):
     got = over_chunks(df, SPEC, operator, halo=3, chunk_rows=7)
     assert {(r["symbol"], r["s"]) for r in got.where("ts = 39").collect()} == {(None, 780.0), ("a", 40.0)}
     assert got.count() == 80
+
+
+def test_quantiles_of_a_crowded_value(spark):
+    values = [0.0] * 500 + [float(i) for i in range(1, 100)] + [7.5] * 40
+    df = spark.createDataFrame([("a", v) for v in values] + [("b", None), ("c", 3.0)], "k string, x double")
+    got = {r["k"]: r for r in quantiles(df, ["k"], "x", {"q50": 0.5, "q79": 0.79, "q99": 0.99, "q100": 1.0}).collect()}
+    expected = pd.Series(values)
+    for name, share in (("q50", 0.5), ("q79", 0.79), ("q99", 0.99), ("q100", 1.0)):
+        assert got["a"][name] == pytest.approx(expected.quantile(share)) and got["c"][name] == 3.0
+    assert "b" not in got
+
+
+def test_crowded_instant_is_cut(spark):
+    from tideline.operators.joins import asof_join
+    left = spark.range(5000).select(F.col("id"), F.lit(10).alias("t"))
+    right = spark.createDataFrame([(9, "x"), (10, "y"), (11, "z")], "rt int, v string")
+    out = asof_join(left, right, "t", "rt")
+    assert {(r["right_v"], r["count"]) for r in out.groupBy("right_v").count().collect()} == {("y", 5000)}

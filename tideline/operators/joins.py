@@ -7,10 +7,16 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tideline.series import SeriesSpec, equi_join, fill_backward, fill_forward, place_rows
 
 
+def _row_hash(df: DataFrame, columns: Sequence[str]) -> Column:
+    hashable = [f.name for f in df.schema.fields if f.name in columns and not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    return F.xxhash64(*hashable)
+
+
 def asof_join(left: DataFrame, right: DataFrame, left_ts: str, right_ts: str, keys: Sequence[str] = (),
               right_tiebreak: Sequence[str] = (), direction: str = "backward", allow_exact: bool = True,
               tolerance: str | None = None, prefix: str = "right_") -> DataFrame:
@@ -34,13 +40,13 @@ def asof_join(left: DataFrame, right: DataFrame, left_ts: str, right_ts: str, ke
     merged = left.select(
         *on, F.col(left_ts).alias("_ts"), F.lit(1 - first_side).alias("_side"), F.lit(True).alias("_is_left"),
         *[F.lit(None).cast(right_types[c]).alias(t) for c, t in zip(right_tiebreak, ties)],
-        F.struct(*left_cols).alias("_left"),
+        _row_hash(left, left_cols).alias("_hash"), F.struct(*left_cols).alias("_left"),
     ).unionByName(right.select(
         *on, F.col(right_ts).alias("_ts"), F.lit(first_side).alias("_side"), F.lit(False).alias("_is_left"),
         *[F.col(c).alias(t) for c, t in zip(right_tiebreak, ties)],
-        F.struct(*right_cols).alias("_right"),
+        _row_hash(right, right_cols).alias("_hash"), F.struct(*right_cols).alias("_right"),
     ), allowMissingColumns=True)
-    placed, spec = place_rows(merged, SeriesSpec(tuple(on), "_ts", ("_side", *ties)))
+    placed, spec = place_rows(merged, SeriesSpec(tuple(on), "_ts", ("_side", *ties, "_hash")))
     filled = (fill_forward if direction == "backward" else fill_backward)(placed, spec, ["_right"])
     out = filled.where("_is_left").select(
         *keys, "_left.*", *[F.col(f"_right.{c}").alias(prefix + c) for c in right_cols])

@@ -277,21 +277,27 @@ def ewm(df: DataFrame, spec: SeriesSpec, outputs: Mapping[str, tuple[str, float]
 def quantiles(df: DataFrame, keys: Iterable[str], column: str, shares: Mapping[str, float]) -> DataFrame:
     """Exact quantiles per key (linear interpolation) for groups of any size.
 
-    Uses the sorted position of each value, so no group is gathered in one task. NULLs are ignored.
+    Equal values are counted first, so a value that fills a third of the table is one row; the running count over the
+    sorted distinct values then tells which value holds a position. No group is gathered in one task. NULLs are ignored.
     """
     wanted = list(keys)
     keys = wanted or ["_all"]
     values = df if wanted else df.withColumn("_all", F.lit(0))
     values = values.select(*keys, F.col(column).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    indexed = index_series(values, SeriesSpec(tuple(keys), "_v"))
-    sizes = indexed.groupBy(*keys).agg((F.max("_idx") + 1).alias("_size"))
-    ranked = equi_join(indexed, sizes, keys, "inner", indexed.schema["_idx"].metadata["null_keys"])
+    counted = values.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    placed, spec = place_rows(counted, SeriesSpec(tuple(keys), "_v"))
+    ranked = running(placed, spec, {"_upto": ("sum", "_c")})
+    sizes = placed.groupBy(*keys).agg(F.sum("_c").alias("_size"))
+    # without keys this is one row
+    ranked = equi_join(ranked, sizes if wanted else F.broadcast(sizes), keys, "inner", spec.null_keys)
+    first, last = F.col("_upto") - F.col("_c"), F.col("_upto") - 1
     out = []
     for name, share in shares.items():
         at = F.lit(share) * (F.col("_size") - 1)
         low = F.floor(at)
-        out += [F.max(F.when(F.col("_idx") == low, F.col("_v"))).alias(f"_lo_{name}"),
-                F.max(F.when(F.col("_idx") == F.least(low + 1, F.col("_size") - 1), F.col("_v"))).alias(f"_hi_{name}"),
+        high = F.least(low + 1, F.col("_size") - 1)
+        out += [F.max(F.when(low.between(first, last), F.col("_v"))).alias(f"_lo_{name}"),
+                F.max(F.when(high.between(first, last), F.col("_v"))).alias(f"_hi_{name}"),
                 F.max(at - low).alias(f"_w_{name}")]
     picked = ranked.groupBy(*keys).agg(*out)
     return picked.select(*wanted, *[
