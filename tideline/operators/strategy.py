@@ -73,7 +73,7 @@ def strategy_metrics(ledger: DataFrame, spec: SeriesSpec, keys: Sequence[str] =
     paired = F.col("_ret").isNotNull() & F.col("b").isNotNull()
     out = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_rows"),
-        (ratio(F.max_by("total", at), F.min_by("total", at)) - 1).alias("cumulative_return"),
+        ratio(F.max_by("total", at), F.min_by("total", at)).alias("total_ratio"),
         (F.stddev_samp("_ret") * F.sqrt(F.lit(float(YEAR)))).alias("annualized_volatility"),
         (F.stddev_samp(F.when(F.col("_ret") < 0, F.col("_ret"))) * F.sqrt(F.lit(float(YEAR)))).alias("_downside"),
         F.max(F.col("_top") - F.col("total")).alias("max_drawdown"),
@@ -82,7 +82,8 @@ def strategy_metrics(ledger: DataFrame, spec: SeriesSpec, keys: Sequence[str] =
         beta("_ret", "b").alias("beta"),
         F.avg(F.when(paired, F.col("_ret"))).alias("_r"), F.avg(F.when(paired, F.col("b"))).alias("_b"),
         *regression_aggregates(price, signal))
-    out = out.withColumn("annualized_return", F.pow(1 + F.col("cumulative_return"), YEAR / F.col("n_rows")) - 1)
+    out = out.withColumns({"cumulative_return": F.col("total_ratio") - 1,
+                           "annualized_return": F.pow("total_ratio", YEAR / F.col("n_rows")) - 1})
     return out.withColumns({
         "sharpe_ratio": ratio("annualized_return", "annualized_volatility"),
         "sortino_ratio": ratio("annualized_return", "_downside"),

@@ -213,6 +213,7 @@ def performance_sql(source: str, key: str = "symbol") -> str:
     return f"""p1 AS (SELECT *, CASE WHEN held = 0 AND was = 0 AND pb IS NOT NULL THEN total * 0 ELSE total / lag(total) {over(key=key)} - 1 END AS ret, max(total) {over('all', key=key)} AS top
        FROM {source}),
 p2 AS (SELECT {key}, count(*) AS n_rows, last(total ORDER BY ts) / first(total ORDER BY ts) - 1 AS cumulative_return,
+   last(total ORDER BY ts) / first(total ORDER BY ts) AS total_ratio,
    stddev_samp(ret) * sqrt(252) AS annualized_volatility, stddev_samp(ret) FILTER (ret < 0) * sqrt(252) AS downside,
    max(top - total) AS max_drawdown, max(1 - total / top) AS max_drawdown_relative, count(trade) AS n_trades,
    avg((price - signal) ** 2) AS mse, avg(abs(price - signal) / abs(price)) FILTER (price <> 0) AS mape,
@@ -224,16 +225,26 @@ perf AS (SELECT *, annualized_return / nullif(annualized_volatility, 0) AS sharp
    FROM (SELECT *, pow(1 + cumulative_return, 252.0 / n_rows) - 1 AS annualized_return FROM p2))"""
 
 
-PERFORMANCE = ("annualized_return", "annualized_volatility", "sharpe_ratio", "sortino_ratio",
-               "calmar_ratio", "max_drawdown_relative")
+PERFORMANCE = ("annualized_volatility", "max_drawdown_relative")
+# Returns of short, wild series reach 1e8 and more, where six digits after the point are below a double's precision:
+# these four are compared as sign(x) * ln(1 + |x|).
+GROWTH = ("annualized_return", "sharpe_ratio", "sortino_ratio", "calmar_ratio")
+GROWTH_SQL = [f"sign({c}) * ln(1 + abs({c})) AS log_{c}" for c in GROWTH]
+
+
+def with_logs(df):
+    return df.withColumns({f"log_{c}": F.signum(c) * F.log1p(F.abs(c)) for c in GROWTH})
+
+
+LOGS = tuple(f"log_{c}" for c in GROWTH)
 
 
 @query("r13_strategy_metrics", f"""WITH {BARS_SQL}, {LEDGER_SQL}, {performance_sql('ledger')}
-  SELECT symbol, n_rows, n_trades, {r(*PERFORMANCE)}, {r('cumulative_return', digits=2)} FROM perf""")
+  SELECT symbol, n_rows, n_trades, {r(*PERFORMANCE, *GROWTH_SQL, 'ln(total_ratio) AS log_growth')} FROM perf""")
 def r13_strategy_metrics(spark, sf):
     out = strategy.strategy_metrics(strategy.equity_ledger(_signals(spark, sf), BARS), BARS)
-    out = out.withColumn("cumulative_return", F.round("cumulative_return", 2))
-    return tidy(out, "symbol", "n_rows", "n_trades", *PERFORMANCE, "cumulative_return")
+    out = with_logs(out).withColumn("log_growth", F.log("total_ratio"))
+    return tidy(out, "symbol", "n_rows", "n_trades", *PERFORMANCE, *LOGS, "log_growth")
 
 
 @query("a16_regression_metrics", f"""WITH {BARS_SQL}, {LEDGER_SQL}, {performance_sql('ledger')}
@@ -261,19 +272,19 @@ _SWEEP_SQL = f"""sg AS (SELECT symbol, ts, close AS price, """ + ", ".join(
 
 
 @query("b2_parameter_sweep", f"""WITH {BARS_SQL}, {_SWEEP_SQL}
-  SELECT symbol, trial, n_trades, {r(*PERFORMANCE)} FROM perf""")
+  SELECT symbol, trial, n_trades, {r(*PERFORMANCE, *GROWTH_SQL)} FROM perf""")
 def b2_parameter_sweep(spark, sf):
     prices = bars(spark, sf).withColumnRenamed("close", "price")
-    return tidy(strategy.parameter_sweep(prices, BARS, TRIALS), "symbol", "trial", "n_trades", *PERFORMANCE)
+    return tidy(with_logs(strategy.parameter_sweep(prices, BARS, TRIALS)), "symbol", "trial", "n_trades", *PERFORMANCE, *LOGS)
 
 
 @query("o5_best_trial", f"""WITH {BARS_SQL}, {_SWEEP_SQL}
-  SELECT symbol, trial, {r('sharpe_ratio', 'max_drawdown_relative')} FROM perf WHERE sharpe_ratio IS NOT NULL
+  SELECT symbol, trial, {r(GROWTH_SQL[1], 'max_drawdown_relative')} FROM perf WHERE sharpe_ratio IS NOT NULL
   QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY sharpe_ratio DESC, trial) = 1""")
 def o5_best_trial(spark, sf):
     prices = bars(spark, sf).withColumnRenamed("close", "price")
     best = strategy.best_trial(strategy.parameter_sweep(prices, BARS, TRIALS), ["symbol"])
-    return tidy(best, "symbol", "trial", "sharpe_ratio", "max_drawdown_relative")
+    return tidy(with_logs(best), "symbol", "trial", "log_sharpe_ratio", "max_drawdown_relative")
 
 
 @query("m13_ensemble_signal", f"""WITH {BARS_SQL}, s AS (SELECT symbol, ts,
