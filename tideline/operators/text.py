@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tideline.functions import text as tx
-from tideline.staging import broadcast_if_small, stage
+from tideline.staging import stage
 
 # Normalisation constant and negation factor of the published rule-based scorer.
 SCORE_ALPHA = 15.0
@@ -32,7 +32,7 @@ def lexicon_sentiment(df: DataFrame, key: str, text: str, lexicon: DataFrame,
     pairs = F.filter(F.arrays_zip(tokens.alias("token"), before.alias("before")), lambda p: p["token"].isNotNull())
     exploded = df.select(key, F.explode(pairs).alias("_p")).select(
         key, F.col("_p.token").alias("token"), F.col("_p.before").isin(*negators).alias("_negated"))
-    joined = exploded.join(broadcast_if_small(lexicon.select("token", "valence")), "token")
+    joined = exploded.join(lexicon.select("token", "valence"), "token")
     hits = joined.groupBy(key).agg(
         F.count(F.lit(1)).alias("n_hits"),
         F.sum(F.when(F.col("_negated"), F.col("valence") * NEGATION).otherwise(F.col("valence"))).alias("_s"))
@@ -59,7 +59,7 @@ def extract_keywords(df: DataFrame, text: str, custom: Sequence[str] = (), repla
     if key is None:
         raise ValueError("lemmas need the name of a key column")
     found = df.select(key, F.posexplode("keywords").alias("_pos", "word"))
-    found = found.join(broadcast_if_small(lemmas), "word", "left")
+    found = found.join(lemmas, "word", "left")
     lemma = F.struct("_pos", F.coalesce("lemma", "word").alias("w"))
     rebuilt = found.groupBy(key).agg(F.transform(F.sort_array(F.collect_list(lemma)), lambda s: s["w"]).alias("keywords"))
     return (df.drop("keywords").join(rebuilt, key, "left")
@@ -83,7 +83,7 @@ def match_entities(df: DataFrame, key: str, text: str, gazetteer: DataFrame, lon
     same = F.col("w0") == F.col("g0")
     for n in range(1, longest):
         same = same & ((F.col("_n") <= n) | (F.col(f"w{n}") == F.col(f"g{n}")))
-    return spans.join(broadcast_if_small(listed), same).select(key, "position", "phrase", "label")
+    return spans.join(listed, same).select(key, "position", "phrase", "label")
 
 
 def entity_sets(mentions: DataFrame, key: str, entity: str = "phrase") -> DataFrame:

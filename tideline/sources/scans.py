@@ -11,7 +11,6 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
 from tideline.operators.joins import anti_join_new
-from tideline.staging import broadcast_if_small
 
 
 def load_table(spark: SparkSession, path: str, columns: Sequence[str] | None = None, condition: str | None = None,
@@ -64,7 +63,7 @@ def append_dedup(new: DataFrame, path: str, keys: Sequence[str] = ("timestamp",
         fresh = new.dropDuplicates(list(keys))
     else:
         if partition:
-            touched = broadcast_if_small(new.select(partition).distinct())
+            touched = new.select(partition).distinct()
             existing = existing.join(touched, partition, "left_semi")
         fresh = anti_join_new(new, existing, keys)
     fresh.write.mode("append").partitionBy(*([partition] if partition else [])).parquet(path)

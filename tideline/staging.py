@@ -1,28 +1,20 @@
-"""Tables written between stages, and the size check that guards broadcasts."""
+"""Tables written between stages."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# A side of at most this many rows may be broadcast.
-BROADCAST_ROWS = 200_000
 
 
 def staging_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir``; where that is unset, a folder below the warehouse.
 
-    A local folder is created only when the setting is absent and the session runs in local mode;
-    a cluster without the setting is refused, because executors could not see each other's files.
+    Both are resolved by Spark's own file systems, so that executors and driver see the same files.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="tideline-")
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_staging"
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
@@ -41,8 +33,12 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after counting that the side is small; otherwise leave the join to shuffle."""
-    if df.limit(limit + 1).count() <= limit:
-        return F.broadcast(df)
-    return df
+def unstage(df: DataFrame) -> None:
+    """Remove a table that ``stage`` wrote, once nothing reads it any more."""
+    spark = df.sparkSession
+    folder = f"/{spark.sparkContext.applicationId}/"
+    jvm = spark.sparkContext._jvm
+    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if folder in path:
+            target = jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
