@@ -6,7 +6,7 @@ import importlib
 
 from tideline.llm.registry import LLM_ORACLES, LLM_QUERIES
 
-MODULES = ("op1_line_frequency", "op6_trigram_secrets", "op7_covering_simhash")
+MODULES = ("op1_line_frequency", "op6_trigram_secrets", "op7_covering_simhash", "op9_itq_embeddings")
 
 for _module in MODULES:
     importlib.import_module(f"tideline.llm.{_module}")
