@@ -100,38 +100,29 @@ def near_links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     return grouped_buckets(rows).mapInArrow(over_groups(compare, schema), "u long, v long")
 
 
-def near_duplicate_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", radius: int = RADIUS) -> DataFrame:
-    """(id, fp, root, component_id) of every row: root names the group, component_id is the smallest id in it."""
-    prints = fingerprints(docs, text, (doc_id,))
+def near_duplicate_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", radius: int = RADIUS,
+                          keep: tuple[str, ...] = ()) -> DataFrame:
+    """(id, ``keep``, fp, root, component_id) of every row: root names the group, component_id is the smallest id in it."""
+    prints = fingerprints(docs, text, (doc_id, *keep))
     distinct = staged(prints.groupBy("fp").agg(F.min(doc_id).alias("_least")), "distinct-fingerprints")
     roots = connected_components(near_links(distinct, radius))
     of = staged(distinct.join(roots, F.col("fp") == F.col("node"), "left").select(
         F.col("fp").alias("_fp"), F.coalesce("root", "fp").alias("root"), "_least"), "roots")
     least = of.groupBy(F.col("root").alias("_root")).agg(F.min("_least").alias("component_id"))
     named = of.join(least, F.col("root") == F.col("_root")).select("_fp", "root", "component_id")
-    return prints.join(named, F.col("fp") == F.col("_fp")).select(doc_id, "fp", "root", "component_id")
+    return prints.join(named, F.col("fp") == F.col("_fp")).select(doc_id, *keep, "fp", "root", "component_id")
 
 
 def one_per_group(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", radius: int = RADIUS) -> DataFrame:
-    """``docs``, all columns, with one row of each group: the one with the smallest id (any, if no row of a group has an id)."""
-    groups = near_duplicate_groups(docs, text, doc_id, radius).where(F.col(doc_id).eqNullSafe(F.col("component_id")))
-    keepers = groups.groupBy(F.col(doc_id).alias("_id"), F.col("fp").alias("_fp")).agg(F.min("root").alias("_root"))
-    prints = fingerprints_beside(docs, text)
-    same = F.col(doc_id).eqNullSafe(F.col("_id")) & (F.col("_print") == F.col("_fp"))
-    return prints.join(keepers, same).dropDuplicates(["_id", "_root"]).select(*docs.columns)
-
-
-def fingerprints_beside(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` plus ``_print``, the fingerprint of ``text``."""
-    small_batches(docs.sparkSession)
-
-    @F.pandas_udf("long")
-    def of(texts):
-        return texts.map(simhash).astype("int64")
-
-    import pandas as pd
-    of.func.__annotations__.update({"texts": pd.Series, "return": pd.Series})
-    return docs.withColumn("_print", of(F.col(text).cast("binary")))
+    """``docs``, all columns, with one row of each group: the one with the smallest id (a group without ids: any one).
+
+    Of several rows with that id the one with the least hash of id and text stays; of rows equal in both, any one.
+    """
+    keyed = docs.withColumn("_row", F.xxhash64(doc_id, F.coalesce(text, F.lit(""))))
+    groups = near_duplicate_groups(keyed, text, doc_id, radius, ("_row",)).where(F.col(doc_id).eqNullSafe(F.col("component_id")))
+    keepers = groups.groupBy("root", F.col(doc_id).alias("_id")).agg(F.min("_row").alias("_stays")).select("_id", "_stays")
+    same = (F.col("_row") == F.col("_stays")) & F.col(doc_id).eqNullSafe(F.col("_id"))
+    return keyed.join(keepers, same, "left_semi").dropDuplicates(["_row", doc_id]).select(*docs.columns)
 
 
 @llm_query("op7_covering_simhash")

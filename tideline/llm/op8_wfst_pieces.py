@@ -7,9 +7,8 @@ to the next has weight 0 if merging the two strings together gives just these tw
 A sequence of pieces is the result of merging exactly if all its neighbours are so, hence the composed machine has one path
 of finite weight, the tropical shortest one, and it is found by a search that enters no dead state twice.
 
-No piece holds a word mark behind another character or a character that has no piece, so the shortest path of a text is the
-shortest paths of the stretches between such places, one after the other; stretches are remembered within a task, up to a
-limit. Decoding is the inverse machine: pieces and bytes to text, without the dummy prefix.
+Where no piece goes over a place between two characters (before a word mark, say), the shortest path of a text is the
+shortest paths of the stretches on both sides, one after the other; stretches are remembered within a task, up to a limit. Decoding is the inverse machine: pieces and bytes to text, without the dummy prefix.
 
 NULL text encodes to NULL, the empty text to no pieces. A text that holds the word mark itself (U+2581) decodes to a space
 there; every other text comes back exactly. Ids may be NULL or repeated; every input row gets one output row; an empty table gives an
@@ -33,6 +32,7 @@ from tideline.llm.registry import llm_query, table
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 _REMEMBERED = 400_000
+_LATIN = "A-Za-zÀ-ÖØ-öø-ɏ"
 # Arcs are numbered by two piece numbers; characters without a piece are numbered behind the pieces.
 _ARC = 21
 _START = (1 << _ARC) - 1
@@ -120,11 +120,14 @@ class Machine:
         return ids
 
     def stretches(self) -> re.Pattern:
-        """The places between which texts are encoded apart: before word marks, around characters in no longer piece."""
+        """The stretches that are encoded apart: cut before word marks, around line ends and behind runs of Latin letters, as far as
+        no piece goes over such a place."""
         joined = {c for s in self.strings for c in s if len(s) > 1}
         if any(s[i] == MARK and s[i - 1] != MARK for s in self.strings for i in range(1, len(s))) or "\n" in joined:
             return re.compile(r"(?s).+")
-        return re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
+        if any(re.search(f"[{_LATIN}][^{_LATIN}]", s) for s in self.strings):
+            return re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
+        return re.compile(f"{MARK}*[^{MARK}\n{_LATIN}]*[{_LATIN}]+|{MARK}*[^{MARK}\n{_LATIN}]+|{MARK}+|\n")
 
     def encoder(self) -> "Encoder":
         return Encoder(self)
