@@ -20,6 +20,24 @@ def bind(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """All columns as one struct ``_doc``, so that no name of theirs can meet one of an operator's own."""
+    return docs.select(F.struct(*[F.col(f"`{c}`").alias(c) for c in docs.columns]).alias("_doc"))
+
+
+def unpacked(names: list[str], **changed: Column) -> list[Column]:
+    """The columns of ``_doc`` called ``names``, some of them ``changed``."""
+    return [changed.get(c, F.col("_doc").getField(c)).alias(c) for c in names]
+
+
+def new_length(docs: DataFrame, text: Column, changed: Column) -> dict[str, Column]:
+    """``n_chars`` of a packed row after its text has changed, if ``docs`` has that column."""
+    if "n_chars" not in docs.columns:
+        return {}
+    length = F.length(text).cast(docs.schema["n_chars"].dataType)
+    return {"n_chars": F.when(changed, length).otherwise(F.col("_doc").getField("n_chars"))}
+
+
 def text_key(text: Column | str) -> Column:
     """A 64-bit key of a whole text; NULL and the empty text share one."""
     return F.xxhash64(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")))

@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import WORD, bind, staged, text_key
+from tideline.llm.common import WORD, bind, new_length, packed, staged, text_key, unpacked
 from tideline.llm.registry import llm_query, table
 
 # Characters counted as symbols.
@@ -137,14 +137,12 @@ def apply_line_rules(docs: DataFrame, text: str = "text", host: str = "source",
     verdicts = line_verdicts(docs, text, host, limits, keep=()).where("kept").select(
         F.col("_host").alias("_of"), F.col("_key").alias("_for"), F.coalesce("_heavy", F.expr("CAST(array() AS array<bigint>)")).alias("_heavy"))
     verdicts = staged(verdicts.groupBy("_of", "_for", "_heavy").agg(F.count(F.lit(1)).alias("_copies")).drop("_copies"), "verdicts")
-    joined = docs.withColumn("_key", text_key(text)).join(
-        verdicts, F.col(host).eqNullSafe(F.col("_of")) & (F.col("_key") == F.col("_for")))
-    cleaned = F.array_join(F.filter(F.split(F.col(text), "\n", -1), lambda x: ~(_has_word(x) & F.array_contains(F.col("_heavy"), line_hash(x)))), "\n")
-    out = joined.withColumn(text, F.when(F.size("_heavy") == 0, F.col(text)).otherwise(cleaned))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.size("_heavy") == 0, F.col("n_chars")).otherwise(
-            F.length(text).cast(docs.schema["n_chars"].dataType)))
-    return out.select(*docs.columns)
+    whole = F.col("_doc").getField(text)
+    joined = packed(docs).withColumn("_key", text_key(whole)).join(
+        verdicts, F.col("_doc").getField(host).eqNullSafe(F.col("_of")) & (F.col("_key") == F.col("_for")))
+    cleaned = F.array_join(F.filter(F.split(whole, "\n", -1), lambda x: ~(_has_word(x) & F.array_contains(F.col("_heavy"), line_hash(x)))), "\n")
+    joined = joined.withColumn("_new", F.when(F.size("_heavy") == 0, whole).otherwise(cleaned))
+    return joined.select(*unpacked(docs.columns, **{text: F.col("_new"), **new_length(docs, F.col("_new"), F.size("_heavy") > 0)}))
 
 
 _LIMITS = LineLimits()

@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import bind, broadcast_within, find_spans, staged, text_key
+from tideline.llm.common import bind, broadcast_within, find_spans, new_length, packed, staged, text_key, unpacked
 from tideline.llm.registry import llm_query, table
 
 KINDS = ("email", "ip", "card", "phone")
@@ -165,17 +165,19 @@ def sanitise(docs: DataFrame, text: str = "text", limits: Disclosure = Disclosur
     plain = F.transform("_base", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")).alias("by")))
     more = F.transform("_added", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.when(s["kind"] == ADDED[0], F.lit("")).otherwise(F.lit("[TERM]")).alias("by")))
     spans = staged(spans.groupBy(F.col("_key").alias("_for")).agg(F.first(F.sort_array(F.concat(plain, more))).alias("_spans")), "private-spans")
-    joined = docs.withColumn("_key", text_key(text)).join(spans, F.col("_key") == F.col("_for"), "left")
+    whole = F.col("_doc").getField(text)
+    joined = packed(docs).withColumn("_key", text_key(whole)).join(spans, F.col("_key") == F.col("_for"), "left")
 
     def step(acc: Column, s: Column) -> Column:
-        ahead = F.array(F.substring(F.col(text), acc["at"] + 1, s["start"] - acc["at"]), s["by"])
+        ahead = F.array(F.substring(whole, acc["at"] + 1, s["start"] - acc["at"]), s["by"])
         return F.when(s["end"] <= acc["at"], acc).otherwise(F.struct(
             s["end"].alias("at"), F.when(s["start"] < acc["at"], acc["out"]).otherwise(F.concat(acc["out"], ahead)).alias("out")))
 
     start = F.struct(F.lit(0).alias("at"), F.expr("CAST(array() AS array<string>)").alias("out"))
     masked = F.aggregate("_spans", start, step, lambda acc: F.array_join(
-        F.concat(acc["out"], F.array(F.substring(F.col(text), acc["at"] + 1, F.length(text)))), ""))
-    return joined.withColumn(text, F.when(F.col("_spans").isNull(), F.col(text)).otherwise(masked)).select(*docs.columns)
+        F.concat(acc["out"], F.array(F.substring(whole, acc["at"] + 1, F.length(whole)))), ""))
+    joined = joined.withColumn("_new", F.when(F.col("_spans").isNull(), whole).otherwise(masked))
+    return joined.select(*unpacked(docs.columns, **{text: F.col("_new"), **new_length(docs, F.col("_new"), F.col("_spans").isNotNull())}))
 
 
 def _written(spans: Column) -> Column:

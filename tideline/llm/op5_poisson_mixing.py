@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import broadcast_within, staged
+from tideline.llm.common import broadcast_within, packed, staged, unpacked
 from tideline.llm.registry import llm_query, table
 
 # Shares of sources are raised to this power before they are normalised: below 1, small sources gain.
@@ -67,10 +67,11 @@ def mix(docs: DataFrame, rates: DataFrame, source: str = "source", text: str = "
 
     Rows are dealt to partitions by the key, a hash, so that every partition is a random part of the whole.
     """
-    digest = F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary"))
-    own = F.coalesce(F.col(doc_id).cast("string"), F.lit(""))
-    joined = docs.drop("copies", "copy", "order_key").withColumn("_digest", digest).join(
-        broadcast_within(rates, BROADCAST_BYTES), F.col(source).eqNullSafe(F.col("_of")))
+    inner = F.col("_doc").getField
+    digest = F.md5(F.coalesce(inner(text), F.lit("")).cast("binary"))
+    own = F.coalesce(inner(doc_id).cast("string"), F.lit(""))
+    joined = packed(docs).withColumn("_digest", digest).join(
+        broadcast_within(rates, BROADCAST_BYTES), inner(source).eqNullSafe(F.col("_of")))
 
     def part(j: Column) -> Column:
         u = hashed_uniform(F.lit(seed), own, F.col("_digest"), j.cast("string"))
@@ -81,7 +82,7 @@ def mix(docs: DataFrame, rates: DataFrame, source: str = "source", text: str = "
     counted = joined.withColumn("copies", copies).where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
     order = F.substring(F.md5(F.concat_ws("|", F.lit(seed), F.lit("order"), own, F.col("_digest"), F.col("copy").cast("string"))), 1, 16)
     kept = [c for c in docs.columns if c not in ("copies", "copy", "order_key")]
-    return counted.withColumn("order_key", order).select(*kept, "copies", "copy", "order_key").repartition("order_key").sortWithinPartitions(
+    return counted.withColumn("order_key", order).select(*unpacked(kept), "copies", "copy", "order_key").repartition("order_key").sortWithinPartitions(
         "order_key", doc_id, "copy")
 
 

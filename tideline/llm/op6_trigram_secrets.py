@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import find_spans, staged, text_key
+from tideline.llm.common import find_spans, new_length, packed, staged, text_key, unpacked
 from tideline.llm.registry import llm_query, table
 
 
@@ -151,11 +151,11 @@ def candidates(index: DataFrame, grams: Sequence[str], rules: Sequence[Rule]) ->
 
 
 def secret_spans(docs: DataFrame, text: str = "text", rules: Sequence[Rule] = RULES) -> DataFrame:
-    """``docs`` plus ``found``: array<struct<start, kind_no, end, kind>>, ordered by start, then by the order of the rules."""
+    """``_doc`` (the whole row as a struct) and ``found``: array<struct<start, kind_no, end, kind>>, ordered by start, then by the order of the rules."""
     grams = query_trigrams(rules)
     wanted = candidates(trigram_index(docs, grams, text), grams, rules).withColumnRenamed("text_key", "_for")
-    joined = docs.withColumn("_key", text_key(text)).join(wanted, F.col("_key") == F.col("_for"), "left")
-    whole = F.coalesce(F.col(text), F.lit(""))
+    whole = F.coalesce(F.col("_doc").getField(text), F.lit(""))
+    joined = packed(docs).withColumn("_key", text_key(whole)).join(wanted, F.col("_key") == F.col("_for"), "left")
     none = F.expr("CAST(array() AS array<struct<start:int,kind_no:int,end:int,kind:string>>)")
 
     def spans(number: int, rule: Rule) -> Column:
@@ -167,26 +167,24 @@ def secret_spans(docs: DataFrame, text: str = "text", rules: Sequence[Rule] = RU
         return F.when(F.array_contains("_rules", F.lit(rule.name)), out).otherwise(none)
 
     found = F.sort_array(F.concat(none, *[spans(i, rule) for i, rule in enumerate(rules)]))
-    return joined.withColumn("found", found).select(*docs.columns, "found")
+    return joined.select("_doc", found.alias("found"))
 
 
 def redact(docs: DataFrame, text: str = "text", rules: Sequence[Rule] = RULES, mask: str = "[SECRET]") -> DataFrame:
     """``docs`` with every found span replaced by ``mask`` (overlapping spans by one); ``n_chars``, if there, follows."""
     found = secret_spans(docs, text, rules)
+    whole = F.col("_doc").getField(text)
     start = F.struct(F.lit(0).alias("at"), F.expr("CAST(array() AS array<string>)").alias("out"))
 
     def step(acc: Column, m: Column) -> Column:
-        ahead = F.array(F.substring(F.col(text), acc["at"] + 1, m["start"] - acc["at"]), F.lit(mask))
+        ahead = F.array(F.substring(whole, acc["at"] + 1, m["start"] - acc["at"]), F.lit(mask))
         return F.when(m["end"] <= acc["at"], acc).otherwise(F.struct(
             m["end"].alias("at"), F.when(m["start"] < acc["at"], acc["out"]).otherwise(F.concat(acc["out"], ahead)).alias("out")))
 
     masked = F.aggregate("found", start, step, lambda acc: F.array_join(
-        F.concat(acc["out"], F.array(F.substring(F.col(text), acc["at"] + 1, F.length(text)))), ""))
-    out = found.withColumn(text, F.when(F.size("found") == 0, F.col(text)).otherwise(masked))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.size("found") == 0, F.col("n_chars")).otherwise(
-            F.length(text).cast(docs.schema["n_chars"].dataType)))
-    return out.select(*docs.columns)
+        F.concat(acc["out"], F.array(F.substring(whole, acc["at"] + 1, F.length(whole)))), ""))
+    out = found.withColumn("_new", F.when(F.size("found") == 0, whole).otherwise(masked))
+    return out.select(*unpacked(docs.columns, **{text: F.col("_new"), **new_length(docs, F.col("_new"), F.size("found") > 0)}))
 
 
 def _written(spans: Column) -> Column:
@@ -203,5 +201,5 @@ def op6_trigram_secrets(spark, sf_dir):
     base = [rule.name for rule in RULES if rule.base]
     counts = [_count_of(name).alias(f"n_{name}") for name in base]
     return secret_spans(docs).select(
-        "doc_id", *counts, F.sha2(_written(F.filter("found", lambda m: m["kind"].isin(base))), 256).alias("base_sha256"),
+        "_doc.doc_id", *counts, F.sha2(_written(F.filter("found", lambda m: m["kind"].isin(base))), 256).alias("base_sha256"),
         _written(F.col("found")).alias("spans"))

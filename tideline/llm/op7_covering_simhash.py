@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tideline.llm.buckets import forest, grouped_buckets, over_groups
-from tideline.llm.common import small_batches, staged
+from tideline.llm.common import packed, small_batches, staged, unpacked
 from tideline.llm.components import connected_components
 from tideline.llm.registry import llm_query, table
 
@@ -118,11 +118,13 @@ def one_per_group(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", r
 
     Of several rows with that id the one with the least hash of id and text stays; of rows equal in both, any one.
     """
-    keyed = docs.withColumn("_row", F.xxhash64(doc_id, F.coalesce(text, F.lit(""))))
-    groups = near_duplicate_groups(keyed, text, doc_id, radius, ("_row",)).where(F.col(doc_id).eqNullSafe(F.col("component_id")))
-    keepers = groups.groupBy("root", F.col(doc_id).alias("_id")).agg(F.min("_row").alias("_stays")).select("_id", "_stays")
-    same = (F.col("_row") == F.col("_stays")) & F.col(doc_id).eqNullSafe(F.col("_id"))
-    return keyed.join(keepers, same, "left_semi").dropDuplicates(["_row", doc_id]).select(*docs.columns)
+    whole = F.col("_doc").getField(text)
+    keyed = packed(docs).select("_doc", F.col("_doc").getField(doc_id).alias("_own"), F.xxhash64(F.col("_doc").getField(doc_id), F.coalesce(whole, F.lit(""))).alias("_row"))
+    prints = keyed.select(whole.alias("text"), "_own", "_row")
+    groups = near_duplicate_groups(prints, "text", "_own", radius, ("_row",)).where(F.col("_own").eqNullSafe(F.col("component_id")))
+    keepers = groups.groupBy("root", F.col("_own").alias("_id")).agg(F.min("_row").alias("_stays")).select("_id", "_stays")
+    same = (F.col("_row") == F.col("_stays")) & F.col("_own").eqNullSafe(F.col("_id"))
+    return keyed.join(keepers, same, "left_semi").dropDuplicates(["_row", "_own"]).select(*unpacked(docs.columns))
 
 
 @llm_query("op7_covering_simhash")
