@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tideline.llm.common import small_batches
 from tideline.llm.registry import llm_query, table
@@ -212,8 +213,9 @@ def encode(docs: DataFrame, machine: Machine, text: str = "text", out: str = "id
     small_batches(docs.sparkSession, 200)
     kept = [c for c in docs.columns if c not in (out, check)]
     place = kept.index(text)
-    schema = docs.select(*kept).withColumn(out, F.array(F.lit(0)))
-    schema = (schema.withColumn(check, F.lit(True)) if check else schema).schema
+    schema = T.StructType([*docs.select(*kept).schema.fields, T.StructField(out, T.ArrayType(T.IntegerType()))])
+    if check:
+        schema = schema.add(check, T.BooleanType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = machine.encoder()
@@ -234,7 +236,7 @@ def decode(encoded: DataFrame, machine: Machine, ids: str = "ids", out: str = "d
     small_batches(encoded.sparkSession, 200)
     kept = [c for c in encoded.columns if c != out]
     place = kept.index(ids)
-    schema = encoded.select(*kept).withColumn(out, F.lit("")).schema
+    schema = T.StructType([*encoded.select(*kept).schema.fields, T.StructField(out, T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

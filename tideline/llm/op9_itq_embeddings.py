@@ -5,7 +5,7 @@ rotated components are balanced and close to the components (iterative quantisat
 is cut into substrings, and vectors that agree in one choice of substrings meet in a table; there they are compared by
 code and then, in double precision, by their original components. A pair is counted in the first table in which it meets.
 Similar vectors differ in few code bits, so they agree in most substrings; how many substrings make a table's key follows
-the number of vectors (a key has about log2 of it bits), so buckets stay of one size.
+the number of vectors (a key has at least log2 of it less 8 bits), so buckets stay of one size.
 
 Exact copies are one class and are never compared. Vectors that are NULL, zero, of another length than most, or hold NULL
 or non-finite components link with nothing (not with their copies either) and get 0 links and their own id; their id may be NULL.
@@ -76,7 +76,7 @@ def fit_itq(sample: np.ndarray, bits: int = BITS, rounds: int = ROUNDS, seed: in
 
 
 def table_masks(vectors: int, bits: int = BITS, parts: int = PARTS) -> list[int]:
-    """Masks of all choices of k substrings, k * bits / parts being at least log2 of the number of vectors, half of the parts at most."""
+    """Masks of all choices of k substrings, so many that a bucket holds about 2 ** (bits / parts) vectors at most; half of the parts at most."""
     width = bits // parts
     k = min(parts // 2, max(1, math.ceil(math.log2(max(2, vectors)) / width - 1)))
     part = (1 << width) - 1
