@@ -85,7 +85,7 @@ def test_outlier_factor_is_high_for_the_lonely(spark):
 def test_topics(spark):
     docs = spark.createDataFrame([("apple banana cherry apple",), ("banana cherry apple",), ("stocks bonds market",),
                                   ("market stocks bonds bonds",)] * 5, "text string")
-    topics, model = text.topic_model(docs, "text", topics=2, iterations=20, words_per_topic=3)
+    topics, model = text.topic_model(docs, "text", topics=2, passes=20, words_per_topic=3)
     assert topics.count() == 6
     weights = model.stages[1].topicsMatrix().toArray()
     assert weights.shape == (6, 2) and (weights > 0).all()

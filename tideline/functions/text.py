@@ -30,10 +30,9 @@ def words(text: Column | str) -> Column:
 
 
 def keywords(text: Column | str, stop_words: Sequence[str]) -> Column:
-    """T4: alphabetic words that are no stop words (a list of a few hundred; larger ones go through ``drop_words``)."""
-    stops = F.array(*[F.lit(w) for w in stop_words]) if stop_words else None
+    """T4: alphabetic words that are no stop words (a list of a few hundred, looked up in a hash set)."""
     alphabetic = F.filter(words(text), lambda w: F.rlike(w, F.lit(ALPHABETIC)))
-    return F.filter(alphabetic, lambda w: ~F.array_contains(stops, w)) if stop_words else alphabetic
+    return F.filter(alphabetic, lambda w: ~w.isin(*stop_words)) if stop_words else alphabetic
 
 
 def ensemble_score(scores: dict[str, float]) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression
@@ -51,10 +52,14 @@ COUNTERS = ("followers_count", "retweets", "likes", "replies", "shares", "views"
 
 def influencer_impact(posts: DataFrame, market: DataFrame, posts_ts: str, market_ts: str, keys: Sequence[str] = (),
                       counters: Sequence[str] = COUNTERS, price: str = "close") -> tuple[DataFrame, object]:
-    """Price at the time of each post, a linear model of it on the counters, and its prediction ``impact_score``."""
+    """Price at the time of each post, a linear model of it on the counters, and its prediction ``impact_score``.
+
+    Posts with a missing counter are not learned from and get no score.
+    """
     joined = asof_join(posts, market, posts_ts, market_ts, keys, prefix="market_")
     target = f"market_{price}"
-    assembled = VectorAssembler(inputCols=list(counters), outputCol="_x", handleInvalid="skip").transform(joined)
+    known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in counters])
+    assembled = VectorAssembler(inputCols=list(counters), outputCol="_x", handleInvalid="keep").transform(joined)
     model = LinearRegression(featuresCol="_x", labelCol=target, predictionCol="impact_score", solver="normal").fit(
-        assembled.where(F.col(target).isNotNull()))
-    return model.transform(assembled).drop("_x"), model
+        assembled.where(F.col(target).isNotNull() & known))
+    return model.transform(assembled).withColumn("impact_score", F.when(known, F.col("impact_score"))).drop("_x"), model

@@ -25,7 +25,7 @@ def asof_join(left: DataFrame, right: DataFrame, left_ts: str, right_ts: str, ke
     Both sides are merged into one ordered series and the right row is carried along it. The merged series is cut by
     range partitioning over (key, time), so one hot key, or none at all, is spread over all tasks; only the last right
     row of each cut travels to the next ones. Right columns come back with ``prefix``; equal right times resolve to
-    the last one by ``right_tiebreak``.
+    the last one by ``right_tiebreak``. A missing time or key matches nothing, on either side.
     """
     if direction not in ("backward", "forward"):
         raise ValueError("direction is 'backward' or 'forward'")
@@ -33,6 +33,8 @@ def asof_join(left: DataFrame, right: DataFrame, left_ts: str, right_ts: str, ke
     if not keys:
         left, right = left.withColumn("_k", F.lit(0)), right.withColumn("_k", F.lit(0))
     on = list(keys) or ["_k"]
+    dated = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in (*keys, right_ts)])
+    right = right.where(dated)
     ties = [f"_t{i}" for i in range(len(right_tiebreak))]
     right_types = {f.name: f.dataType for f in right.schema.fields}
     right_cols = [c for c in right.columns if c not in on]
@@ -48,8 +50,9 @@ def asof_join(left: DataFrame, right: DataFrame, left_ts: str, right_ts: str, ke
     ), allowMissingColumns=True)
     placed, spec = place_rows(merged, SeriesSpec(tuple(on), "_ts", ("_side", *ties, "_hash")))
     filled = (fill_forward if direction == "backward" else fill_backward)(placed, spec, ["_right"])
+    known = reduce(lambda a, b: a & b, [c.isNotNull() for c in (*[F.col(k) for k in keys], F.col("_left")[left_ts])])
     out = filled.where("_is_left").select(
-        *keys, "_left.*", *[F.col(f"_right.{c}").alias(prefix + c) for c in right_cols])
+        *keys, "_left.*", *[F.when(known, F.col("_right")[c]).alias(prefix + c) for c in right_cols])
     if tolerance is not None:
         at = prefix + right_ts
         gap = F.expr(f"INTERVAL {tolerance}")
@@ -88,22 +91,30 @@ def attach_group(df: DataFrame, keys: Sequence[str], **aggregates: Column) -> Da
     return equi_join(df, groups, keys)
 
 
-def pairwise_compare(df: DataFrame, key: str, metrics: Mapping[str, str], limit: int = 10_000) -> DataFrame:
+def pairwise_compare(df: DataFrame, key: str, metrics: Mapping[str, str]) -> DataFrame:
     """Absolute differences between every two rows of a per-group summary (one row per network).
 
-    The result is one row per pair by definition; the input is an aggregated table whose size is checked.
+    The result is one row per pair by definition; the input is an aggregated table.
     """
-    if df.limit(limit + 1).count() > limit:
-        raise ValueError(f"more than {limit} groups to compare pairwise")
-    a, b = df.alias("a"), F.broadcast(df).alias("b")
+    a, b = df.alias("a"), df.alias("b")
     return a.join(b, F.col(f"a.{key}") < F.col(f"b.{key}")).select(
         F.concat_ws("_vs_", f"a.{key}", f"b.{key}").alias("pair"),
         *[F.abs(F.col(f"a.{m}") - F.col(f"b.{m}")).alias(name) for name, m in metrics.items()])
 
 
-def anti_join_new(new: DataFrame, existing: DataFrame, keys: Iterable[str]) -> DataFrame:
-    """Rows of ``new`` whose key is not stored yet, one per key."""
+def one_new_row(new: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+    """One row per key: the last by ``order`` (default: by all other columns that can be compared)."""
+    rest = [f.name for f in new.schema.fields if f.name not in keys]
+    if not rest:
+        return new.distinct()
+    comparable = [f.name for f in new.schema.fields if f.name in rest and not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    order = list(order) or comparable
+    return (one_row_per_key(new, keys, order) if order else new.dropDuplicates(list(keys))).select(*new.columns)
+
+
+def anti_join_new(new: DataFrame, existing: DataFrame, keys: Iterable[str], order: Sequence[str] = ()) -> DataFrame:
+    """Rows of ``new`` whose key is not stored yet, one per key: the last by ``order`` (default: by all other columns)."""
     keys = list(keys)
     stored = existing.select(*keys).withColumnsRenamed({k: f"_s_{k}" for k in keys})
     same = reduce(lambda a, b: a & b, [new[k].eqNullSafe(stored[f"_s_{k}"]) for k in keys])
-    return new.dropDuplicates(keys).join(stored, same, "left_anti")
+    return one_new_row(new.join(stored, same, "left_anti"), keys, order)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -11,7 +12,7 @@ from pyspark.ml.feature import PCA, Imputer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
@@ -22,7 +23,19 @@ from tideline.staging import stage
 
 
 def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> DataFrame:
-    return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="skip").transform(df)
+    """All rows, with a vector of the features; NaN stands for a missing one."""
+    return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="keep").transform(df)
+
+
+def complete(features: Sequence[str]) -> Column:
+    """Whether no feature of a row is missing. Models are fitted on such rows and give NULL for others."""
+    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")) for c in features])
+
+
+def predict(df: DataFrame, model, features: Sequence[str]) -> DataFrame:
+    """Every row with the model's prediction, NULL where a feature is missing."""
+    out = model.getPredictionCol()
+    return model.transform(assemble(df, features)).withColumn(out, F.when(complete(features), F.col(out))).drop("features")
 
 
 # ---------------------------------------------------------------- M1
@@ -116,18 +129,18 @@ def isolation_forest(df: DataFrame, keys: Sequence[str], features: Sequence[str]
                      contamination: float = 0.01, keep: str = "all", seed: int = 7) -> DataFrame:
     """M5: add ``anomaly_score``, ``anomaly`` (the worst ``contamination`` share) and ``severity``.
 
-    Trees need small random samples only (that is the method): a base sample of fixed size is drawn by a hash of the
-    row key, each tree draws its rows from it by another hash, and Spark grows the trees in parallel. The grown trees
+    Trees need small random samples only (that is the method): a base sample of ``trees`` * ``sample`` rows is drawn by a
+    hash of the row key, each tree draws its rows from it by another hash, and Spark grows the trees in parallel. The grown trees
     (at most trees * 2 * sample nodes) are shipped to the tasks that score the whole table in Arrow batches. ``keep``
-    is 'all', 'anomalies' or 'clean'.
+    is 'all', 'anomalies' or 'clean'. Rows with a missing feature are neither learned from nor scored (NULL, no anomaly).
     """
     features, keys = list(features), list(keys)
     total = df.count()
     if not total:
         return df.withColumns({"anomaly_score": F.lit(None).cast("double"), "anomaly": F.lit(None).cast("boolean"),
                                "severity": F.lit(None).cast("double")})
-    base_share = min(1.0, 100 * sample / total)
-    base = df.where(hash_uniform(*keys, F.lit(seed)) < base_share).na.drop(subset=features)
+    base_share = min(1.0, trees * sample / total)
+    base = df.where(hash_uniform(*keys, F.lit(seed)) < base_share).where(complete(features))
     base = stage(base.select(*keys, *[F.col(c).cast("double").alias(c) for c in features]), "forest")
     share = min(1.0, sample / max(1.0, base_share * total))
     drawn = (base.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
@@ -143,12 +156,16 @@ def isolation_forest(df: DataFrame, keys: Sequence[str], features: Sequence[str]
 
     forest = drawn.groupBy("tree").applyInPandas(
         grow, "tree int, node int, left int, right int, feature int, cut double, size int").toPandas()
+    if forest.empty:
+        return flag_worst(df.withColumn("anomaly_score", F.lit(None).cast("double")), "anomaly_score", contamination, keep)
     packed = [g.sort_values("node").to_numpy(dtype=float)[:, 2:] for _, g in forest.groupby("tree")]
     expected = float(np.mean([_mean_path([t[0, 4]])[0] for t in packed])) or 1.0
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = np.nan_to_num(batch[features].to_numpy(dtype=float), nan=0.0)
+            rows = batch[features].to_numpy(dtype=float)
+            missing = np.isnan(rows).any(axis=1)
+            rows = np.nan_to_num(rows, nan=0.0)
             depth = np.zeros(len(rows))
             for tree in packed:
                 at = np.zeros(len(rows), dtype=int)
@@ -161,7 +178,7 @@ def isolation_forest(df: DataFrame, keys: Sequence[str], features: Sequence[str]
                     at[inner] = np.where(goes_left, here[:, 0], here[:, 1]).astype(int)
                     depth[inner] += 1
                 depth += _mean_path(tree[at, 4])
-            batch["anomaly_score"] = np.power(2.0, -depth / len(packed) / expected)
+            batch["anomaly_score"] = np.where(missing, np.nan, np.power(2.0, -depth / len(packed) / expected))
             yield batch
 
     schema = T.StructType([*df.schema.fields, T.StructField("anomaly_score", T.DoubleType())])
@@ -170,9 +187,12 @@ def isolation_forest(df: DataFrame, keys: Sequence[str], features: Sequence[str]
 
 
 def flag_worst(df: DataFrame, score: str, contamination: float, keep: str = "all") -> DataFrame:
-    """Mark rows whose score is above the (1 - contamination) quantile; severity is the distance above it."""
-    limit = F.broadcast(quantiles(df, [], score, {"_limit": 1 - contamination}).withColumn("_k", F.lit(1)))  # one row
-    out = df.withColumn("_k", F.lit(1)).join(limit, "_k").drop("_k")
+    """Mark rows whose score is above the (1 - contamination) quantile; severity is the distance above it.
+
+    Rows without a score count for nothing; rows that share the limit's score are not marked.
+    """
+    limit = F.broadcast(quantiles(df.where(F.col(score).isNotNull()), [], score, {"_limit": 1 - contamination}).withColumn("_k", F.lit(1)))  # one row
+    out = df.withColumn("_k", F.lit(1)).join(limit, "_k", "left").drop("_k")
     out = out.withColumns({"anomaly": F.coalesce(F.col(score) > F.col("_limit"), F.lit(False)),
                            "severity": F.col(score) - F.col("_limit")}).drop("_limit")
     if keep == "all":
@@ -282,20 +302,28 @@ def local_outlier(df: DataFrame, key: str, vector: str, k: int = 20, **options)
 
 def pca(df: DataFrame, features: Sequence[str] | str, k: int | None = None, variance: float = 0.95,
         out: str = "pca") -> tuple[DataFrame, object]:
-    """M7: centred projection on ``k`` components, or on as many as explain ``variance``."""
+    """M7: centred projection on ``k`` components, or on as many as explain ``variance``.
+
+    ``features`` are columns or one vector column. Rows with a missing feature are not learned from and get no projection.
+    """
     if isinstance(features, str):
-        df, source = df, features
+        source = features
     else:
         df, source = assemble(df, features, "_features"), "_features"
+    whole = F.col(source).isNotNull() & ~F.exists(vector_to_array(source), F.isnan)
+    every, df = df, df.where(whole)
     scaler = StandardScaler(inputCol=source, outputCol="_centred", withMean=True, withStd=False)
-    size = int(df.select(F.size(vector_to_array(source))).first()[0])
+    size = int((df.select(F.size(vector_to_array(source))).first() or [0])[0])
+    if not size:
+        raise ValueError("no row has all features")
     centred = scaler.fit(df)
     model = PCA(k=size if k is None else k, inputCol="_centred", outputCol=out).fit(centred.transform(df))
     if k is None:
         explained = np.cumsum(model.explainedVariance.toArray())
         k = int(np.searchsorted(explained, variance - 1e-12) + 1)
         model = PCA(k=min(k, size), inputCol="_centred", outputCol=out).fit(centred.transform(df))
-    return model.transform(centred.transform(df)).drop("_centred", "_features"), model
+    projected = model.transform(centred.transform(every)).withColumn(out, F.when(whole, F.col(out)))
+    return projected.drop("_centred", "_features"), model
 
 
 def pca_anomaly(df: DataFrame, features: Sequence[str], k: int | None = None, variance: float = 0.95,
@@ -305,13 +333,14 @@ def pca_anomaly(df: DataFrame, features: Sequence[str], k: int | None = None, va
     The error is |x|^2 - |projection|^2 because the components are orthonormal, so it stays a column expression.
     """
     assembled = assemble(df, features, "_raw")
-    scaler = StandardScaler(inputCol="_raw", outputCol="_scaled", withMean=True, withStd=True).fit(assembled)
+    scaler = StandardScaler(inputCol="_raw", outputCol="_scaled", withMean=True, withStd=True).fit(assembled.where(complete(features)))
     projected, _ = pca(scaler.transform(assembled), "_scaled", k, variance, "_projection")
 
     def square(c: str):
         return F.aggregate(vector_to_array(c), F.lit(0.0), lambda a, v: a + v * v)
 
-    scored = projected.withColumn("reconstruction_error", F.greatest(square("_scaled") - square("_projection"), F.lit(0.0)))
+    error = F.greatest(square("_scaled") - square("_projection"), F.lit(0.0))
+    scored = projected.withColumn("reconstruction_error", F.when(complete(features), error))
     return flag_worst(scored.drop("_raw", "_scaled", "_projection"), "reconstruction_error", contamination, keep)
 
 
@@ -322,7 +351,7 @@ def feature_importance(df: DataFrame, features: Sequence[str], target: str, tree
     """(feature, importance) of a forest (or of boosted trees)."""
     learner = GBTRegressor if boosted else RandomForestRegressor
     size = {"maxIter": trees} if boosted else {"numTrees": trees}
-    model = learner(featuresCol="features", labelCol=target, seed=seed, **size).fit(assemble(df, features))
+    model = learner(featuresCol="features", labelCol=target, seed=seed, **size).fit(assemble(df.where(complete([*features, target])), features))
     rows = [(f, float(v)) for f, v in zip(features, model.featureImportances.toArray())]
     return df.sparkSession.createDataFrame(rows, "feature string, importance double")
 
@@ -368,17 +397,16 @@ def risk_predictor(df: DataFrame, spec: SeriesSpec, features: Sequence[str], pri
     The target is the return to the next row of the same series, so features never see it.
     """
     following = F.lead(price, 1).over(spec.window)
-    data = stage(assemble(df.withColumn("next_return", ratio(following, F.col(price)) - 1), features), "predictor")
+    data = stage(df.withColumn("next_return", ratio(following, F.col(price)) - 1), "predictor")
     forest = RandomForestRegressor(featuresCol="features", labelCol="next_return", predictionCol="predicted_return", seed=seed)
     grid = (ParamGridBuilder().addGrid(forest.numTrees, list(trees)).addGrid(forest.maxDepth, list(depths))
             .addGrid(forest.minInstancesPerNode, list(leaves)).build())
     search = CrossValidator(estimator=forest, estimatorParamMaps=grid, numFolds=folds, seed=seed, parallelism=2,
                             evaluator=RegressionEvaluator(labelCol="next_return", predictionCol="predicted_return"))
-    model = search.fit(data.where(F.col("next_return").isNotNull())).bestModel
-    return model.transform(data).drop("features"), model
+    model = search.fit(assemble(data.where(complete([*features, "next_return"])), features)).bestModel
+    return predict(data, model, features), model
 
 
 def model_signals(df: DataFrame, spec: SeriesSpec, model, features: Sequence[str], out: str = "signal") -> DataFrame:
     """The model's prediction as a signal, acted on one row later."""
-    predicted = model.transform(assemble(df, features))
-    return predicted.withColumn(out, spec.lag(model.getPredictionCol())).drop("features")
+    return predict(df, model, features).withColumn(out, spec.lag(model.getPredictionCol()))

@@ -173,7 +173,8 @@ def parabolic_sar(df: DataFrame, spec: SeriesSpec, step: float = 0.02, limit: fl
         key, rising, level, extreme, speed, recent = None, True, None, None, step, []
         for batch in batches:
             out = []
-            for here, high, low in zip(zip(*[batch[k] for k in keys]), batch["high"], batch["low"]):
+            series = batch.pop("_series")
+            for here, high, low in zip(series, batch["high"], batch["low"]):
                 if here != key:
                     key, rising, level, extreme, speed, recent = here, True, low, high, step, [(high, low)]
                     out.append(None)
@@ -191,7 +192,8 @@ def parabolic_sar(df: DataFrame, spec: SeriesSpec, step: float = 0.02, limit: fl
             batch["parabolic_sar"] = pd.Series(out, index=batch.index, dtype="float64")
             yield batch
 
-    ordered = df.repartition(*keys).sortWithinPartitions(*keys, *spec.order)
+    # One text per key: a missing part of a key is equal to itself there, as in grouping.
+    ordered = df.withColumn("_series", F.to_json(F.struct(*keys))).repartition("_series").sortWithinPartitions("_series", *spec.order)
     return ordered.mapInPandas(walk, schema)
 
 

@@ -66,12 +66,13 @@ def extract_keywords(df: DataFrame, text: str, custom: Sequence[str] = (), repla
             .withColumn("keywords", F.coalesce("keywords", F.array().cast("array<string>"))))
 
 
-def match_entities(df: DataFrame, key: str, text: str, gazetteer: DataFrame, longest: int = 3) -> DataFrame:
-    """T5: (key, position, phrase, label) for every phrase of 1..``longest`` words listed in a gazetteer table.
+def match_entities(df: DataFrame, key: str, text: str, gazetteer: DataFrame) -> DataFrame:
+    """T5: (key, position, phrase, label) for every phrase listed in a gazetteer table, however many words it has.
 
     Every word is unrolled together with its followers (shifted copies of the text, zipped once per row) and joined to
     the phrases that start with it; the join condition compares the other words, so no phrase is ever built.
     """
+    longest = gazetteer.agg(F.max(F.size(F.split("phrase", " ")))).first()[0] or 1
     tokens = df.select(key, tx.words(text).alias("w0")).where(F.size("w0") > 0)
     shifted = [F.col("w0"), *[F.slice("w0", n + 1, F.greatest(F.size("w0") - n, F.lit(0))) for n in range(1, longest)]]
     tokens = tokens.select(key, *[c.alias(f"w{n}") for n, c in enumerate(shifted)])
@@ -79,7 +80,7 @@ def match_entities(df: DataFrame, key: str, text: str, gazetteer: DataFrame, lon
     spans = tokens.select(key, F.posexplode(zipped).alias("_at", "_w")).select(key, (F.col("_at") + 1).alias("position"), "_w.*")
     words = F.split("phrase", " ")
     listed = gazetteer.select("phrase", "label", F.size(words).alias("_n"),
-                              *[F.get(words, n).alias(f"g{n}") for n in range(longest)]).where(F.col("_n") <= longest)
+                              *[F.get(words, n).alias(f"g{n}") for n in range(longest)])
     same = F.col("w0") == F.col("g0")
     for n in range(1, longest):
         same = same & ((F.col("_n") <= n) | (F.col(f"w{n}") == F.col(f"g{n}")))
@@ -105,17 +106,18 @@ def sentiment_volatility(df: DataFrame, by: Sequence[str] = (), value: str = "se
     return df.groupBy(*by).agg(F.stddev_samp(value).alias("volatility"), F.count(value).alias("n"))
 
 
-def topic_model(df: DataFrame, text: str, topics: int = 5, iterations: int = 10, words_per_topic: int = 5,
-                vocabulary: int = 20_000, min_documents: float = 1.0, custom: Sequence[str] = (), seed: int = 7):
+def topic_model(df: DataFrame, text: str, topics: int = 5, passes: int = 10, words_per_topic: int = 5,
+                min_documents: float = 1.0, custom: Sequence[str] = (), seed: int = 7):
     """One model for the whole corpus: (topic, rank, word, weight), and the fitted pipeline.
 
-    The tokenised corpus is staged once, because online LDA passes over it repeatedly.
+    Every pass of the online learner reads every document, and every word in ``min_documents`` documents is in the
+    vocabulary. The tokenised corpus is staged once, because the learner passes over it repeatedly.
     """
     corpus = stage(extract_keywords(df, text, custom).select("keywords"), "corpus")
-    counter = CountVectorizer(inputCol="keywords", outputCol="features", vocabSize=vocabulary, minDF=min_documents)
-    lda = LDA(k=topics, maxIter=iterations, optimizer="online", optimizeDocConcentration=True, seed=seed)
+    words = corpus.select(F.explode("keywords").alias("w")).distinct().count()
+    counter = CountVectorizer(inputCol="keywords", outputCol="features", vocabSize=max(1, words), minDF=min_documents)
+    lda = LDA(k=topics, maxIter=passes, optimizer="online", subsamplingRate=1.0, optimizeDocConcentration=True, seed=seed)
     model = Pipeline(stages=[counter, lda]).fit(corpus)
-    # as many rows as the vocabulary parameter allows
     names = df.sparkSession.createDataFrame(list(enumerate(model.stages[0].vocabulary)), "_term int, word string")
     described = model.stages[1].describeTopics(words_per_topic)
     ranked = described.select("topic", F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("rank", "_t"))

@@ -23,10 +23,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """documents, spread over the cores when the file is a single split (a large table has splits enough)."""
-    docs = table(spark, sf_dir, "documents")
-    cores = spark.sparkContext.defaultParallelism
-    return docs.repartition(cores) if docs.rdd.getNumPartitions() < min(cores, 8) else docs
+    return table(spark, sf_dir, "documents")
 
 
 def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -148,5 +148,5 @@ def st9_asof_stream(spark, sf):
     def market(session):
         return zoned(bars(session, sf), "ts").select("symbol", F.col("ts").alias("bar_ts"), "close")
 
-    streams.asof_stream(stream, market, out, checkpoint, "ts", "bar_ts", ["symbol"], look_back="7 days", prefix="m_").awaitTermination()
+    streams.asof_stream(stream, market, out, checkpoint, "ts", "bar_ts", ["symbol"], prefix="m_").awaitTermination()
     return tidy(spark.read.parquet(out), "event_id", "symbol", "m_bar_ts", "m_close")

@@ -93,20 +93,22 @@ def t7_batch_preprocess(spark, sf):
 
 
 def gazetteer(spark, sf):
-    """Phrases of one to three words that open a benchmark passage."""
-    opening = table(spark, sf, "benchmark").select("item_id", tx.words("text").alias("w"))
-    phrases = opening.select(F.explode(F.array(*[F.struct(F.array_join(F.slice("w", 1, n), " ").alias("phrase"),
-                                                          F.lit(f"opening{n}").alias("label")) for n in (1, 2, 3)])).alias("g"))
-    return phrases.select("g.*").distinct()
+    """Phrases of one to five words that follow "from" anywhere in a benchmark passage."""
+    passages = table(spark, sf, "benchmark").select(tx.words("text").alias("w"))
+    places = passages.select("w", F.posexplode("w").alias("at", "word")).where("word = 'from'")
+    phrases = places.select(F.explode(F.array(*[
+        F.when(F.size("w") >= F.col("at") + 1 + n, F.struct(F.array_join(F.slice("w", F.col("at") + 2, n), " ").alias("phrase"), F.lit(f"span{n}").alias("label")))
+        for n in (1, 2, 3, 4, 5)])).alias("g"))
+    return phrases.where("g IS NOT NULL").select("g.*").distinct()
 
 
 ENTITIES_SQL = rf"""bw AS (SELECT regexp_extract_all(lower(text), '{WORD}') AS w FROM benchmark),
-gaz AS (SELECT DISTINCT unnest([array_to_string(w[1:1], ' '), array_to_string(w[1:2], ' '), array_to_string(w[1:3], ' ')]) AS phrase,
-   unnest(['opening1', 'opening2', 'opening3']) AS label FROM bw),
+bp AS (SELECT w, i FROM bw, unnest(range(1, len(w) + 1)) AS u(i) WHERE w[i] = 'from'),
+gaz AS (SELECT DISTINCT array_to_string(w[i + 1:i + n], ' ') AS phrase, 'span' || n AS label FROM bp, unnest([1, 2, 3, 4, 5]) AS v(n) WHERE len(w) >= i + n),
 dw AS (SELECT doc_id, regexp_extract_all(lower(text), '{WORD}') AS w FROM documents),
 pos AS (SELECT doc_id, unnest(w) AS t, unnest(range(1, len(w) + 1)) AS position FROM dw),
-nx AS (SELECT *, lead(t, 1) OVER p AS t2, lead(t, 2) OVER p AS t3 FROM pos WINDOW p AS (PARTITION BY doc_id ORDER BY position)),
-spans AS (SELECT doc_id, position, unnest([t, t || ' ' || t2, t || ' ' || t2 || ' ' || t3]) AS phrase FROM nx),
+nx AS (SELECT *, lead(t, 1) OVER p AS t2, lead(t, 2) OVER p AS t3, lead(t, 3) OVER p AS t4, lead(t, 4) OVER p AS t5 FROM pos WINDOW p AS (PARTITION BY doc_id ORDER BY position)),
+spans AS (SELECT doc_id, position, unnest([t, t || ' ' || t2, t || ' ' || t2 || ' ' || t3, t || ' ' || t2 || ' ' || t3 || ' ' || t4, t || ' ' || t2 || ' ' || t3 || ' ' || t4 || ' ' || t5]) AS phrase FROM nx),
 ent AS (SELECT doc_id, CAST(position AS INTEGER) AS position, phrase, label FROM spans JOIN gaz USING (phrase)),
 de AS (SELECT DISTINCT doc_id, phrase FROM ent)"""
 
@@ -197,5 +199,5 @@ def g3_influencer_impact(spark, sf):
 
 @query("t6_topic_model")
 def t6_topic_model(spark, sf):
-    topics, _ = text.topic_model(documents(spark, sf).select("text"), "text", topics=5, iterations=10)
+    topics, _ = text.topic_model(documents(spark, sf).select("text"), "text", topics=5, passes=10)
     return tidy(topics)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -176,13 +177,28 @@ def normalize_posts(raw: DataFrame) -> DataFrame:
 
 
 def normalize_onchain(raw: DataFrame) -> DataFrame:
-    """JSON-RPC envelopes; hex results as numbers; ``rejected`` where a required part is missing."""
+    """JSON-RPC envelopes; hex results as numbers; ``rejected`` where a required part is missing.
+
+    Up to 31 hex digits (leading zeros apart) are exact; a longer number, or one of more than 38 decimal digits, leaves
+    ``result_value`` NULL and sets ``overflow``.
+    """
     keep = [c for c in raw.columns if c != "payload"]
     body = F.from_json("payload", "jsonrpc string, id long, result string")
     df = raw.select(*keep, body.alias("_b")).select(*keep, "_b.*")
-    hexadecimal = F.when(F.startswith("result", F.lit("0x")), F.conv(F.substring("result", 3, 16), 16, 10).cast("decimal(20,0)"))
+    digits = F.when(F.rlike("result", F.lit("^0x[0-9A-Fa-f]+$")), F.regexp_replace(F.substring("result", 3, 1 << 30), "^0+(?=.)", ""))
+    padded = F.lpad(digits, 45, "0")
+
+    def limb(at: int) -> Column:
+        return F.conv(F.substring(padded, at, 15), 16, 10).cast("decimal(38,0)")
+
+    high, middle, low = limb(1), limb(16), limb(31)
+    joined = (high * F.lit(Decimal(16 ** 15)) + middle) * F.lit(Decimal(16 ** 15)) + low
+    hexadecimal = F.when(F.length(digits) <= 31, joined.cast("decimal(38,0)"))
+    number = F.rlike("result", F.lit("^[+-]?[0-9]+$"))
+    value = F.coalesce(hexadecimal, F.when(digits.isNull(), F.col("result").try_cast("decimal(38,0)")))
     return df.withColumns({
-        "result_value": F.coalesce(hexadecimal, F.col("result").try_cast("decimal(20,0)")),
+        "result_value": value,
+        "overflow": F.coalesce(value.isNull() & (digits.isNotNull() | number), F.lit(False)),
         "rejected": F.col("jsonrpc").isNull() | F.col("id").isNull() | F.col("result").isNull()})
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
-from tideline.operators.joins import anti_join_new
+from tideline.operators.joins import anti_join_new, one_new_row
 
 
 def load_table(spark: SparkSession, path: str, columns: Sequence[str] | None = None, condition: str | None = None,
@@ -60,7 +60,7 @@ def append_dedup(new: DataFrame, path: str, keys: Sequence[str] = ("timestamp",
             raise
         existing = None
     if existing is None:
-        fresh = new.dropDuplicates(list(keys))
+        fresh = one_new_row(new, list(keys))
     else:
         if partition:
             touched = new.select(partition).distinct()

@@ -16,7 +16,7 @@ from pyspark.sql.window import Window as W
 
 from tideline.functions.expr import ratio
 from tideline.operators import onchain, quality, risk, text
-from tideline.operators.joins import asof_join
+from tideline.operators.joins import asof_join, one_row_per_key
 from tideline.series import SeriesSpec, over_chunks
 from tideline.sources import payloads
 
@@ -64,10 +64,10 @@ def sentiment_stream(posts: DataFrame, ts: str = "created_at", window: str = "1
 
 def score_stream(rows: DataFrame, model, features: Sequence[str], ts: str = "ts") -> DataFrame:
     """ST4: check the schema, add date features, predict. Batch size is the source's ``maxOffsetsPerTrigger``."""
-    from tideline.operators.models import assemble
+    from tideline.operators.models import predict
 
     checked = quality.validate_schema(rows, [*features, ts], allow_empty=True)
-    return model.transform(assemble(quality.datetime_features(checked, ts), features)).drop("features")
+    return predict(quality.datetime_features(checked, ts), model, features)
 
 
 def dedup_stream(rows: DataFrame, keys: Sequence[str], ts: str = "ts", watermark: str = "1 hour") -> DataFrame:
@@ -144,18 +144,18 @@ class RollingStream:
 
 
 def asof_stream(posts: DataFrame, market: Callable[[SparkSession], DataFrame], path: str, checkpoint: str, posts_ts: str,
-                market_ts: str, keys: Sequence[str], look_back: str = "1 day", prefix: str = "right_", **trigger) -> StreamingQuery:
-    """ST9: every micro-batch of posts against the market table of its own time range (plus ``look_back``).
+                market_ts: str, keys: Sequence[str], prefix: str = "right_", **trigger) -> StreamingQuery:
+    """ST9: every micro-batch of posts against the market rows of its own time range and the last older row of every key.
 
-    The range reaches the market scan as a filter, so files and partitions outside it are skipped.
+    However old the last market row is, it is found, as in the join of whole tables.
     """
     def join(batch: DataFrame, batch_id: int) -> None:
         span = batch.agg(F.min(posts_ts).alias("a"), F.max(posts_ts).alias("b")).first()
         if span["a"] is None:
             return
         table = market(batch.sparkSession)
-        near = table.where((F.col(market_ts) >= F.lit(span["a"]) - F.expr(f"INTERVAL {look_back}"))
-                           & (F.col(market_ts) <= F.lit(span["b"])))
+        older = one_row_per_key(table.where(F.col(market_ts) < F.lit(span["a"])), keys, [market_ts])
+        near = table.where((F.col(market_ts) >= F.lit(span["a"])) & (F.col(market_ts) <= F.lit(span["b"]))).unionByName(older)
         joined = asof_join(batch, near, posts_ts, market_ts, keys, prefix=prefix)
         joined.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 

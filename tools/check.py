@@ -62,7 +62,7 @@ def main() -> int:
     args = parser.parse_args()
     sf_dir = f"/root/testdata/{args.sf}"
     spark = build_session("local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
-                                         "spark.driver.memory": "8g"})
+                                         "spark.driver.memory": "4g"})
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
     failed = 0
