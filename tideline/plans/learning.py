@@ -36,7 +36,7 @@ def f2_rolling_stats(spark, sf):
 @query("f2_rolling_stats_ticks", f"WITH {TICKS_SQL} SELECT event_id, " + r(*[
     f"{roll('avg' if s == 'mean' else 'stddev_samp', 'price', w, order='ts, event_id')} AS price_rolling_{s}_{w}" for w in (5, 10, 20) for s in ("mean", "std")]) + " FROM ticks")
 def f2_rolling_stats_ticks(spark, sf):
-    out = over_chunks(ticks(spark, sf), TICKS, lambda df, spec: features.rolling_stats(df, spec, ["price"]), halo=20, chunk_rows=1000)
+    out = over_chunks(ticks(spark, sf), TICKS, lambda df, spec: features.rolling_stats(df, spec, ["price"]), halo=20)
     return tidy(out, "event_id", *[f"price_rolling_{s}_{w}" for w in (5, 10, 20) for s in ("mean", "std")])
 
 

@@ -15,9 +15,11 @@ from tideline.plans.social import POSTS_SQL, posts
 from tideline.plans.tables import MARKET_SQL, QUOTES_SQL, TELEMETRY_SQL, telemetry
 from tideline.series import SeriesSpec
 from tideline.sources import payloads
+from tideline.staging import stage
 from tideline.streaming import streams
 
-FILES = 4
+# A replay lands its table in so many slices, one after the other.
+SLICES = 4
 
 
 def zoned(df: DataFrame, ts: str) -> DataFrame:
@@ -25,35 +27,47 @@ def zoned(df: DataFrame, ts: str) -> DataFrame:
     return df.withColumn(ts, F.col(ts).cast("timestamp"))
 
 
-def landed(spark: SparkSession, df: DataFrame) -> tuple[DataFrame, str]:
-    """The table as files of a landing folder, read one per batch."""
+def slices(df: DataFrame, ts: str | None, arrival=None) -> list[DataFrame]:
+    """The table in parts of equal time spans of ``arrival`` (default: ``ts``), oldest first; without times, parts by hash."""
+    kept = df.columns
+    if ts is None:
+        number = F.pmod(F.xxhash64(*kept), F.lit(SLICES))
+    else:
+        at = F.unix_micros(F.col(ts) if arrival is None else arrival)
+        start, end = df.agg(F.min(at), F.max(at)).first()
+        number = F.least(F.floor((at - F.lit(start)) / F.lit(float(max(1, end - start))) * SLICES), F.lit(SLICES - 1))
+    numbered = stage(df.withColumn("_slice", number), "slices")
+    return [numbered.where(F.col("_slice") == i).select(*kept) for i in range(SLICES)]
+
+
+def land(spark: SparkSession, parts: list[DataFrame], start) -> None:
+    """Append each part to a landing folder, as many files as it has partitions, and let the stream take it before the next."""
     path = scratch(spark, "landing")
-    df.repartition(FILES).write.parquet(path)
-    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path), path
+    for part in parts:
+        part.write.mode("append").parquet(path)
+        start(spark.readStream.schema(part.schema).parquet(path)).awaitTermination()
 
 
-def replay(spark: SparkSession, df: DataFrame, build, ts: str | None = None) -> DataFrame:
-    """Run a stream to the end of its files and read the sink.
+def replay(spark: SparkSession, df: DataFrame, build, ts: str | None = None, closing: bool = True) -> DataFrame:
+    """Run a stream over the slices of a table and read the sink.
 
-    With ``ts`` a row far in the future follows in a later run, so that the watermark closes every open window.
+    With ``closing`` a row far in the future follows, so that the watermark closes every open window.
     """
-    stream, path = landed(spark, df)
     out, checkpoint = scratch(spark, "sink"), scratch(spark, "checkpoint")
     width = spark.conf.get("spark.sql.shuffle.partitions")
     # state is kept per shuffle partition for good; a replay on few cores needs few of them
     spark.conf.set("spark.sql.shuffle.partitions", str(min(int(width), spark.sparkContext.defaultParallelism)))
     try:
-        streams.write_stream(build(stream), out, checkpoint, availableNow=True).awaitTermination()
-        if ts:
-            end = df.limit(1).withColumn(ts, F.lit("2100-01-01").cast("timestamp"))
-            end.write.mode("append").parquet(path)
-            streams.write_stream(build(stream), out, checkpoint, availableNow=True).awaitTermination()
+        parts = slices(df, ts)
+        if ts and closing:
+            parts.append(df.limit(1).withColumn(ts, F.lit("2100-01-01").cast("timestamp")))
+        land(spark, parts, lambda stream: streams.write_stream(build(stream), out, checkpoint, availableNow=True))
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", width)
-    return spark.read.schema(build(stream).schema).parquet(out)
+    return spark.read.schema(build(df).schema).parquet(out)
 
 
-LATE = "60 days"  # the replayed files are not in time order
+LATE = "30 minutes"
 
 
 @query("st1_quotes_stream", f"""WITH {RAW_SQL} SELECT event_id, source,
@@ -93,32 +107,25 @@ def st4_score_stream(spark, sf):
 
 @query("st5_dedup_stream", "SELECT DISTINCT ts AS ts, round(value, 6) + 0.0 AS price FROM events")
 def st5_dedup_stream(spark, sf):
-    """Every event arrives twice, in different files."""
+    """Every event arrives twice."""
     e = zoned(table(spark, sf, "events").select("ts", F.col("value").alias("price")), "ts")
-    return tidy(replay(spark, e.unionByName(e), lambda s: streams.dedup_stream(s, ["ts", "price"], watermark=LATE)))
+    return tidy(replay(spark, e.unionByName(e), lambda s: streams.dedup_stream(s, ["ts", "price"], watermark=LATE), "ts", closing=False))
 
 
 @query("st6_rolling_stream", f"""WITH {POSTS_SQL} SELECT event_id, source,
   {r(roll('avg', 'sentiment', 7, 'source', 'created_at, event_id') + ' AS sentiment_trend',
      roll('stddev_samp', 'sentiment', 7, 'source', 'created_at, event_id') + ' AS sentiment_volatility')} FROM posts""")
 def st6_rolling_stream(spark, sf):
-    """Files hold time slices that overlap by some minutes, so rows arrive out of order within the delay."""
+    """Slices overlap by some minutes, so rows arrive out of order within the delay."""
     spec = SeriesSpec(("source",), "created_at", ("event_id",))
     p = zoned(posts(spark, sf).select("event_id", "source", "created_at", "sentiment", "retweets", "likes", "replies", "shares",
                                       "followers_count"), "created_at")
-    path, state, checkpoint = scratch(spark, "landing"), scratch(spark, "rolling"), scratch(spark, "checkpoint")
-    start, end = p.agg(F.min("created_at"), F.max("created_at")).first()
+    state, checkpoint = scratch(spark, "rolling"), scratch(spark, "checkpoint")
     jitter = F.make_interval(mins=(F.col("event_id") % 30).cast("int"))
-    arrival = F.floor((F.unix_micros(F.col("created_at") + jitter) - F.unix_micros(F.lit(start)))
-                      / ((end - start).total_seconds() * 1e6 + 1) * FILES)
-    keyed = p.withColumn("_slice", F.least(arrival, F.lit(FILES - 1)))
-    for part in range(FILES):  # one file after the other, so that modification times follow arrival
-        keyed.where(F.col("_slice") == part).drop("_slice").coalesce(1).write.mode("append").parquet(path)
-    rolling = streams.RollingStream(state, spec, features.post_metrics, look_back=7, delay="45 minutes", chunk_rows=1000)
-    stream = spark.readStream.schema(p.schema).option("maxFilesPerTrigger", 1).parquet(path)
-    writer = stream.writeStream.foreachBatch(rolling).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    writer.awaitTermination()
-    rolling.flush(spark, p.schema, FILES)
+    rolling = streams.RollingStream(state, spec, features.post_metrics, look_back=7, delay="45 minutes")
+    land(spark, slices(p, "created_at", F.col("created_at") + jitter), lambda stream: stream.writeStream.foreachBatch(rolling).option(
+        "checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    rolling.flush(spark, p.schema, rolling.last + 1)
     return tidy(rolling.results(spark), "event_id", "source", "sentiment_trend", "sentiment_volatility")
 
 
@@ -142,11 +149,14 @@ def st8_telemetry_stream(spark, sf):
   SELECT e.event_id, e.symbol, m.bar_ts AS m_bar_ts, {r('m.close AS m_close')}
   FROM ticks e ASOF LEFT JOIN mk m ON e.symbol = m.symbol AND e.ts >= m.bar_ts""")
 def st9_asof_stream(spark, sf):
-    stream, _ = landed(spark, zoned(ticks(spark, sf).select("symbol", "ts", "event_id"), "ts"))
     out, checkpoint = scratch(spark, "asof"), scratch(spark, "checkpoint")
+    stored = scratch(spark, "market")
+    bars_by_day = zoned(bars(spark, sf), "ts").select("symbol", F.col("ts").alias("bar_ts"), "close")
+    bars_by_day.withColumn("day", F.to_date("bar_ts")).write.partitionBy("day").parquet(stored)
 
     def market(session):
-        return zoned(bars(session, sf), "ts").select("symbol", F.col("ts").alias("bar_ts"), "close")
+        return session.read.parquet(stored).select("symbol", "bar_ts", "close")
 
-    streams.asof_stream(stream, market, out, checkpoint, "ts", "bar_ts", ["symbol"], prefix="m_").awaitTermination()
+    land(spark, slices(zoned(ticks(spark, sf).select("symbol", "ts", "event_id"), "ts"), "ts"),
+         lambda stream: streams.asof_stream(stream, market, out, checkpoint, "ts", "bar_ts", ["symbol"], prefix="m_"))
     return tidy(spark.read.parquet(out), "event_id", "symbol", "m_bar_ts", "m_close")

@@ -219,7 +219,7 @@ TICK = over(order="ts, event_id")
   SELECT event_id, symbol, {r('CASE WHEN loss = 0 THEN 100 ELSE 100 - 100 / (1 + gain / loss) END AS RSI')} FROM g""")
 def w2_rsi_ticks(spark, sf):
     t = ticks(spark, sf).withColumnRenamed("price", "close")
-    return tidy(over_chunks(t, TICKS, indicators.rsi, halo=indicators.LOOK_BACK["rsi"], chunk_rows=1000),
+    return tidy(over_chunks(t, TICKS, indicators.rsi, halo=indicators.LOOK_BACK["rsi"]),
                 "event_id", "symbol", "RSI")
 
 
@@ -228,8 +228,7 @@ def w2_rsi_ticks(spark, sf):
                               roll('avg', 'price', 50, order='ts, event_id') + ' AS LMA')} FROM ticks""")
 def w3_moving_averages_ticks(spark, sf):
     t = ticks(spark, sf).withColumnRenamed("price", "close")
-    return tidy(over_chunks(t, TICKS, indicators.moving_averages, halo=indicators.LOOK_BACK["moving_averages"],
-                            chunk_rows=1000), "event_id", "symbol", "SMA", "LMA")
+    return tidy(over_chunks(t, TICKS, indicators.moving_averages, halo=indicators.LOOK_BACK["moving_averages"]), "event_id", "symbol", "SMA", "LMA")
 
 
 @query("w5_obv_ticks", f"""WITH {TICKS_SQL},
@@ -238,5 +237,5 @@ def w3_moving_averages_ticks(spark, sf):
   SELECT event_id, symbol, {r('OBV', roll('avg', 'OBV', 10, order='ts, event_id') + ' AS OBV_smoothed')} FROM o""")
 def w5_obv_ticks(spark, sf):
     t = ticks(spark, sf).withColumnRenamed("price", "close")
-    return tidy(over_chunks(t, TICKS, indicators.obv, halo=indicators.LOOK_BACK["obv"], chunk_rows=1000),
+    return tidy(over_chunks(t, TICKS, indicators.obv, halo=indicators.LOOK_BACK["obv"]),
                 "event_id", "symbol", "OBV", "OBV_smoothed")

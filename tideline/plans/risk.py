@@ -60,7 +60,7 @@ for _number, _metric in enumerate(risk.METRICS, start=1):
 def r12_risk_metrics_ticks(spark, sf):
     """Raw ticks: the series is split into chunks and the quantile comes from sorted positions."""
     indexed = index_series(ticks(spark, sf), TICKS)
-    chunked, spec = split_chunks(indexed, TICKS, chunk_rows=1000, halo=1)
+    chunked, spec = split_chunks(indexed, TICKS, halo=1)
     frame = drop_halo(risk.return_frame(chunked, spec, "price"))
     frame = frame.select("symbol", "r", "dd", F.lit(None).cast("double").alias("b"))
     out = risk.summarise(frame, ["symbol"], long_series=True)

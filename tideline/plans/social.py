@@ -186,7 +186,7 @@ def f4_post_metrics(spark, sf):
     """Raw posts, one source may hold most of them: the series is split into chunks."""
     from tideline.series import SeriesSpec
     spec = SeriesSpec(("source",), "created_at", ("event_id",))
-    return tidy(over_chunks(posts(spark, sf), spec, features.post_metrics, halo=7, chunk_rows=1000),
+    return tidy(over_chunks(posts(spark, sf), spec, features.post_metrics, halo=7),
                 "event_id", "engagement_rate", "sentiment_trend", "sentiment_volatility", digits=8)
 
 

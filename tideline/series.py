@@ -23,6 +23,8 @@ from pyspark.sql.window import Window as W
 from tideline.staging import stage
 
 CHUNK_ROWS = 100_000
+# Rows of a range-partitioned run, at most about this many.
+RUN_ROWS = 1_000_000
 HALO = "_halo"
 # Weights below this share of the newest one cannot change a double.
 NEGLIGIBLE = 1e-30
@@ -105,6 +107,10 @@ def place_rows(df: DataFrame, spec: SeriesSpec, partitions: int | None = None) -
     executor or a second scan cannot see different ones.
     """
     order = [*spec.keys, *spec.order]
+    if partitions is None:
+        # A run is scanned by one task, so the number of cuts follows the rows, not a setting of the session.
+        wanted = -(-df.count() // RUN_ROWS)
+        partitions = wanted if wanted > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else None
     ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
     placed = ranged.sortWithinPartitions(*order).withColumn("_pos", F.monotonically_increasing_id())
     placed = stage(placed, "series").withColumn("_run", F.shiftright("_pos", 33))

@@ -33,12 +33,15 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def unstage(df: DataFrame) -> None:
     """Remove a table that ``stage`` wrote, once nothing reads it any more."""
     spark = df.sparkSession
     folder = f"/{spark.sparkContext.applicationId}/"
-    jvm = spark.sparkContext._jvm
     for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
         if folder in path:
-            target = jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+            remove_folder(spark, path)

@@ -19,6 +19,7 @@ from tideline.operators import onchain, quality, risk, text
 from tideline.operators.joins import asof_join, one_row_per_key
 from tideline.series import SeriesSpec, over_chunks
 from tideline.sources import payloads
+from tideline.staging import remove_folder
 
 
 def quotes_stream(raw: DataFrame, symbol: str = "BTC") -> DataFrame:
@@ -91,13 +92,15 @@ class RollingStream:
     Rows wait until the newest event time minus ``delay`` has passed them, so out-of-order rows are put in order before
     they are counted. Each batch joins the last rows of every key (the tail) with the rows that became ready and runs
     the batch operator in chunks, so a hot key is split inside the batch too. Tail, waiting rows and the watermark are
-    written per batch id and read from the one before: repeating a batch after a failure gives the same files.
+    written per batch id and read from the one before: repeating a batch after a failure gives the same files. State older
+    than that is removed; late rows and results stay.
     """
 
     def __init__(self, path: str, spec: SeriesSpec, operator: Callable[[DataFrame, SeriesSpec], DataFrame], look_back: int,
                  delay: str = "1 hour", chunk_rows: int = 100_000):
         self.path, self.spec, self.operator = path, spec, operator
         self.look_back, self.delay, self.chunk_rows = look_back, delay, chunk_rows
+        self.last = -1
 
     def _read(self, spark: SparkSession, name: str, batch: int, like: DataFrame) -> DataFrame:
         if batch < 0:
@@ -135,6 +138,10 @@ class RollingStream:
         self._write(late, "late", batch_id)
         passed = spark.range(1).select(F.lit(seen).cast("timestamp").alias("seen"), limit.cast("timestamp").alias("released"))
         self._write(passed, "clock", batch_id)
+        for name in ("tail", "waiting", "clock"):  # a repeated batch reads the one before it, never an older one
+            if batch_id >= 2:
+                remove_folder(spark, f"{self.path}/{name}/batch={batch_id - 2}")
+        self.last = batch_id
 
     def _write(self, df: DataFrame, name: str, batch: int) -> None:
         df.write.mode("overwrite").parquet(f"{self.path}/{name}/batch={batch}")
