@@ -5,8 +5,9 @@ from __future__ import annotations
 from itertools import combinations
 
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import RandomForestRegressor
+from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from tideline.operators import features, models, technical
 from tideline.plans.inputs import (BARS, BARS_SQL, TICKS, TICKS_SQL, TRANSFERS_SQL, bars, over, r, roll, table, ticks,
@@ -192,3 +193,77 @@ def m12_model_signals(spark, sf):
 def m16_feature_pipeline(spark, sf):
     b = bars(spark, sf).withColumn("sentiment", F.col("volume") / F.col("trades") / 50 - 1)
     return tidy(features.feature_pipeline(b, BARS))
+
+
+# ---------------------------------------------------------------- the same operators where SQL knows the answer
+
+@query("m1_impute_one_gap", f"""WITH {GAPS}, f AS (SELECT regr_slope(k, user_id) AS b, regr_intercept(k, user_id) AS a FROM gaps WHERE k IS NOT NULL)
+  SELECT event_id, {r('coalesce(k, a + b * user_id) AS k', digits=4)} FROM gaps, f""")
+def m1_impute_one_gap(spark, sf):
+    """One incomplete column and one complete one: the line fitted on the observed rows."""
+    out = models.impute_iterative(gappy(spark, sf).select("event_id", "k", "user_id"), ["k", "user_id"])
+    return tidy(out, "event_id", "k", digits=4)
+
+
+@query("m5_planted_outliers", "SELECT CAST(i AS BIGINT) AS event_id FROM unnest([-3, -2, -1]) AS t(i)")
+def m5_planted_outliers(spark, sf):
+    """Rows far outside all others are among the flagged ones."""
+    t = ticks(spark, sf).select("event_id", "price", "volume")
+    planted = t.orderBy("event_id").limit(3).select((-F.row_number().over(W.orderBy("event_id"))).cast("long").alias("event_id"),
+                                                   (F.col("price") + 1e6).alias("price"), (F.col("volume") - 1e6).alias("volume"))
+    out = models.isolation_forest(t.unionByName(planted), ["event_id"], ["price", "volume"], keep="anomalies")
+    return out.where("event_id < 0").select("event_id")
+
+
+@query("m7_pca_all_components", f"""WITH e AS (SELECT vec_id, CAST(unnest(embedding) AS DOUBLE) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings),
+  m AS (SELECT i, avg(x) AS m FROM e GROUP BY i) SELECT vec_id, {r('sum((x - m) ** 2) AS squared_length')} FROM e JOIN m USING (i) GROUP BY vec_id""")
+def m7_pca_all_components(spark, sf):
+    """With all components the projection keeps the centred vector's length."""
+    from pyspark.ml.functions import vector_to_array
+    e = vectors(spark, sf)
+    size = len(e.first()["v"])
+    out, _ = models.pca(e, "v", k=size)
+    return tidy(out.select("vec_id", F.aggregate(vector_to_array("pca"), F.lit(0.0), lambda a, x: a + x * x).alias("squared_length")))
+
+
+@query("m8_pca_anomaly_pair", f"""WITH {TRANSFERS_SQL}, c AS (SELECT tx_id, transactionVolume AS x, fees AS y FROM transfers),
+  s AS (SELECT avg(x) AS mx, stddev_samp(x) AS sx, avg(y) AS my, stddev_samp(y) AS sy, corr(x, y) AS r FROM c WHERE x IS NOT NULL AND y IS NOT NULL)
+  SELECT tx_id, {r("(CASE WHEN r > 0 THEN (x - mx) / sx - (y - my) / sy ELSE (x - mx) / sx + (y - my) / sy END) ** 2 / 2 AS reconstruction_error")} FROM c, s""")
+def m8_pca_anomaly_pair(spark, sf):
+    """Two scaled features and one component: the distance from the diagonal. Orders without lines stay, without an error."""
+    t = transfers(spark, sf).select("tx_id", "transactionVolume", "fees")
+    return tidy(models.pca_anomaly(t, ["transactionVolume", "fees"], k=1), "tx_id", "reconstruction_error")
+
+
+@query("m9_selection_properties", """SELECT * FROM (VALUES ('boosted', 7, 0), ('lasso', 7, 0), ('rfe', 7, 4)) AS t(method, n_features, n_wanted)""")
+def m9_selection_properties(spark, sf):
+    """Every method scores every feature; elimination keeps as many as wanted."""
+    out = models.feature_selection(feature_frame(spark, sf), FEATURES, "target", wanted=4)
+    return out.groupBy("method").agg(F.countDistinct("feature").cast("int").alias("n_features"), F.when(
+        F.col("method") == "rfe", F.count_if("selected")).otherwise(F.lit(0)).cast("int").alias("n_wanted"))
+
+
+@query("m10_importance_properties", "SELECT 7 AS n_features, CAST(1 AS DOUBLE) AS total")
+def m10_importance_properties(spark, sf):
+    """Importances are shares."""
+    out = models.feature_importance(feature_frame(spark, sf), FEATURES, "target")
+    return tidy(out.agg(F.count("feature").cast("int").alias("n_features"), F.sum("importance").alias("total")))
+
+
+@query("m11_predicted_rows", f"""WITH {BARS_SQL} SELECT symbol, ts, {r(f'lead(close) {over()} / close - 1 AS next_return')}, lag(close) {over()} IS NOT NULL AS predicted FROM bars""")
+def m11_predicted_rows(spark, sf):
+    """Every bar comes back with its target; only those without a feature lack a prediction."""
+    b = features.lags(bars(spark, sf), BARS, steps=(1,))
+    out, _ = models.risk_predictor(b, BARS, ["close", "volume", "close_lag_1"], folds=2, trees=(5,), depths=(3,), leaves=(1,))
+    return tidy(out.withColumn("predicted", F.col("predicted_return").isNotNull()), *OUT, "next_return", "predicted")
+
+
+@query("m12_model_signals_linear", f"""WITH {BARS_SQL}, t AS (SELECT symbol, ts, close, lead(close) {over()} AS target FROM bars),
+  f AS (SELECT regr_slope(target, close) AS b, regr_intercept(target, close) AS a FROM t WHERE target IS NOT NULL)
+  SELECT symbol, ts, {r(f'lag(a + b * close) {over()} AS signal', digits=4)} FROM t, f""")
+def m12_model_signals_linear(spark, sf):
+    """A line on one feature, acted on one bar later."""
+    frame = bars(spark, sf).withColumn("target", F.lead("close", 1).over(BARS.window))
+    line = LinearRegression(featuresCol="features", labelCol="target", solver="normal")
+    model = line.fit(models.assemble(frame.where("target IS NOT NULL"), ["close"]))
+    return tidy(models.model_signals(frame, BARS, model, ["close"]), *OUT, "signal", digits=4)

@@ -201,3 +201,22 @@ def g3_influencer_impact(spark, sf):
 def t6_topic_model(spark, sf):
     topics, _ = text.topic_model(documents(spark, sf).select("text"), "text", topics=5, passes=10)
     return tidy(topics)
+
+
+@query("g3_influencer_impact_one", f"""WITH {BARS_SQL}, mk AS (SELECT symbol, ts AS bar_ts, close FROM bars){POSTS_SQL[len(TICKS_SQL):]},
+  j AS (SELECT p.event_id, p.source, trunc(p.volume) AS x, mk.close AS y FROM (SELECT * FROM posts JOIN (SELECT event_id, volume FROM ticks) USING (event_id)) p ASOF LEFT JOIN mk ON p.source = mk.symbol AND p.created_at >= mk.bar_ts),
+  f AS (SELECT regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM j)
+  SELECT event_id, source, {r('y AS market_close', 'a + b * x AS impact_score', digits=4)} FROM j, f""")
+def g3_influencer_impact_one(spark, sf):
+    """One counter: the line through the posts' prices."""
+    market = bars(spark, sf).select(F.col("symbol").alias("source"), F.col("ts").alias("bar_ts"), "close")
+    out, _ = graph.influencer_impact(posts(spark, sf), market, "created_at", "bar_ts", ["source"], counters=("retweets",))
+    return tidy(out, "event_id", "source", "market_close", "impact_score", digits=4)
+
+
+@query("t6_topic_properties", "SELECT 5 AS topics, 25 AS rows, 5 AS largest_rank, TRUE AS shares")
+def t6_topic_properties(spark, sf):
+    """Five topics of five words each, with weights that are shares of the topic."""
+    topics, _ = text.topic_model(documents(spark, sf).select("text"), "text", topics=5, passes=2)
+    return topics.agg(F.countDistinct("topic").cast("int").alias("topics"), F.count(F.lit(1)).cast("int").alias("rows"),
+                      F.max("rank").cast("int").alias("largest_rank"), F.every((F.col("weight") > 0) & (F.col("weight") <= 1)).alias("shares"))
