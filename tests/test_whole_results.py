@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.ml.regression import LinearRegression
 
@@ -72,6 +73,22 @@ def test_rows_with_a_missing_feature_stay_without_a_score(spark):
     assert models.isolation_forest(nothing, ["id"], ["a", "b"]).where("anomaly_score IS NULL AND NOT anomaly").count() == len(gap)
 
 
+@pytest.mark.parametrize("offset,copies", [(0.0, 1), (1e8, 1), (0.0, 30), (1e6, 30)])
+def test_neighbours_are_exact_far_away_and_among_copies(spark, offset, copies):
+    rng = np.random.default_rng(8)
+    points = np.repeat(rng.standard_normal((300 // copies, 8)) + offset, copies, axis=0)
+    df = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)], "id long, v array<double>")
+    found = models.nearest_neighbours(df, "id", "v", k=5, pivots=4).orderBy("id", "rank").collect()
+    distance = np.sqrt(((points[:, None] - points[None]) ** 2).sum(2))
+    np.fill_diagonal(distance, np.inf)
+    assert len(found) == 1500
+    for i in range(300):
+        expected = sorted(range(300), key=lambda j: (distance[i, j], j))[:5]
+        assert [r["neighbour"] for r in found[5 * i:5 * i + 5]] == expected
+    flagged = models.local_outlier(df, "id", "v", k=5, contamination=0.05, keep="anomalies").collect()
+    assert len(flagged) <= 15 and all(r["severity"] > 0 for r in flagged)
+
+
 def test_a_signal_moves_by_one_row_past_a_gap(spark):
     df = spark.createDataFrame([("s", i, float(i) if i != 3 else None, 2.0 * i) for i in range(6)], "k string, ts int, x double, y double")
     model = LinearRegression(featuresCol="features", labelCol="y", predictionCol="prediction").fit(models.assemble(df.where("x IS NOT NULL"), ["x"]))

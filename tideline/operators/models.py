@@ -219,8 +219,9 @@ def nearest_neighbours(df: DataFrame, key: str, vector: str, k: int = 20, pivots
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             points = np.stack(batch["_v"].to_numpy()).astype(float)
-            distances = np.sqrt(np.maximum(
-                (points ** 2).sum(1)[:, None] - 2 * points @ centres.T + (centres ** 2).sum(1)[None], 0))
+            # plain differences: the expanded square loses all digits far from the origin
+            distances = np.concatenate([np.sqrt(((points[i:i + 512, None, :] - centres[None]) ** 2).sum(2))
+                                        for i in range(0, len(points), 512)])
             batch["_cell"] = distances.argmin(1).astype("int32")
             batch["_far"] = distances.min(1)
             batch["_all"] = list(distances)
@@ -236,12 +237,12 @@ def nearest_neighbours(df: DataFrame, key: str, vector: str, k: int = 20, pivots
     blocks = {c: -(-r["n"] // block) for c, r in stats.items()}
     cells = sorted(stats)
     at = F.col("_all")
-    slack = 1e-9
+    slack = 1 + 1e-9
     if holds:
-        reach = F.least(*[F.get(at, c) + r for c, r in holds.items()], F.lit(float("inf"))) + slack
+        reach = F.least(*[F.get(at, c) + r for c, r in holds.items()], F.lit(float("inf"))) * slack + 1e-300
     else:
         reach = F.lit(float("inf"))
-    wanted = F.filter(F.array(*[F.when(F.greatest(F.get(at, c) - float(stats[c]["far"]), float(stats[c]["near"]) - F.get(at, c),
+    wanted = F.filter(F.array(*[F.when(F.greatest(F.get(at, c) - float(stats[c]["far"]) * slack, float(stats[c]["near"]) - F.get(at, c) * slack,
                                                   F.lit(0.0)) <= reach, F.lit(c)) for c in cells]), lambda c: c.isNotNull())
     count_of = F.create_map(*[x for c in cells for x in (F.lit(c), F.lit(int(blocks[c])))])
     base = placed.withColumn("_block", F.floor(hash_uniform("_id", F.lit("b")) * F.element_at(count_of, F.col("_cell"))).cast("int"))
@@ -259,19 +260,25 @@ def nearest_neighbours(df: DataFrame, key: str, vector: str, k: int = 20, pivots
         right = right.sort_values("_bid")
         others = right["_bid"].to_numpy()
         points, targets = np.stack(left["_v"].to_numpy()).astype(float), np.stack(right["_bv"].to_numpy()).astype(float)
+        middle = targets.mean(axis=0)
+        sizes = ((targets - middle) ** 2).sum(1)
         out = []
         for start in range(0, len(points), 512):
             part, ids = points[start:start + 512], left["_id"].to_numpy()[start:start + 512]
-            rough = (part ** 2).sum(1)[:, None] - 2 * part @ targets.T + (targets ** 2).sum(1)[None]
+            own = ((part - middle) ** 2).sum(1)
+            rough = own[:, None] - 2 * (part - middle) @ (targets - middle).T + sizes[None]
             rough[ids[:, None] == others[None]] = np.inf
-            take = min(k + 8, len(others))
-            near = np.argpartition(rough, take - 1, axis=1)[:, :take]
-            exact = np.sqrt(((part[:, None, :] - targets[near]) ** 2).sum(2))
-            exact[ids[:, None] == others[near]] = np.inf
-            out.append(pd.DataFrame({"_id": np.repeat(ids, take), "_other": others[near].ravel(), "_d": exact.ravel()}))
-        found = pd.concat(out)
-        found = found[np.isfinite(found["_d"])].sort_values(["_id", "_d", "_other"])
-        return found.groupby("_id").head(k)
+            # Every row within the rounding error of the k-th rough value may be among the nearest, ties included.
+            error = 64 * np.finfo(float).eps * points.shape[1] * (own + sizes.max())
+            limit = np.partition(rough, min(k, len(others)) - 1, axis=1)[:, min(k, len(others)) - 1] + 2 * error
+            a, b = np.nonzero((rough <= limit[:, None]) & np.isfinite(rough))
+            exact = np.concatenate([np.sqrt(((part[a[i:i + 65_536]] - targets[b[i:i + 65_536]]) ** 2).sum(1))
+                                    for i in range(0, len(a), 65_536)]) if len(a) else np.zeros(0)
+            order = np.lexsort((b, exact, a))  # others are sorted, so positions break ties like ids
+            first = np.searchsorted(a[order], np.arange(len(part)))
+            kept = order[np.arange(len(order)) - first[a[order]] < k]
+            out.append(pd.DataFrame({"_id": ids[a[kept]], "_other": others[b[kept]], "_d": exact[kept]}))
+        return pd.concat(out)
 
     kind = dict(rows.dtypes)["_id"]
     group = ["_cell", "_block", "_group"]
@@ -285,8 +292,12 @@ def nearest_neighbours(df: DataFrame, key: str, vector: str, k: int = 20, pivots
     return ranked.select(F.col("_id").alias(key), F.col("_other").alias("neighbour"), F.col("_d").alias("distance"), "rank")
 
 
-def local_outlier(df: DataFrame, key: str, vector: str, k: int = 20, **options) -> DataFrame:
-    """M6: local outlier factor of every row, from its exact k nearest neighbours."""
+def local_outlier(df: DataFrame, key: str, vector: str, k: int = 20, contamination: float | None = None, keep: str = "all",
+                  **options) -> DataFrame:
+    """M6: local outlier factor of every row, from its exact k nearest neighbours.
+
+    With ``contamination`` the worst share is flagged (``anomaly``, ``severity``) as by the other outlier methods.
+    """
     near = stage(nearest_neighbours(df, key, vector, k, **options), "neighbours")
     reach = near.groupBy(key).agg(F.max("distance").alias("_kdist"))
     other = reach.withColumnsRenamed({key: "neighbour", "_kdist": "_other_kdist"})
@@ -295,7 +306,8 @@ def local_outlier(df: DataFrame, key: str, vector: str, k: int = 20, **options)
     density = stage(density, "density")
     neighbour_density = density.withColumnsRenamed({key: "neighbour", "lrd": "_other_lrd"})
     factor = near.join(neighbour_density, "neighbour").groupBy(key).agg(F.avg("_other_lrd").alias("_mean"))
-    return factor.join(density, key).select(key, "lrd", (F.col("_mean") / F.col("lrd")).alias("lof"))
+    out = factor.join(density, key).select(key, "lrd", (F.col("_mean") / F.col("lrd")).alias("lof"))
+    return out if contamination is None else flag_worst(out, "lof", contamination, keep)
 
 
 # ---------------------------------------------------------------- M7, M8
