@@ -127,7 +127,11 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, text: str = "text", limi
     pairs = pairs.select("_key", "p.entity", "p.term").join(supported, F.col("entity") == F.col("_entity"), "left_semi")
     pairs = pairs.groupBy("entity", "term", "_key").agg(F.count(F.lit(1)).alias("n")).groupBy("entity", "term").agg(
         F.count(F.lit(1)).alias("texts"), F.sum("n").alias("together")).where(F.col("texts") >= limits.support)
-    pairs = staged(pairs, "pairs")
+    # A term stands in at least the documents where it is beside any entity. Where that alone leaves too much information, the
+    # count over all documents can only leave more, so ordinary words need not be counted there.
+    near = mentions.select(F.explode(F.array_distinct("_beside.term")).alias("_near")).groupBy("_near").agg(F.count(F.lit(1)).alias("least"))
+    pairs = pairs.join(near, F.col("term") == F.col("_near")).where(F.col("together") >= F.col("least") * F.lit(2.0 ** -limits.generalise_bits * (1 - 1e-9)))
+    pairs = staged(pairs.select("entity", "term", "together"), "pairs")
 
     terms = broadcast_within(staged(pairs.select(F.col("term").alias("_term")).distinct(), "terms"), BROADCAST_BYTES)
     words = F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(TERM), F.lit(0)))
