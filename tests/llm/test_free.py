@@ -180,3 +180,15 @@ def test_embeddings_against_brute_force(spark):
 @pytest.mark.parametrize("number,bits", [(10, 8), (100_000, 16), (10_000_000, 16), (100_000_000, 24), (10 ** 12, 32)])
 def test_keys_grow_with_the_number_of_vectors(number, bits):
     assert {(m & (2 ** 64 - 1)).bit_count() for m in vectors.table_masks(number)} == {bits}
+
+
+@pytest.mark.parametrize("number", [10, 10_000_000, 100_000_000])
+def test_recall_does_not_follow_the_number_of_vectors(number):
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal((3000, 64))
+    masks = vectors.table_masks(number)
+    a, b = vectors.probe_pairs(x, 0.95, seed=12)
+    met = np.zeros(len(a), dtype=bool)
+    for q in vectors.fit_quantisers(x, masks, 0.95):
+        met |= vectors.meeting(a, b, q, masks)
+    assert np.allclose((a * b).sum(axis=1), 0.95) and met.mean() >= 0.975

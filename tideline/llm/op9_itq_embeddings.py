@@ -2,10 +2,11 @@
 
 A rotation of the centred, principal-component projected vectors is learned on a bounded sample so that the signs of the
 rotated components are balanced and close to the components (iterative quantisation). The signs are a binary code. The code
-is cut into substrings, and vectors that agree in one choice of substrings meet in a table; there they are compared by
-code and then, in double precision, by their original components. A pair is counted in the first table in which it meets.
-Similar vectors differ in few code bits, so they agree in most substrings; how many substrings make a table's key follows
-the number of vectors (a key has at least log2 of it less 8 bits), so buckets stay of one size.
+is cut into substrings, and vectors that agree in one substring meet in a table; there they are compared by code and then,
+in double precision, by their original components. A pair is counted in the first table in which it meets.
+The length of a substring follows the number of vectors (at least log2 of it less 8 bits), so buckets stay of one size. Longer
+substrings agree more rarely, so further rotations are learned, each of which adds its tables, until ``RECALL`` of pairs made
+to lie just at the threshold meet: the recall does not follow the number of vectors.
 
 Exact copies are one class and are never compared. Vectors that are NULL, zero, of another length than most, or hold NULL
 or non-finite components link with nothing (not with their copies either) and get 0 links and their own id; their id may be NULL.
@@ -15,7 +16,6 @@ result; further columns have no influence.
 
 from __future__ import annotations
 
-import itertools
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -38,6 +38,9 @@ MOST_BITS = 18
 SAMPLE = 20_000
 ROUNDS = 50
 THRESHOLD = 0.95
+# Rotations are added until this part of the probe pairs at the threshold meets in some table, of so many made from the sample.
+RECALL = 0.985
+PROBES = 4000
 BLOCK = 1024
 
 
@@ -76,14 +79,43 @@ def fit_itq(sample: np.ndarray, bits: int = BITS, rounds: int = ROUNDS, seed: in
 
 
 def table_masks(vectors: int, bits: int = BITS, parts: int = PARTS) -> list[int]:
-    """Masks of all choices of k substrings, so many that a bucket holds about 2 ** (bits / parts) vectors at most; half of the parts at most."""
+    """Masks of the disjoint substrings of k parts, so long that a bucket holds about 2 ** (bits / parts) vectors at most; half of the parts at most."""
     width = bits // parts
     k = min(parts // 2, max(1, math.ceil(math.log2(max(2, vectors)) / width - 1)))
-    part = (1 << width) - 1
-    masks = [sum(part << (width * i) for i in chosen) for chosen in itertools.combinations(range(parts), k)]
+    masks = [((1 << width * k) - 1) << (width * k * i) for i in range(parts // k)]
     return [m - (1 << 64) if m >> 63 else m for m in masks]
 
 
+def probe_pairs(sample: np.ndarray, threshold: float, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
+    """Unit vectors of the sample, and for each one at a random place where the cosine to it is ``threshold``."""
+    rng = np.random.default_rng(seed)
+    a = sample[rng.integers(len(sample), size=PROBES)]
+    a = a / np.linalg.norm(a, axis=1, keepdims=True)
+    w = rng.standard_normal(a.shape)
+    w -= np.einsum("ij,ij->i", w, a)[:, None] * a
+    w /= np.linalg.norm(w, axis=1, keepdims=True)
+    return a, threshold * a + math.sqrt(max(0.0, 1 - threshold * threshold)) * w
+
+
+def meeting(a: np.ndarray, b: np.ndarray, quantiser: Quantiser, masks: list[int]) -> np.ndarray:
+    """Whether a[i] and b[i] agree under some mask."""
+    apart = quantiser.codes(a) ^ quantiser.codes(b)
+    return ((apart[:, None] & np.array(masks, dtype=np.int64)) == 0).any(axis=1)
+
+
+def fit_quantisers(sample: np.ndarray, masks: list[int], threshold: float) -> list[Quantiser]:
+    """Rotations from different starts, until ``RECALL`` of the probe pairs meet under the masks of one of them."""
+    fitted = [fit_itq(sample)]
+    if sample.shape[1] < 2:  # along a line, vectors above the threshold have one direction, hence one code
+        return fitted
+    a, b = probe_pairs(sample, threshold)
+    met = meeting(a, b, fitted[0], masks)
+    while met.mean() < RECALL:
+        fitted.append(fit_itq(sample, seed=7 + len(fitted)))
+        met |= meeting(a, b, fitted[-1], masks)
+    return fitted
+
+
 def vector_classes(vectors: DataFrame, vec_id: str, embedding: str) -> tuple[DataFrame, int]:
     """(id, vector, copies, least) per distinct usable vector, stored, and the number of dimensions.
 
@@ -108,41 +140,44 @@ def class_links(classes: DataFrame, dims: int, threshold: float = THRESHOLD) ->
     schema = pa.schema([("id", pa.int64()), ("other", pa.int64()), ("links", pa.int64())])
     if number < 2:
         return spark.createDataFrame([], "id long, other long, links long")
-    quantiser = fit_itq(np.stack(sample.to_numpy()))
+    vectors = np.stack(sample.to_numpy())
+    masks = table_masks(number)
+    quantisers = fit_quantisers(np.ldexp(vectors, -np.frexp(np.abs(vectors).max(axis=1))[1][:, None]), masks, threshold)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = batch.column("vector").flatten().to_numpy().reshape(batch.num_rows, dims)
             # Powers of two scale without rounding: no square of a component can overflow or vanish.
             values = np.ldexp(values, -np.frexp(np.abs(values).max(axis=1))[1][:, None])
-            codes = quantiser.codes(values / np.linalg.norm(values, axis=1, keepdims=True))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("copies"), batch.column("vector"), pa.array(codes)],
-                                             names=["id", "copies", "vector", "code"])
+            unit = values / np.linalg.norm(values, axis=1, keepdims=True)
+            codes = np.stack([q.codes(unit) for q in quantisers], axis=1)
+            listed = pa.ListArray.from_arrays(pa.array(np.arange(len(codes) + 1, dtype=np.int32) * len(quantisers)), pa.array(codes.ravel()))
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("copies"), batch.column("vector"), listed],
+                                             names=["id", "copies", "vector", "codes"])
 
     small_batches(spark, 2048)
-    coded = staged(classes.select("id", "copies", "vector").mapInArrow(encode, "id long, copies long, vector array<double>, code long"), "codes")
-    masks = table_masks(number)
-    keys = F.array(*[F.col("code").bitwiseAND(F.lit(m)) for m in masks])
-    rows = coded.select("id", "copies", "vector", "code", F.posexplode(keys).alias("table", "key"))
-    bit_masks = np.array(masks, dtype=np.int64)
+    coded = staged(classes.select("id", "copies", "vector").mapInArrow(encode, "id long, copies long, vector array<double>, codes array<long>"), "codes")
+    tables = [(q, m) for q in range(len(quantisers)) for m in masks]
+    keys = F.array(*[F.get("codes", F.lit(q)).bitwiseAND(F.lit(m)) for q, m in tables])
+    rows = coded.select("id", "copies", "vector", "codes", F.posexplode(keys).alias("table", "key"))
 
     def compare(group: pa.Table, first: int) -> pa.RecordBatch | None:
-        ids, codes, copies = (group.column(k).to_numpy() for k in ("id", "code", "copies"))
+        ids, copies = (group.column(k).to_numpy() for k in ("id", "copies"))
+        codes = group.column("codes").combine_chunks().flatten().to_numpy().reshape(len(ids), len(quantisers))
         number = int(group.column("table")[0].as_py())
         whole = first == len(ids)
         skip = 0 if whole else first
-        differ = codes[:first, None] ^ codes[None, skip:]
+        differ = codes[:first, None, 0] ^ codes[None, skip:, 0]
         near = np.bitwise_count(differ.view(np.uint64)) <= MOST_BITS
         if whole:
             near = np.triu(near, 1)
         a, b = np.nonzero(near)
         if not len(a):
             return None
-        apart = differ[a, b]
-        fresh = np.ones(len(a), dtype=bool)
-        for mask in bit_masks[:number]:
-            fresh &= (apart & mask) != 0
-        a, b = a[fresh], b[fresh] + skip
+        b = b + skip
+        for q, mask in tables[:number]:  # only pairs that met in no earlier table
+            fresh = ((codes[a, q] ^ codes[b, q]) & np.int64(mask)) != 0
+            a, b = a[fresh], b[fresh]
         if not len(a):
             return None
         vectors = group.column("vector").combine_chunks().flatten().to_numpy().reshape(len(ids), dims)
