@@ -18,10 +18,13 @@ from tideline.llm import op7_covering_simhash as duplicates
 from tideline.llm import op8_wfst_pieces as pieces
 from tideline.staging import staging_root
 
+# A line in more than 5 texts of a source goes, however large the source is. (A share of the source would keep it in a large one.)
+LIMITS = quality.LineLimits(max_share=0.0)
+
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the rules, without the lines that many documents of their source share."""
-    return quality.apply_line_rules(docs)
+    return quality.apply_line_rules(docs, limits=LIMITS)
 
 
 def duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

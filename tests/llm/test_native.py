@@ -148,3 +148,13 @@ def test_licences(spark, licence_model):
     assert all(r["paragraph_no"] == 1 and r["similarity"] >= 0.25 for r in out)
     assert licences.license_paragraphs(docs.limit(0), model=licence_model).count() == 0
     assert licences.license_paragraphs(odd_docs(spark), model=licence_model).count() == 0
+
+
+def test_the_pipeline_removes_a_line_whatever_the_size_of_its_source(spark):
+    import corpus_pipeline
+
+    texts = [f"Read more on page {i}\n{body(i)}" for i in range(8)]
+    rest = [body(i) for i in range(100, 250)]
+    docs = docs_of(spark, texts, "small").union(docs_of(spark, texts + rest, "large"))
+    kept = corpus_pipeline.quality_stage(spark, docs, "").collect()
+    assert len(kept) == 166 and not any("Read more" in r["text"] for r in kept)
