@@ -158,3 +158,13 @@ def test_the_pipeline_removes_a_line_whatever_the_size_of_its_source(spark):
     docs = docs_of(spark, texts, "small").union(docs_of(spark, texts + rest, "large"))
     kept = corpus_pipeline.quality_stage(spark, docs, "").collect()
     assert len(kept) == 166 and not any("Read more" in r["text"] for r in kept)
+
+
+def test_terms_far_from_a_protected_entity(spark):
+    texts = [f"Zanzibar u77 {body(i, 40)} anna@corp.org {body(i + 500, 20)} zanzibar" for i in range(6)] + [f"{body(900)} Zanzibar"]
+    texts += [f"{body(i, 30)} about" for i in range(100, 130)]
+    out = by_id(disclosure.private_spans(docs_of(spark, texts)))
+    for i in range(6):
+        assert [(texts[i][s["start"]:s["end"]], s["kind"]) for s in out[i]["_added"]] == [("u77", "removed"), ("Zanzibar", "generalised"), ("zanzibar", "generalised")]
+    assert [(texts[6][s["start"]:s["end"]], s["kind"]) for s in out[6]["_added"]] == [("Zanzibar", "generalised")]
+    assert not any(out[i]["_added"] for i in range(7, len(texts)))

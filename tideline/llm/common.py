@@ -43,7 +43,7 @@ def text_key(text: Column | str) -> Column:
     return F.xxhash64(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")))
 
 
-def find_spans(text: Column, pattern: str) -> Column:
+def find_spans(text: Column, pattern: str | Column) -> Column:
     """All leftmost non-overlapping matches of ``pattern``: array<struct<start, end, value>> in code points, end exclusive.
 
     Spark has no function for match positions. The matches are bracketed by a private-use character (one that stands in

@@ -2,9 +2,9 @@
 
 The spans of the fixed forms (mail and network addresses, card and phone numbers) are the protected entities. How much a term
 says about an entity is estimated from co-occurrence over all documents: what is left of the entity's information once the
-term is known is -log2 p(entity | term), p being the share of documents with the term that hold it beside the entity. Terms
-that leave at most ``remove_bits`` are removed, terms that leave at most ``generalise_bits`` are generalised, wherever they stand beside that entity. A term
-stands beside an entity if it lies within ``window`` characters of it, so the pairs of a document grow with its entities.
+term is known is -log2 p(entity | term), p being the share of documents with the term that hold the entity, at whatever
+distance. Terms that leave at most ``remove_bits`` of some entity are removed, terms that leave at most ``generalise_bits``
+are generalised, at every place of every text outside the fixed forms.
 Entities and pairs need ``support`` different texts, so neither a single mention nor copies of one text teach anything.
 
 NULL text is an empty text without spans. NULL or repeated ids do not matter: spans depend on the text only, and every row
@@ -32,13 +32,12 @@ PATTERNS = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-TERM = r"\p{L}{4,}"
+TERM = r"[\p{L}\p{N}]++"
 BROADCAST_BYTES = 16_000_000
 
 
 @dataclass(frozen=True)
 class Disclosure:
-    window: int = 60
     support: int = 3
     generalise_bits: float = 1.0
     remove_bits: float = 0.15
@@ -93,72 +92,86 @@ def _entity(span: Column) -> Column:
     return F.concat(span["kind"], F.lit(":"), plain)
 
 
-def _terms_beside(text: Column, spans: Column, window: int) -> Column:
-    """array<struct<entity, term, start, end>>: whole words within ``window`` characters of a span and outside all spans."""
-    def of(span: Column) -> Column:
-        low = F.greatest(span["start"] - window, F.lit(0))
-        around = F.substring(text, low + 1, span["end"] + window - low)
-        words = F.transform(find_spans(around, TERM), lambda m: F.struct(
-            _entity(span).alias("entity"), F.lower(m["value"]).alias("term"), (m["start"] + low).alias("start"), (m["end"] + low).alias("end")))
-        # A word that touches the border of the window may be cut, unless the text itself ends there.
-        whole = lambda w: ((w["start"] > low) | (low == 0)) & ((w["end"] < span["end"] + window) | (w["end"] == F.length(text)))
-        return F.filter(words, lambda w: whole(w) & ~F.exists(spans, lambda s: (s["start"] < w["end"]) & (w["start"] < s["end"])))
+def _outside(text: Column, spans: Column) -> Column:
+    """array<string>: the different terms (lower case) of the text outside ``spans``."""
+    # The spans are ordered by kind; those that start within an earlier one add only what lies behind it.
+    step = lambda acc, s: F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(s["start"] > acc["at"], F.concat(
+        acc["out"], F.array(F.substring(text, acc["at"] + 1, s["start"] - acc["at"])))).otherwise(acc["out"]).alias("out"))
+    borders = F.sort_array(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
+    between = F.aggregate(borders, F.struct(F.lit(0).alias("at"), F.expr("CAST(array() AS array<string>)").alias("out")), step,
+                          lambda acc: F.concat(acc["out"], F.array(F.substring(text, acc["at"] + 1, F.length(text)))))
+    return _terms(F.array_join(between, " "))
 
-    return F.flatten(F.transform(spans, of))
 
+def _terms(text: Column) -> Column:
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), F.lower))
 
-def find_entities(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = (), window: int = Disclosure.window) -> DataFrame:
-    """``keep``, _key, _base (spans of the fixed forms) and _beside (terms beside them) of every row. Stored."""
+
+def find_entities(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """``keep``, _key, _base (spans of the fixed forms) and _terms (of texts with such spans: their other terms) of every row. Stored."""
     whole = F.coalesce(F.col(text), F.lit(""))
     found = docs.select(*keep, text_key(text).alias("_key"), whole.alias("_text"), base_spans(whole).alias("_base"))
-    none = F.expr("CAST(array() AS array<struct<entity:string,term:string,start:int,end:int>>)")
-    beside = F.when(F.size("_base") > 0, _terms_beside(F.col("_text"), F.col("_base"), window)).otherwise(none)
-    return staged(found.withColumn("_beside", beside).drop("_text"), "entities")
+    terms = F.when(F.size("_base") > 0, _outside(F.col("_text"), F.col("_base"))).otherwise(F.expr("CAST(array() AS array<string>)"))
+    return staged(found.withColumn("_terms", terms).drop("_text"), "entities")
 
 
 def disclosing_terms(docs: DataFrame, found: DataFrame, text: str = "text", limits: Disclosure = Disclosure()) -> DataFrame:
-    """(entity, term, bits): pairs with support whose term leaves at most ``generalise_bits`` of the entity's information. Stored."""
-    mentions = found.where(F.size("_base") > 0)
-    entities = mentions.select("_key", F.explode(F.array_distinct(F.transform("_base", _entity))).alias("entity"))
-    # Copies of a text are counted first, so that a copied text is one row in what is grouped by entity or pair.
-    entities = entities.groupBy("entity", "_key").agg(F.count(F.lit(1)).alias("n")).groupBy("entity").agg(F.count(F.lit(1)).alias("texts"))
-    supported = entities.where(F.col("texts") >= limits.support).select(F.col("entity").alias("_entity"))
-    pairs = mentions.select("_key", F.explode(F.array_distinct(F.transform("_beside", lambda b: F.struct(b["entity"].alias("entity"), b["term"].alias("term"))))).alias("p"))
-    pairs = pairs.select("_key", "p.entity", "p.term").join(supported, F.col("entity") == F.col("_entity"), "left_semi")
-    pairs = pairs.groupBy("entity", "term", "_key").agg(F.count(F.lit(1)).alias("n")).groupBy("entity", "term").agg(
-        F.count(F.lit(1)).alias("texts"), F.sum("n").alias("together")).where(F.col("texts") >= limits.support)
-    # A term stands in at least the documents where it is beside any entity. Where that alone leaves too much information, the
-    # count over all documents can only leave more, so ordinary words need not be counted there.
-    near = mentions.select(F.explode(F.array_distinct("_beside.term")).alias("_near")).groupBy("_near").agg(F.count(F.lit(1)).alias("least"))
-    pairs = pairs.join(near, F.col("term") == F.col("_near")).where(F.col("together") >= F.col("least") * F.lit(2.0 ** -limits.generalise_bits * (1 - 1e-9)))
-    pairs = staged(pairs.select("entity", "term", "together"), "pairs")
-
-    terms = broadcast_within(staged(pairs.select(F.col("term").alias("_term")).distinct(), "terms"), BROADCAST_BYTES)
-    words = F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(TERM), F.lit(0)))
-    held = docs.select(F.explode(words).alias("word")).join(terms, F.col("word") == F.col("_term"), "left_semi")
-    held = held.groupBy("word").agg(F.count(F.lit(1)).alias("documents"))
-    # A word may lower to other letters than its text; then the pair's own count is the least that is known.
-    bits = -F.log2(F.col("together") / F.greatest(F.col("together"), F.coalesce("documents", F.lit(0))))
-    joined = pairs.join(held, F.col("term") == F.col("word"), "left").select(F.col("entity").alias("_entity"), F.col("term").alias("_of"), bits.alias("bits"))
-    return staged(joined.where(F.col("bits") <= limits.generalise_bits), "disclosing")
-
-
-def added_spans(found: DataFrame, disclosing: DataFrame, limits: Disclosure = Disclosure()) -> DataFrame:
-    """(_key, _added): per text the spans of disclosing terms, by kind, then by start; texts without any are left out."""
-    beside = found.where(F.size("_beside") > 0).select("_key", F.explode("_beside").alias("b")).select("_key", "b.*")
-    hits = beside.join(disclosing, (F.col("entity") == F.col("_entity")) & (F.col("term") == F.col("_of")))
-    # A term beside two entities is treated by the stronger disclosure.
-    spans = hits.groupBy("_key", "start", "end").agg(F.min("bits").alias("bits"))
-    number = F.when(F.col("bits") <= limits.remove_bits, F.lit(len(KINDS))).otherwise(F.lit(len(KINDS) + 1))
-    kind = F.when(F.col("bits") <= limits.remove_bits, F.lit(ADDED[0])).otherwise(F.lit(ADDED[1]))
-    return spans.groupBy(F.col("_key").alias("_for")).agg(F.sort_array(F.collect_list(F.struct(
-        number.alias("kind_no"), "start", "end", kind.alias("kind")))).alias("_added"))  # at most the words of one text
+    """(_term, bits): terms that leave at most ``generalise_bits`` of some entity's information, by pairs with support. Stored."""
+    # Copies of a text are one row with their number from here on.
+    mentions = found.where(F.size("_base") > 0).groupBy("_key").agg(
+        F.count(F.lit(1)).alias("n"), F.first(F.array_distinct(F.transform("_base", _entity))).alias("_entities"), F.first("_terms").alias("_terms"))
+    mentions = staged(mentions, "mentions")
+    entities = mentions.select("_key", "n", F.explode("_entities").alias("entity"))
+    supported = staged(entities.groupBy(F.col("entity").alias("_entity")).agg(F.count(F.lit(1)).alias("_texts"), F.sum("n").alias("_held"))
+                       .where(F.col("_texts") >= limits.support), "supported")
+    entities = entities.join(supported, F.col("entity") == F.col("_entity")).select("_key", "n", "entity", "_held")
+
+    # Before any pair is made: with ``documents`` d of a term and h of an entity, at most h of the d hold both.
+    most = supported.agg(F.max("_held")).first()[0] or 0
+    ratio = 2.0 ** limits.generalise_bits * (1 + 1e-9)
+    texts = mentions.select(F.explode("_terms").alias("term"), "n").groupBy("term").agg(F.count(F.lit(1)).alias("_texts"), F.sum("n").alias("_least"))
+    texts = staged(texts.where((F.col("_texts") >= limits.support) & (F.col("_least") <= F.lit(most * ratio))).select(F.col("term").alias("_word"), "_least"), "term-texts")
+    held = docs.select(F.explode(_terms(F.coalesce(F.col(text), F.lit("")))).alias("word")).join(
+        broadcast_within(texts, BROADCAST_BYTES), F.col("word") == F.col("_word")).groupBy("word", "_least").agg(F.count(F.lit(1)).alias("_all"))
+    # Where a span cuts a word, the piece may be no word of the whole text; then its count outside spans is the least that is known.
+    counted = texts.join(held.select(F.col("word").alias("_w"), "_all"), F.col("_word") == F.col("_w"), "left").select(
+        "_word", F.greatest("_least", F.coalesce("_all", F.lit(0))).alias("documents"))
+    counted = staged(counted.where(F.col("documents") <= F.lit(most * ratio)), "terms")
+    terms = mentions.select(F.col("_key").alias("_of"), F.explode("_terms").alias("term")).join(
+        broadcast_within(counted, BROADCAST_BYTES), F.col("term") == F.col("_word")).select("_of", "term", "documents")
+    pairs = entities.join(terms, (F.col("_key") == F.col("_of")) & (F.col("documents") <= F.col("_held") * F.lit(ratio)))
+    pairs = pairs.groupBy("entity", "term", "documents").agg(F.count(F.lit(1)).alias("texts"), F.sum("n").alias("together")).where(F.col("texts") >= limits.support)
+    bits = pairs.withColumn("bits", -F.log2(F.col("together") / F.col("documents"))).where(F.col("bits") <= limits.generalise_bits)
+    # A term that gives several entities away is treated by the strongest disclosure.
+    return staged(bits.groupBy(F.col("term").alias("_term")).agg(F.min("bits").alias("bits")), "disclosing")
+
+
+def added_spans(docs: DataFrame, disclosing: DataFrame, text: str = "text", limits: Disclosure = Disclosure()) -> DataFrame:
+    """(_for, _added): per text the spans of disclosing terms outside the fixed forms, by kind, then by start; texts without any are left out."""
+    whole = F.coalesce(F.col(text), F.lit(""))
+    words = docs.select(text_key(text).alias("_key"), F.explode(_terms(whole)).alias("term")).join(
+        broadcast_within(disclosing, BROADCAST_BYTES), F.col("term") == F.col("_term")).select("_key", "term", "bits")
+    held = words.groupBy("_key").agg(F.collect_set(F.struct("term", "bits")).alias("_held"))  # at most the words of one text
+    marked = docs.select(text_key(text).alias("_for"), whole.alias("_text")).join(held, F.col("_for") == F.col("_key"))
+    marked = marked.groupBy("_for").agg(F.first("_text").alias("_text"), F.first("_held").alias("_held"))
+    # One expression per text, of its own terms: only those are taken apart.
+    pattern = F.concat(F.lit(r"(?iu)(?<![\p{L}\p{N}])(?:"), F.array_join(F.transform("_held", lambda h: h["term"]), "|"), F.lit(r")(?![\p{L}\p{N}])"))
+    levels = F.map_from_entries(F.col("_held"))
+    spans = F.transform(find_spans(F.col("_text"), pattern), lambda m: F.struct(
+        F.element_at(levels, F.lower(m["value"])).alias("bits"), m["start"].alias("start"), m["end"].alias("end")))
+    base = base_spans(F.col("_text"))
+    spans = bind(base, lambda b: F.filter(spans, lambda w: w["bits"].isNotNull() & ~F.exists(b, lambda s: (s["start"] < w["end"]) & (w["start"] < s["end"]))))
+    removed = lambda w: w["bits"] <= limits.remove_bits
+    added = F.sort_array(F.transform(spans, lambda w: F.struct(
+        F.when(removed(w), F.lit(len(KINDS))).otherwise(F.lit(len(KINDS) + 1)).alias("kind_no"), w["start"].alias("start"), w["end"].alias("end"),
+        F.when(removed(w), F.lit(ADDED[0])).otherwise(F.lit(ADDED[1])).alias("kind"))))
+    return marked.select("_for", added.alias("_added"))
 
 
 def private_spans(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",), limits: Disclosure = Disclosure()) -> DataFrame:
     """``keep``, _key, _base and _added (empty where no term discloses anything) of every row."""
-    found = find_entities(docs, text, keep, limits.window)
-    added = added_spans(found, disclosing_terms(docs, found, text, limits), limits)
+    found = find_entities(docs, text, keep)
+    added = added_spans(docs, disclosing_terms(docs, found, text, limits), text, limits)
     none = F.expr("CAST(array() AS array<struct<kind_no:int,start:int,end:int,kind:string>>)")
     return found.join(added, F.col("_key") == F.col("_for"), "left").select(*keep, "_key", "_base", F.coalesce("_added", none).alias("_added"))
 
