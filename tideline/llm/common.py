@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.staging import stage
+from tideline.staging import stage, staging_root
 
 # A word is a run of characters other than space and the ASCII controls 9 to 13.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -80,3 +84,61 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 def small_batches(spark: SparkSession, rows: int = 500) -> None:
     """Arrow batches of few rows: texts may be long, and a batch is held in memory as a whole."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
+@contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of at most ``rows`` rows for the jobs run inside, and the session's own setting again behind them."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def slabs(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table]:
+    """The rows of ``batches`` in tables of ``rows`` rows (the last one shorter), whatever the size of the batches."""
+    held: list[pa.RecordBatch] = []
+    number = 0
+    for batch in batches:
+        while batch.num_rows:
+            part = batch.slice(0, rows - number)
+            held.append(part)
+            number += part.num_rows
+            batch = batch.slice(part.num_rows)
+            if number == rows:
+                yield pa.Table.from_batches(held).combine_chunks()
+                held, number = [], 0
+    if number:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def finite_vector(embedding: Column | str) -> Column:
+    """Whether a vector is there, has components, and all of them are finite numbers. Never NULL."""
+    vector = F.col(embedding) if isinstance(embedding, str) else embedding
+    sound = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
+    return vector.isNotNull() & (F.size(vector) > 0) & F.coalesce(sound, F.lit(False))
+
+
+def main_length(vectors: DataFrame, name: str) -> int:
+    """The number of components that most vectors have (the larger of two equally frequent ones); 0 without vectors."""
+    sizes = vectors.groupBy(F.size(name).alias("n")).agg(F.count(F.lit(1)).alias("rows")).orderBy(F.desc("rows"), F.desc("n")).first()
+    return sizes["n"] if sizes else 0
+
+
+def matrix(table: pa.Table | pa.RecordBatch, name: str, width: int) -> np.ndarray:
+    """An array column without NULLs, all of whose arrays have ``width`` entries, as rows of a numpy matrix."""
+    column = table.column(name)
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """The full address of a new folder below the shared one, made; any process of the cluster can reach it by this address."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{staging_root(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}")
+    system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    system.mkdirs(target)
+    address = system.makeQualified(target).toString()
+    return address.replace("file:/", "file:///", 1) if address.startswith("file:/") and not address.startswith("file:///") else address
