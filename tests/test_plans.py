@@ -17,13 +17,20 @@ def plan(spark, name):
 
 @pytest.mark.parametrize("name", ["w2_rsi", "w4_macd", "w6_bollinger", "k5_rsi", "k12_atr", "k14_cci", "f2_rolling_stats",
                                   "b1_equity_ledger", "b3_stress_scenarios", "a5_network_summary", "a4_consensus_price", "p9_wallet_profitability",
-                                  "t1_clean_text", "t2_lexicon_sentiment", "j5_cooccurrence_pairs", "w5_obv_ticks", "j1_asof_join"])
+                                  "t1_clean_text", "t2_lexicon_sentiment", "w5_obv_ticks", "j1_asof_join"])
 def test_built_in_expressions_only(spark, name):
     text = plan(spark, name)
     assert not any(p in text for p in PYTHON)
     assert "SinglePartition" not in text and "CartesianProduct" not in text
 
 
+def test_texts_meet_the_gazetteer_in_one_arrow_step(spark):
+    """The automaton of T5 runs in Arrow batches; the pairs behind it are built-in expressions."""
+    text = plan(spark, "j5_cooccurrence_pairs")
+    assert text.count("MapInArrow") == 1 and not any(p in text for p in PYTHON if p != "MapInPandas")
+    assert "SinglePartition" not in text and "CartesianProduct" not in text
+
+
 def test_bundle_orders_only_the_market_summary_in_one_partition(spark):
     """The benchmark has one row per bar time (span / interval), the only thing ordered without a key."""
     text = plan(spark, "w13_indicator_bundle")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tideline.functions.expr import ratio, safe_corr
+from tideline.operators.matching import contains_pattern
 
 
 def schema_differences(df: DataFrame, expected: Mapping[str, str | T.DataType]) -> list[str]:
@@ -59,9 +60,13 @@ def contains_any(text: Column | str, keywords: Sequence[str]) -> Column:
     return F.exists(F.array(*[F.lit(k.lower()) for k in keywords]), lambda k: F.contains(lowered, k))
 
 
-def keyword_filter(df: DataFrame, columns: Sequence[str], keywords: Sequence[str]) -> DataFrame:
-    """Keep rows where some keyword occurs in the joined columns."""
-    return df.where(contains_any(F.concat_ws(" ", *columns), keywords))
+def keyword_filter(df: DataFrame, columns: Sequence[str], keywords: Sequence[str] | DataFrame) -> DataFrame:
+    """Keep rows where some keyword occurs in the joined columns.
+
+    A short list is compared word by word; a table (column ``keyword``) of any length becomes an automaton, one walk per text.
+    """
+    joined = F.concat_ws(" ", *columns)
+    return df.where(contains_pattern(joined, keywords) if isinstance(keywords, DataFrame) else contains_any(joined, keywords))
 
 
 def datetime_features(df: DataFrame, ts: str = "ts") -> DataFrame:

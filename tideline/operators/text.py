@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tideline.functions import text as tx
+from tideline.operators.matching import match_phrases
 from tideline.staging import stage
 
 # Normalisation constant and negation factor of the published rule-based scorer.
@@ -67,24 +68,8 @@ def extract_keywords(df: DataFrame, text: str, custom: Sequence[str] = (), repla
 
 
 def match_entities(df: DataFrame, key: str, text: str, gazetteer: DataFrame) -> DataFrame:
-    """T5: (key, position, phrase, label) for every phrase listed in a gazetteer table, however many words it has.
-
-    Every word is unrolled together with its followers (shifted copies of the text, zipped once per row) and joined to
-    the phrases that start with it; the join condition compares the other words, so no phrase is ever built.
-    """
-    longest = gazetteer.agg(F.max(F.size(F.split("phrase", " ")))).first()[0] or 1
-    tokens = df.select(key, tx.words(text).alias("w0")).where(F.size("w0") > 0)
-    shifted = [F.col("w0"), *[F.slice("w0", n + 1, F.greatest(F.size("w0") - n, F.lit(0))) for n in range(1, longest)]]
-    tokens = tokens.select(key, *[c.alias(f"w{n}") for n, c in enumerate(shifted)])
-    zipped = F.arrays_zip(*[f"w{n}" for n in range(longest)])
-    spans = tokens.select(key, F.posexplode(zipped).alias("_at", "_w")).select(key, (F.col("_at") + 1).alias("position"), "_w.*")
-    words = F.split("phrase", " ")
-    listed = gazetteer.select("phrase", "label", F.size(words).alias("_n"),
-                              *[F.get(words, n).alias(f"g{n}") for n in range(longest)])
-    same = F.col("w0") == F.col("g0")
-    for n in range(1, longest):
-        same = same & ((F.col("_n") <= n) | (F.col(f"w{n}") == F.col(f"g{n}")))
-    return spans.join(listed, same).select(key, "position", "phrase", "label")
+    """T5: (key, position, phrase, label) for every phrase listed in a gazetteer table, however many words or phrases there are."""
+    return match_phrases(df, key, text, gazetteer)
 
 
 def entity_sets(mentions: DataFrame, key: str, entity: str = "phrase") -> DataFrame:

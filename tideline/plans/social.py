@@ -122,6 +122,28 @@ def t5_entities(spark, sf):
     return mentions(spark, sf)
 
 
+def phrase_table(spark, sf):
+    """Every stretch of two to eight words of a benchmark passage or a conversation: phrases within phrases, over phrases, by the hundred thousand."""
+    sources = table(spark, sf, "benchmark").select("text").unionByName(table(spark, sf, "conversations").select("text"))
+    passages = sources.select(tx.words("text").alias("w"))
+    places = passages.select("w", F.explode(F.sequence(F.lit(1), F.size("w"))).alias("at")).where(F.size("w") > 0)
+    stretches = places.select("w", "at", F.explode(F.array(*map(F.lit, range(2, 9)))).alias("n")).where(F.col("at") + F.col("n") - 1 <= F.size("w"))
+    phrases = stretches.select(F.array_join(F.slice("w", F.col("at"), F.col("n")), " ").alias("phrase"), "n")
+    return phrases.distinct().select("phrase", F.concat(F.lit("n"), "n").alias("label"))
+
+
+PHRASES_SQL = rf"""gw AS (SELECT regexp_extract_all(lower(text), '{WORD}') AS w FROM (SELECT text FROM benchmark UNION ALL SELECT text FROM conversations)),
+gaz AS (SELECT DISTINCT array_to_string(w[i:i + n - 1], ' ') AS phrase, 'n' || n AS label FROM gw, unnest(range(1, len(w) + 1)) AS u(i), unnest(range(2, 9)) AS v(n) WHERE i + n - 1 <= len(w)),
+dw AS (SELECT doc_id, regexp_extract_all(lower(text), '{WORD}') AS w FROM documents),
+spans AS (SELECT doc_id, CAST(i AS INTEGER) AS position, array_to_string(w[i:i + n - 1], ' ') AS phrase FROM dw, unnest(range(1, len(w) + 1)) AS u(i), unnest(range(2, 9)) AS v(n) WHERE i + n - 1 <= len(w))"""
+
+
+@query("t5_phrase_table", f"WITH {PHRASES_SQL} SELECT doc_id, position, phrase, label FROM spans JOIN gaz USING (phrase)")
+def t5_phrase_table(spark, sf):
+    """All places of all phrases of a large table in the documents."""
+    return text.match_entities(documents(spark, sf), "doc_id", "text", phrase_table(spark, sf))
+
+
 EDGES_SQL = ENTITIES_SQL + """, edges AS (SELECT a.phrase AS src, b.phrase AS dst, count(*) AS weight FROM de a JOIN de b
    ON a.doc_id = b.doc_id AND a.phrase < b.phrase GROUP BY ALL)"""
 DEGREE_SQL = EDGES_SQL + """, deg AS (SELECT entity, count(*) AS degree, CAST(sum(weight) AS BIGINT) AS weight FROM

@@ -6,6 +6,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
+from tideline.functions import text as tx
 from tideline.operators import joins, onchain, quality, risk
 from tideline.operators.bars import ohlcv_bars
 from tideline.plans.inputs import (BARS, BARS_SQL, DAILY, LINES, LINES_SQL, TICKS, TICKS_SQL, TRANSFERS,
@@ -179,6 +180,15 @@ def p3_keyword_filter(spark, sf):
     return quality.keyword_filter(table(spark, sf, "documents"), ["text"], KEYWORDS).select("doc_id", "n_chars")
 
 
+@query("p3_keyword_table", r"""WITH k AS (SELECT DISTINCT unnest(regexp_extract_all(text, '[\p{L}\p{N}_]+')) AS k FROM conversations), long AS (SELECT DISTINCT lower(k) AS k FROM k WHERE length(k) >= 10)
+  SELECT doc_id, n_chars FROM documents d WHERE EXISTS (SELECT 1 FROM long WHERE contains(lower(d.text), k))""")
+def p3_keyword_table(spark, sf):
+    """The long words of the conversations as a keyword table, sought as substrings."""
+    found = table(spark, sf, "conversations").select(F.explode(F.regexp_extract_all("text", F.lit(tx.WORD), 0)).alias("keyword"))
+    keywords = found.where(F.length("keyword") >= 10).distinct()
+    return quality.keyword_filter(table(spark, sf, "documents"), ["text"], keywords).select("doc_id", "n_chars")
+
+
 @query("p4_datetime_features", """SELECT event_id, CAST(isodow(ts) - 1 AS INTEGER) AS day_of_week, CAST(hour(ts) AS INTEGER) AS hour,
   CAST(month(ts) AS INTEGER) AS month, CAST(day(ts) AS INTEGER) AS day FROM events""")
 def p4_datetime_features(spark, sf):
