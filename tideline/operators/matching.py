@@ -21,13 +21,13 @@ from pyspark.sql import types as T
 
 from tideline.functions import text as tx
 from tideline.staging import stage, unstage
+from tideline.worker import kept
 
 # Patterns of a block, and what the walk needs besides per pattern.
 BLOCK_BYTES = 16_000_000
 _PER_PATTERN = 64
 _FOUND_ROWS = 65_536
-# The automata of a worker process, by the name of their block; a worker serves many tasks.
-_built: dict[str, object] = {}
+# A worker process serves many tasks and keeps so many automata.
 _KEPT = 2
 
 
@@ -53,17 +53,18 @@ def pattern_blocks(patterns: DataFrame, block_bytes: int = BLOCK_BYTES) -> list:
 def automaton_of(block):
     """The automaton of a broadcast block, built once per worker process; its values are (pattern, labels)."""
     name, patterns = block.value
-    if name not in _built:
+    built = kept().setdefault("automata", {})
+    if name not in built:
         import ahocorasick
 
         made = ahocorasick.Automaton()
         for pattern, labels in patterns:
             made.add_word(pattern, (pattern, labels))
         made.make_automaton()
-        _built[name] = made
-        while len(_built) > _KEPT:
-            _built.pop(next(iter(_built)))
-    return _built[name]
+        built[name] = made
+        while len(built) > _KEPT:
+            built.pop(next(iter(built)))
+    return built[name]
 
 
 def word_line(text: Column | str) -> Column:
