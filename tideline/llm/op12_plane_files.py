@@ -34,6 +34,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +46,7 @@ from pyspark.sql.window import Window as W
 
 from tideline.llm.common import batches_of, shared_folder
 from tideline.llm.registry import llm_query, table
+from tideline.worker import kept
 
 END_ID = 0
 BLOCK_IDS = 65_536
@@ -53,7 +55,8 @@ FILE_IDS = 2_000_000
 PLANES = {"byte": 4, "bit": 32}
 MAGIC = b"IDPLANE1"
 _TAIL = "<QQIIIQQQ8s"
-_REMEMBERED = 300_000
+_REMEMBERED = 800_000
+_SPACE = "Ġ"  # how byte-level pieces spell a space
 # Visible characters that every version of Unicode counts as such: none of them is, or ever was, white space.
 _VISIBLE = "[!-~¡-ᙿ、-퟿]"
 
@@ -70,23 +73,66 @@ class Encoder:
         splitter = made.get("pre_tokenizer") or {}
         self.splits = (splitter.get("type") == "ByteLevel" and splitter.get("use_regex", True) and not splitter.get("add_prefix_space")
                        and made.get("normalizer") is None and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or " " in t["content"] for t in made["added_tokens"]))
+        vocabulary = self.tokenizer.get_vocab()
+        self.opens = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)  # ids of pieces that begin with a space
+        self.opens[[i for piece, i in vocabulary.items() if piece.startswith(_SPACE)]] = True
+        self.clean = re.compile(f"{_VISIBLE}(?:[^ ]*{_VISIBLE})?", re.DOTALL).fullmatch
         self.cut = re.compile(f"(?<={_VISIBLE}) (?={_VISIBLE})").split
-        self.known: dict[str, bytes] = {}
+        self.white = re.compile(r"\s").search
+        self.known: dict[str, bytes] = {}  # a stretch to its ids behind a space
+
+    @classmethod
+    def of(cls, path: str) -> Encoder:
+        """The encoder of this worker process, with what it has learned in earlier tasks."""
+        found = kept().setdefault("encoders", {})
+        if path not in found:
+            found[path] = cls(path)
+        return found[path]
 
     def _plain(self, texts: list[str]) -> list[bytes]:
         return [np.asarray(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _learn(self, stretches: list[str]) -> None:
+        """Encode stretches that stand between single spaces; those without other white space many at a time, told apart by their spaces."""
+        plain = [s for s in stretches if not self.white(s)]
+        for i in range(0, len(plain), 200):
+            some = plain[i:i + 200]
+            raw = np.asarray(self.tokenizer.encode(" " + " ".join(some), add_special_tokens=False).ids, dtype="<u4").tobytes()
+            starts = np.flatnonzero(self.opens[np.frombuffer(raw, dtype="<u4")]) * 4
+            if len(starts) != len(some):  # a piece begins with a space that no stretch begins with: one by one
+                self.known.update(zip(some, self._plain([" " + s for s in some])))
+                continue
+            at = [*starts.tolist(), len(raw)]
+            self.known.update(zip(some, [raw[a:b] for a, b in zip(at, at[1:])]))
+        rest = [s for s in stretches if self.white(s)]
+        self.known.update(zip(rest, self._plain([" " + s for s in rest])))
+
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.splits:
             return self._plain(texts)
-        pieces = [self.cut(t) for t in texts]
-        heads = self._plain([p[0] for p in pieces])
-        if len(self.known) > _REMEMBERED:
-            self.known.clear()
+        if len(self.known) > _REMEMBERED:  # the first to come are the most frequent ones
+            self.known = dict(islice(self.known.items(), _REMEMBERED * 5 // 8))
         known = self.known
-        new = list({w for p in pieces for w in p[1:] if w not in known})
-        known.update(zip(new, self._plain([" " + w for w in new])))
-        return [head + b"".join([known[w] for w in p[1:]]) for head, p in zip(heads, pieces)]
+        heads, pieces, values, new = [], [], [], set()
+        for text in texts:
+            head, *parts = text.split(" ")
+            found = list(map(known.get, parts))
+            missing = [p for p, v in zip(parts, found) if v is None]
+            if parts and not (self.clean(head) and all(map(self.clean, missing))):  # some space is not a place to cut
+                head, *parts = self.cut(text)
+                found = list(map(known.get, parts))
+                missing = [p for p, v in zip(parts, found) if v is None]
+            new.update(missing)
+            heads.append(head)
+            pieces.append(parts)
+            values.append(found)
+        self._learn(list(new))
+        out = []
+        for head, parts, found in zip(self._plain(heads), pieces, values):
+            if None in found:
+                found = [known[p] if v is None else v for p, v in zip(parts, found)]
+            out.append(head + b"".join(found))
+        return out
 
 
 # ---------------------------------------------------------------- one file
@@ -206,7 +252,7 @@ def write_token_files(docs: DataFrame, folder: str, model: str, doc_id: str = "d
     schema = "part int, file int, name string, first_doc long, n_docs long, n_ids long, n_bytes long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part = Encoder(model), TaskContext.get().partitionId()
+        encoder, part = Encoder.of(model), TaskContext.get().partitionId()
         held: list[bytes] = []
         ids: list[int | None] = []
         lengths: list[int] = []
