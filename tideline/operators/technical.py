@@ -1,20 +1,25 @@
 """The published indicator set (K1-K21), in the textbook definitions with the customary parameters.
 
-Look-back windows only, except two running sums (``obv``, ``vpt``) and one true state machine (``parabolic_sar``).
+Look-back windows only, except two running sums (``obv``, ``vpt``) and one true state machine (``parabolic_sar``, ``parabolic_sar_scan``).
 Where the source of the requirement calls an indicator with too few inputs, the published formula is used.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
+from dataclasses import dataclass
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window as W
 
 from tideline.functions.expr import ratio
-from tideline.series import SeriesSpec, ewm, ewm_memory, rolling, running
+from tideline.series import CHUNK_ROWS, HALO, SeriesSpec, ewm, ewm_memory, index_series, rolling, running, split_chunks
+from tideline.staging import stage
 
 # Total look-back of ``technical_indicators`` for ``series.over_chunks``.
 LOOK_BACK = 2 * ewm_memory(2 / 51, 1 / 14) + 60
@@ -160,35 +165,63 @@ def running_volume(df: DataFrame, spec: SeriesSpec) -> DataFrame:
     return running(df, spec, {"obv": ("sum", "_flow"), "vpt": ("sum", "_trend")}).drop("_flow", "_trend")
 
 
+@dataclass
+class Reversal:
+    """Where a stop-and-reverse walk stands after a row: direction, level, extreme, speed, and the (high, low) of the last two rows."""
+
+    rising: bool
+    level: float
+    extreme: float
+    speed: float
+    recent: tuple[tuple[float, float], ...]
+
+    @classmethod
+    def first(cls, high: float, low: float, step: float) -> Reversal:
+        return cls(True, low, high, step, ((high, low),))
+
+    def write(self) -> str:
+        """The state as text, exact: equal states have equal texts."""
+        return json.dumps([self.rising, self.level, self.extreme, self.speed, *[v for pair in self.recent for v in pair]])
+
+    @classmethod
+    def read(cls, text: str) -> Reversal:
+        rising, level, extreme, speed, *recent = json.loads(text)
+        return cls(rising, level, extreme, speed, tuple(zip(recent[::2], recent[1::2])))
+
+    def advance(self, high: float, low: float, step: float, limit: float) -> None:
+        level = self.level + self.speed * (self.extreme - self.level)
+        level = min(level, *[b for _, b in self.recent]) if self.rising else max(level, *[a for a, _ in self.recent])
+        best = high if self.rising else low
+        crossed = low < level if self.rising else high > level
+        if crossed:
+            level, self.extreme, self.speed, self.rising = self.extreme, (low if self.rising else high), step, not self.rising
+        elif (best > self.extreme) if self.rising else (best < self.extreme):
+            self.extreme, self.speed = best, min(self.speed + step, limit)
+        self.level, self.recent = level, (self.recent[-1], (high, low))
+
+
 def parabolic_sar(df: DataFrame, spec: SeriesSpec, step: float = 0.02, limit: float = 0.2) -> DataFrame:
-    """Stop-and-reverse level.
+    """Stop-and-reverse level of series with a bounded number of rows (bars).
 
     Each level depends on the whole trend state before it, so a series is walked in order: Spark sorts and splits the
-    series over tasks, and a task walks its rows batch by batch with four numbers of state, whatever the length.
+    series over tasks, and a task walks its rows batch by batch with four numbers of state. ``parabolic_sar_scan`` walks one
+    series in many tasks.
     """
     schema = T.StructType([*df.schema.fields, T.StructField("parabolic_sar", T.DoubleType())])
     keys = list(spec.keys)
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key, rising, level, extreme, speed, recent = None, True, None, None, step, []
+        key, state = None, None
         for batch in batches:
             out = []
             series = batch.pop("_series")
             for here, high, low in zip(series, batch["high"], batch["low"]):
                 if here != key:
-                    key, rising, level, extreme, speed, recent = here, True, low, high, step, [(high, low)]
+                    key, state = here, Reversal.first(high, low, step)
                     out.append(None)
-                    continue
-                level += speed * (extreme - level)
-                level = min(level, *[b for _, b in recent]) if rising else max(level, *[a for a, _ in recent])
-                best = high if rising else low
-                crossed = low < level if rising else high > level
-                if crossed:
-                    level, extreme, speed, rising = extreme, (low if rising else high), step, not rising
-                elif (best > extreme) if rising else (best < extreme):
-                    extreme, speed = best, min(speed + step, limit)
-                recent = [recent[-1], (high, low)]
-                out.append(level)
+                else:
+                    state.advance(high, low, step, limit)
+                    out.append(state.level)
             batch["parabolic_sar"] = pd.Series(out, index=batch.index, dtype="float64")
             yield batch
 
@@ -197,6 +230,77 @@ def parabolic_sar(df: DataFrame, spec: SeriesSpec, step: float = 0.02, limit: fl
     return ordered.mapInPandas(walk, schema)
 
 
+def _walk_chunks(rows: DataFrame, step: float, limit: float) -> DataFrame:
+    """Walk every (_series, _chunk) of ``rows``: adds the level, and to the last row of a chunk the states it was started from and left in.
+
+    A chunk starts from ``_given``; where that is NULL, from a guess: a walk over the copied rows before it (the halo) from a state of their own.
+    """
+    names = [f.name for f in rows.schema.fields if f.name != "_given"]
+    added = [T.StructField("parabolic_sar", T.DoubleType()), T.StructField("_start", T.StringType()), T.StructField("_end", T.StringType())]
+    schema = T.StructType([*[rows.schema[c] for c in names if c != "_last"], *added])
+
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at, state, start = None, None, None
+        for batch in batches:
+            levels, starts, ends = [], [], []
+            given = batch.pop("_given")
+            for series, chunk, halo, last, known, high, low in zip(batch["_series"], batch["_chunk"], batch[HALO], batch["_last"], given, batch["high"], batch["low"]):
+                fresh = (series, chunk) != at
+                if fresh:
+                    at, start, state = (series, chunk), None, Reversal.read(known) if isinstance(known, str) else None
+                if not halo and start is None:
+                    start = state.write() if state else ""
+                if state is None:
+                    state = Reversal.first(high, low, step)
+                    levels.append(None)
+                else:
+                    state.advance(high, low, step, limit)
+                    levels.append(state.level)
+                starts.append(start if last else None)
+                ends.append(state.write() if last else None)
+            out = batch.drop(columns="_last").assign(parabolic_sar=pd.Series(levels, index=batch.index, dtype="float64"),
+                                                     _start=pd.Series(starts, index=batch.index, dtype=object), _end=pd.Series(ends, index=batch.index, dtype=object))
+            yield out[~batch[HALO]]
+
+    together = rows.repartition("_series", "_chunk").sortWithinPartitions("_series", "_chunk", "_idx")
+    # the window finds its rows placed and sorted already
+    last = F.lead("_idx").over(W.partitionBy("_series", "_chunk").orderBy("_idx")).isNull()
+    return together.withColumn("_last", last).select(*[c for c in names if c != "_last"], "_last", "_given").mapInPandas(walk, schema)
+
+
+def parabolic_sar_scan(df: DataFrame, spec: SeriesSpec, step: float = 0.02, limit: float = 0.2, chunk_rows: int = CHUNK_ROWS,
+                       warm_up: int = 256) -> DataFrame:
+    """K10 on series of any length: a scan over chunks that are walked side by side.
+
+    The state after a row depends on all rows before it, yet walks from different states soon fall together (after a reversal or two they are equal to the
+    last bit). So every chunk guesses its start by walking the ``warm_up`` rows before it. A table of one (start, end) per chunk then shows which
+    guesses were wrong: those that differ from the end of the chunk before. Only these chunks are walked again, from that end, until every start
+    is the end before it. A round mends at least the first wrong chunk of each series, so this ends, and the result is that of one walk.
+    """
+    keys = list(spec.keys)
+    plain = SeriesSpec(tuple(keys), spec.ts, spec.tiebreak)
+    chunked, _ = split_chunks(index_series(df, plain), plain, max(chunk_rows, warm_up), warm_up)
+    rows = chunked.withColumn("_series", F.to_json(F.struct(*keys))).withColumn("_given", F.lit(None).cast("string"))
+    walked = [stage(_walk_chunks(rows, step, limit).withColumn("_round", F.lit(0)), "sar")]
+    summary = walked[0].where("_end IS NOT NULL").select("_series", "_chunk", "_start", "_end", "_round")
+    before = F.lag("_end").over(W.partitionBy("_series").orderBy("_chunk"))  # one row per chunk
+    while True:
+        summary = stage(summary, "sar-chunks")
+        wrong = summary.withColumn("_given", before).where(F.col("_given").isNotNull() & (F.col("_given") != F.col("_start"))).select("_series", "_chunk", "_given")
+        if wrong.isEmpty():
+            break
+        again = walked[0].drop("parabolic_sar", "_start", "_end", "_round").join(wrong, ["_series", "_chunk"])
+        walked.append(stage(_walk_chunks(again, step, limit).withColumn("_round", F.lit(len(walked))), "sar"))
+        mended = walked[-1].where("_end IS NOT NULL").select("_series", "_chunk", "_start", "_end", "_round")
+        summary = summary.join(mended.select("_series", "_chunk"), ["_series", "_chunk"], "left_anti").unionByName(mended)
+    out = walked[0]
+    if len(walked) > 1:  # of every chunk, the rows of its last round
+        last = summary.select(F.col("_series").alias("_s"), F.col("_chunk").alias("_c"), F.col("_round").alias("_r"))
+        everything = reduce(DataFrame.unionByName, walked)
+        out = everything.join(last, (F.col("_series") == F.col("_s")) & (F.col("_chunk") == F.col("_c")) & (F.col("_round") == F.col("_r")))
+    return out.select(*df.columns, "parabolic_sar")
+
+
 def technical_indicators(df: DataFrame, spec: SeriesSpec) -> DataFrame:
     """K1-K20 on one frame (without the state machine of K10)."""
     for step in (averages, rate_of_change, bands, wilder_rsi, macd_lines, ranges, average_true_range, flows,

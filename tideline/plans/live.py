@@ -6,17 +6,16 @@ from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.operators import features, models, risk
+from tideline.operators import models, risk
 from tideline.plans.inputs import BARS, BARS_SQL, TICKS_SQL, bars, over, r, roll, table, ticks, tidy
 from tideline.plans.ingest import QUOTES_SQL as RAW_SQL
 from tideline.plans.ingest import raw_quotes, scratch
 from tideline.plans.registry import query
 from tideline.plans.social import POSTS_SQL, posts
 from tideline.plans.tables import MARKET_SQL, QUOTES_SQL, TELEMETRY_SQL, telemetry
-from tideline.series import SeriesSpec
 from tideline.sources import payloads
 from tideline.staging import stage
-from tideline.streaming import streams
+from tideline.streaming import rolling, streams
 
 # A replay lands its table in so many slices, one after the other.
 SLICES = 4
@@ -48,8 +47,8 @@ def land(spark: SparkSession, parts: list[DataFrame], start) -> None:
         start(spark.readStream.schema(part.schema).parquet(path)).awaitTermination()
 
 
-def replay(spark: SparkSession, df: DataFrame, build, ts: str | None = None, closing: bool = True) -> DataFrame:
-    """Run a stream over the slices of a table and read the sink.
+def replay(spark: SparkSession, df: DataFrame, build, ts: str | None = None, closing: bool = True, arrival=None) -> DataFrame:
+    """Run a stream over the slices of a table (by ``arrival``, default ``ts``) and read the sink.
 
     With ``closing`` a row far in the future follows, so that the watermark closes every open window.
     """
@@ -58,7 +57,7 @@ def replay(spark: SparkSession, df: DataFrame, build, ts: str | None = None, clo
     # state is kept per shuffle partition for good; a replay on few cores needs few of them
     spark.conf.set("spark.sql.shuffle.partitions", str(min(int(width), spark.sparkContext.defaultParallelism)))
     try:
-        parts = slices(df, ts)
+        parts = slices(df, ts, arrival)
         if ts and closing:
             parts.append(df.limit(1).withColumn(ts, F.lit("2100-01-01").cast("timestamp")))
         land(spark, parts, lambda stream: streams.write_stream(build(stream), out, checkpoint, availableNow=True))
@@ -117,16 +116,17 @@ def st5_dedup_stream(spark, sf):
      roll('stddev_samp', 'sentiment', 7, 'source', 'created_at, event_id') + ' AS sentiment_volatility')} FROM posts""")
 def st6_rolling_stream(spark, sf):
     """Slices overlap by some minutes, so rows arrive out of order within the delay."""
-    spec = SeriesSpec(("source",), "created_at", ("event_id",))
     p = zoned(posts(spark, sf).select("event_id", "source", "created_at", "sentiment", "retweets", "likes", "replies", "shares",
                                       "followers_count"), "created_at")
-    state, checkpoint = scratch(spark, "rolling"), scratch(spark, "checkpoint")
     jitter = F.make_interval(mins=(F.col("event_id") % 30).cast("int"))
-    rolling = streams.RollingStream(state, spec, features.post_metrics, look_back=7, delay="45 minutes")
-    land(spark, slices(p, "created_at", F.col("created_at") + jitter), lambda stream: stream.writeStream.foreachBatch(rolling).option(
-        "checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    rolling.flush(spark, p.schema, rolling.last + 1)
-    return tidy(rolling.results(spark), "event_id", "source", "sentiment_trend", "sentiment_volatility")
+
+    def build(stream):
+        return rolling.rolling_stream(stream, ["source"], "created_at", rolling.post_metrics_frame, rolling.POST_FIELDS, look_back=7,
+                                      order=["event_id"], delay="45 minutes")
+
+    with rolling.keyed_state(spark):
+        out = replay(spark, p, build, "created_at", arrival=F.col("created_at") + jitter)
+    return tidy(out, "event_id", "source", "sentiment_trend", "sentiment_volatility")
 
 
 @query("st7_alert_stream", f"""WITH {TELEMETRY_SQL} SELECT source, window_start, 'success_rate' AS metric, '<' AS op, CAST(80 AS DOUBLE) AS "limit",

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from tideline.operators import technical
-from tideline.plans.inputs import BARS, BARS_SQL, bars, ewm_sql, over, r, roll, tidy
+from tideline.plans.inputs import BARS, BARS_SQL, TICKS, TICKS_SQL, bars, ewm_sql, over, r, roll, ticks, tidy
 from tideline.plans.registry import query
 
 OUT = ("symbol", "ts")
@@ -109,13 +109,15 @@ _register("k18_vpt", technical.running_volume, ("vpt",),
           x AS (SELECT symbol, ts, sum(flow) {over('all')} AS vpt FROM f)""", "x", digits=3)
 
 
-@query("k10_parabolic_sar", f"""WITH RECURSIVE {BARS_SQL},
-  n AS (SELECT symbol, ts, high, low, row_number() {over()} AS rn, lag(high) {over()} AS h1, lag(low) {over()} AS l1,
-        lag(high, 2) {over()} AS h2, lag(low, 2) {over()} AS l2 FROM bars),
+def sar_sql(source: str, row: str, order: str = "ts") -> str:
+    """The walk over ``source`` (symbol, high, low, and ``row``) as a recursion along its row numbers: tables n and w."""
+    here = over(order=order)
+    return f"""n AS (SELECT symbol, {row}, high, low, row_number() {here} AS rn, lag(high) {here} AS h1, lag(low) {here} AS l1,
+        lag(high, 2) {here} AS h2, lag(low, 2) {here} AS l2 FROM {source}),
   w AS (
-    SELECT symbol, rn, ts, true AS rising, low AS level, high AS extreme, CAST(0.02 AS DOUBLE) AS speed FROM n WHERE rn = 1
+    SELECT symbol, rn, {row}, true AS rising, low AS level, high AS extreme, CAST(0.02 AS DOUBLE) AS speed FROM n WHERE rn = 1
     UNION ALL
-    SELECT symbol, rn, ts,
+    SELECT symbol, rn, {row},
       rising <> crossed AS rising, CASE WHEN crossed THEN extreme ELSE lv END AS level,
       CASE WHEN crossed THEN CASE WHEN rising THEN low ELSE high END
            WHEN rising THEN greatest(extreme, high) ELSE least(extreme, low) END AS extreme,
@@ -125,13 +127,25 @@ _register("k18_vpt", technical.running_volume, ("vpt",),
           FROM (SELECT n.*, w.rising, w.extreme, w.speed,
                   CASE WHEN w.rising THEN least(w.level + w.speed * (w.extreme - w.level), n.l1, n.l2)
                        ELSE greatest(w.level + w.speed * (w.extreme - w.level), n.h1, n.h2) END AS lv
-                FROM w JOIN n ON n.symbol = w.symbol AND n.rn = w.rn + 1)))
+                FROM w JOIN n ON n.symbol = w.symbol AND n.rn = w.rn + 1)))"""
+
+
+@query("k10_parabolic_sar", f"""WITH RECURSIVE {BARS_SQL}, {sar_sql('bars', 'ts')}
   SELECT symbol, ts, {r('CASE WHEN rn > 1 THEN level END AS parabolic_sar')} FROM w""")
 def k10_parabolic_sar(spark, sf):
     b = bars(spark, sf).select("symbol", "ts", "high", "low")
     return tidy(technical.parabolic_sar(b, BARS), *OUT, "parabolic_sar")
 
 
+@query("k10_parabolic_sar_ticks", f"""WITH RECURSIVE {TICKS_SQL}, spread AS (SELECT symbol, ts, event_id, price + volume / 100 AS high, price - volume / 100 AS low FROM ticks),
+  {sar_sql('spread', 'event_id', 'ts, event_id')}
+  SELECT symbol, event_id, {r('CASE WHEN rn > 1 THEN level END AS parabolic_sar')} FROM w""")
+def k10_parabolic_sar_ticks(spark, sf):
+    """Raw ticks, each with a spread that follows its size: one series over many tasks. Short chunks, so that small tables have several too."""
+    t = ticks(spark, sf).select("symbol", "ts", "event_id", (F.col("price") + F.col("volume") / 100).alias("high"), (F.col("price") - F.col("volume") / 100).alias("low"))
+    return tidy(technical.parabolic_sar_scan(t, TICKS, chunk_rows=1000), "symbol", "event_id", "parabolic_sar")
+
+
 @query("k21_add_technical_indicators", f"""WITH RECURSIVE {BARS_SQL},
   {_FLOWS.replace('x AS (', 'fl AS (')},
   v AS (SELECT symbol, ts, count(*) {over('all')} AS n, volume, high, low FROM bars)
