@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tideline.operators import indicators, technical
 from tideline.series import (SeriesSpec, equi_join, ewm, ewm_memory, fill_backward, fill_forward, index_series, latest,
                              over_chunks, place_rows, quantiles, rolling, running, split_chunks)
+from tideline.series import approximate_quantiles
 
 SPEC = SeriesSpec(("symbol",), "ts", ("n",))
 
@@ -177,3 +178,43 @@ def test_crowded_instant_is_cut(spark):
     right = spark.createDataFrame([(9, "x"), (10, "y"), (11, "z")], "rt int, v string")
     out = asof_join(left, right, "t", "rt")
     assert {(r["right_v"], r["count"]) for r in out.groupBy("right_v").count().collect()} == {("y", 5000)}
+
+
+@pytest.mark.parametrize("limit, sketch", [(1_000_000, 1000), (200, 100), (20, 16), (1, 200)])
+def test_quantiles_narrowed_by_sketches(spark, limit, sketch):
+    """Small limits make every large group pass several brackets; sketches this coarse are often wrong, and then not used."""
+    rng = np.random.default_rng(3)
+    groups = {"hot": rng.standard_normal(6000), "ties": rng.integers(0, 3, 3000).astype(float), "one": np.ones(900), "few": np.array([4.0]),
+              None: np.concatenate([rng.standard_normal(500) * 1e6, np.full(700, 2.5)]), "big": np.array([1e300, -1e300, 0.0])}
+    rows = [(k, float(v)) for k, values in groups.items() for v in values] + [("hot", None), ("empty", None)]
+    df = spark.createDataFrame(rows, "k string, x double").repartition(6)
+    shares = {"q0": 0.0, "q05": 0.05, "q50": 0.5, "q99": 0.99, "q100": 1.0}
+    got = {r["k"]: r for r in quantiles(df, ["k"], "x", shares, limit=limit, sketch=sketch).collect()}
+    assert set(got) == set(groups)
+    for k, values in groups.items():
+        for name, share in shares.items():
+            assert got[k][name] == pytest.approx(np.quantile(values, share), rel=1e-9), (k, name)
+    nan = spark.createDataFrame([(float(i),) for i in range(300)] + [(float("nan"),)] * 100, "x double")
+    found = quantiles(nan, [], "x", {"a": 0.5, "b": 0.9}, limit=limit, sketch=sketch).first()
+    assert found["a"] == 199.5 and found["b"] != found["b"]
+    assert quantiles(df.limit(0), ["k"], "x", shares).collect() == []
+
+
+def test_approximate_quantiles(spark):
+    df = spark.range(50_000).select((F.col("id") % 2).alias("k"), F.col("id").cast("int").alias("x"))
+    for r in approximate_quantiles(df, ["k"], "x", {"a": 0.5, "b": 0.99}).collect():
+        assert abs(r["a"] - 25_000) < 250 and abs(r["b"] - 49_500) < 250
+
+
+def test_placing_reads_its_input_once(spark):
+    """Count, bounds and sort read a stored copy: a row function above runs once per row."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def note(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(1000).select(F.lit("a").alias("symbol"), F.col("id").alias("ts")).mapInArrow(note, "symbol string, ts long")
+    placed, _ = place_rows(df, SeriesSpec(("symbol",), "ts"))
+    assert placed.count() == 1000 and seen.value == 1000

@@ -12,7 +12,7 @@ from pyspark.sql.window import Window as W
 
 from tideline.functions.expr import ratio, safe_corr
 from tideline.operators.joins import attach_group
-from tideline.series import SeriesSpec, equi_join, index_series, over_chunks, quantiles
+from tideline.series import SeriesSpec, approximate_quantiles, equi_join, index_series, over_chunks, quantiles, quantiles_of
 
 # Which statistics are taken of which optional column.
 ONCHAIN_STATISTICS = {
@@ -146,9 +146,10 @@ NETWORK_DIFFERENCES = {
 
 
 def whale_threshold(df: DataFrame, keys: Sequence[str] = ("network",), column: str = "transactionVolume",
-                    share: float = 0.99) -> DataFrame:
-    """The volume above which a transfer is large, per key."""
-    return quantiles(df, keys, column, {"threshold": share})
+                    share: float = 0.99, approx: bool = False) -> DataFrame:
+    """The volume above which a transfer is large, per key; with ``approx`` from a rank sketch, in one pass."""
+    find = approximate_quantiles if approx else quantiles
+    return find(df, keys, column, {"threshold": share})
 
 
 def whale_transactions(df: DataFrame, spec: SeriesSpec, threshold: float | None = None, share: float = 0.99,
@@ -160,7 +161,7 @@ def whale_transactions(df: DataFrame, spec: SeriesSpec, threshold: float | None
     """
     indexed = index_series(df, spec)
     if threshold is None:
-        limits = whale_threshold(df, spec.keys, volume, share)
+        limits = quantiles_of(indexed, spec.keys, volume, {"threshold": share})
         indexed = equi_join(indexed, limits, spec.keys, "inner")
     else:
         indexed = indexed.withColumn("threshold", F.lit(float(threshold)))

@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideline.functions.expr import hash_normal, hash_uniform, ratio, safe_corr
-from tideline.series import SeriesSpec, equi_join, quantiles, running
+from tideline.series import SeriesSpec, equi_join, quantiles_of, running
+from tideline.staging import stage
 
 TRADING_DAYS = 252
 METRICS = ("var", "cvar", "sharpe", "sortino", "max_drawdown", "beta", "information_ratio", "omega", "ulcer_index",
@@ -49,25 +50,25 @@ def beta_alpha(df: DataFrame, keys: Iterable[str]) -> DataFrame:
 
 
 def risk_metrics(df: DataFrame, spec: SeriesSpec, benchmark: DataFrame | None = None, price: str = "close",
-                 confidence: float = 0.95, rate: float = 0.01, threshold: float = 0.0, keys: Sequence[str] = (),
-                 long_series: bool = False) -> DataFrame:
-    """One row per key.
+                 confidence: float = 0.95, rate: float = 0.01, threshold: float = 0.0, keys: Sequence[str] = ()) -> DataFrame:
+    """One row per key; ``df`` may be a split series.
 
-    Returns and drawdowns are computed once, then one aggregation gives everything but the two tail measures.
-    With ``long_series`` the value at risk comes from sorted positions (any group size) instead of an exact
-    percentile held in one task's memory; ``df`` may then be a split series.
+    Returns and drawdowns are computed and stored once, then one aggregation gives everything but the two tail measures.
     """
     keys = list(keys or spec.keys)
     frame = return_frame(df, spec, price)
     frame = align_benchmark(frame, benchmark, spec.ts) if benchmark is not None else frame.withColumn(
         "b", F.lit(None).cast("double"))
     frame = frame.select(*keys, "r", "dd", "b")
-    return summarise(frame, keys, confidence, rate, threshold, long_series)
+    return summarise(frame, keys, confidence, rate, threshold)
 
 
-def summarise(frame: DataFrame, keys: Sequence[str], confidence: float = 0.95, rate: float = 0.01,
-              threshold: float = 0.0, long_series: bool = False) -> DataFrame:
-    """The aggregation half of ``risk_metrics`` on columns r, dd, b."""
+def summarise(frame: DataFrame, keys: Sequence[str], confidence: float = 0.95, rate: float = 0.01, threshold: float = 0.0) -> DataFrame:
+    """The aggregation half of ``risk_metrics`` on columns r, dd, b.
+
+    The value at risk is an exact quantile of groups of any size (see ``quantiles``); the tail below it is averaged in a second pass.
+    """
+    frame = stage(frame.select(*keys, "r", "dd", "b"), "returns")
     daily = rate / TRADING_DAYS
     r, b = F.col("r"), F.col("b")
     paired = F.when(b.isNotNull(), r)
@@ -84,11 +85,7 @@ def summarise(frame: DataFrame, keys: Sequence[str], confidence: float = 0.95, r
         F.stddev_pop(active).alias("tracking_error"),
         F.avg(paired).alias("_pr"), F.avg(b).alias("_pb"), F.count(r).alias("n_returns"),
     ]
-    if long_series:
-        out = frame.groupBy(*keys).agg(*measures)
-        out = equi_join(out, quantiles(frame, keys, "r", {"var": 1 - confidence}), keys)
-    else:
-        out = frame.groupBy(*keys).agg(F.percentile("r", F.lit(1 - confidence)).alias("var"), *measures)
+    out = equi_join(frame.groupBy(*keys).agg(*measures), quantiles_of(frame, keys, "r", {"var": 1 - confidence}), keys)
     out = out.withColumn("jensens_alpha", F.col("_pr") - daily - F.col("beta") * (F.col("_pb") - daily))
     tail = equi_join(frame.select(*keys, "r"), out.select(*keys, "var"), keys, "inner")
     tail = tail.where(F.col("r") <= F.col("var")).groupBy(*keys).agg(F.avg("r").alias("cvar"))

@@ -63,7 +63,7 @@ def r12_risk_metrics_ticks(spark, sf):
     chunked, spec = split_chunks(indexed, TICKS, halo=1)
     frame = drop_halo(risk.return_frame(chunked, spec, "price"))
     frame = frame.select("symbol", "r", "dd", F.lit(None).cast("double").alias("b"))
-    out = risk.summarise(frame, ["symbol"], long_series=True)
+    out = risk.summarise(frame, ["symbol"])
     return tidy(out, "symbol", "var", "cvar", "max_drawdown", "ulcer_index", "sharpe", "n_returns", digits=5)
 
 

@@ -20,12 +20,16 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from tideline.staging import stage
+from tideline.staging import stage, unstage
 
 CHUNK_ROWS = 100_000
 # Rows of a range-partitioned run, at most about this many.
 RUN_ROWS = 1_000_000
 HALO = "_halo"
+# Rows of a group that are sorted in one task to find a quantile, and the size of the rank sketches that narrow larger groups.
+BRACKET_ROWS = 1_000_000
+SKETCH_K = 1000
+_GRID = 256
 # Weights below this share of the newest one cannot change a double.
 NEGLIGIBLE = 1e-30
 
@@ -107,13 +111,17 @@ def place_rows(df: DataFrame, spec: SeriesSpec, partitions: int | None = None) -
     executor or a second scan cannot see different ones.
     """
     order = [*spec.keys, *spec.order]
+    spark = df.sparkSession
+    # What stands above is computed once; the count, the sample for the bounds, and the sort read the stored rows.
+    df = stage(df, "unsorted")
     if partitions is None:
         # A run is scanned by one task, so the number of cuts follows the rows, not a setting of the session.
         wanted = -(-df.count() // RUN_ROWS)
-        partitions = wanted if wanted > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else None
+        partitions = wanted if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")) else None
     ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
     placed = ranged.sortWithinPartitions(*order).withColumn("_pos", F.monotonically_increasing_id())
     placed = stage(placed, "series").withColumn("_run", F.shiftright("_pos", 33))
+    unstage(df)
     # reads the key columns' statistics; row groups without NULLs are skipped
     some_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in spec.keys])
     return placed, replace(spec, part="_run", null_keys=not placed.where(some_null).isEmpty())
@@ -280,34 +288,91 @@ def ewm(df: DataFrame, spec: SeriesSpec, outputs: Mapping[str, tuple[str, float]
 
 # ---------------------------------------------------------------- order statistics
 
-def quantiles(df: DataFrame, keys: Iterable[str], column: str, shares: Mapping[str, float]) -> DataFrame:
-    """Exact quantiles per key (linear interpolation) for groups of any size.
+def quantiles(df: DataFrame, keys: Iterable[str], column: str, shares: Mapping[str, float], limit: int = BRACKET_ROWS,
+              sketch: int = SKETCH_K) -> DataFrame:
+    """Exact quantiles per key (linear interpolation) for groups of any size. NULLs are ignored, NaN is the largest value.
 
-    Equal values are counted first, so a value that fills a third of the table is one row; the running count over the
-    sorted distinct values then tells which value holds a position. No group is gathered in one task. NULLs are ignored.
+    The input is read once, into a table of keys and values. Mergeable rank sketches bracket the position of each quantile; values outside the bracket
+    are only counted, those inside are looked at again, until at most ``limit`` rows of a group (or rows of few values, which are
+    counted by value) are inside. Only these are sorted, so no group is sorted or gathered as a whole. A bracket is used only where the
+    counts prove that it holds the position, so the answer does not rest on the sketch.
     """
+    keys = list(keys)
+    values = stage(df.select(*keys, F.col(column).cast("double").alias("_v")).where(F.col("_v").isNotNull()), "values")
+    return quantiles_of(values, keys, "_v", shares, limit, sketch)
+
+
+def quantiles_of(values: DataFrame, keys: Iterable[str], column: str, shares: Mapping[str, float], limit: int = BRACKET_ROWS,
+                 sketch: int = SKETCH_K) -> DataFrame:
+    """``quantiles`` of a stored table, which is read as often as a bracket needs to be narrowed."""
     wanted = list(keys)
     keys = wanted or ["_all"]
-    values = df if wanted else df.withColumn("_all", F.lit(0))
-    values = values.select(*keys, F.col(column).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    counted = values.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    placed, spec = place_rows(counted, SeriesSpec(tuple(keys), "_v"))
-    ranked = running(placed, spec, {"_upto": ("sum", "_c")})
-    sizes = placed.groupBy(*keys).agg(F.sum("_c").alias("_size"))
-    # without keys this is one row
-    ranked = equi_join(ranked, sizes if wanted else F.broadcast(sizes), keys, "inner", spec.null_keys)
-    first, last = F.col("_upto") - F.col("_c"), F.col("_upto") - 1
-    out = []
-    for name, share in shares.items():
-        at = F.lit(share) * (F.col("_size") - 1)
-        low = F.floor(at)
-        high = F.least(low + 1, F.col("_size") - 1)
-        out += [F.max(F.when(low.between(first, last), F.col("_v"))).alias(f"_lo_{name}"),
-                F.max(F.when(high.between(first, last), F.col("_v"))).alias(f"_hi_{name}"),
-                F.max(at - low).alias(f"_w_{name}")]
-    picked = ranked.groupBy(*keys).agg(*out)
-    return picked.select(*wanted, *[
-        (F.col(f"_lo_{n}") + (F.col(f"_hi_{n}") - F.col(f"_lo_{n}")) * F.col(f"_w_{n}")).alias(n) for n in shares])
+    rows = values.select(*[F.col(k) for k in wanted], F.col(column).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    rows = rows if wanted else rows.withColumn("_all", F.lit(0))
+    names = list(shares)
+    # One set of candidates per share. ``_below`` counts the rows of a group that were left out for being too small.
+    start = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    parts = []
+    for name in names:
+        at = F.lit(shares[name]) * (F.col("_n") - 1)
+        groups = start.select(*keys, F.col("_n"), (at - F.floor(at)).alias("_w"), F.floor(at).alias("_low"),
+                              F.least(F.floor(at) + 1, F.col("_n") - 1).alias("_high"), F.lit(0).cast("long").alias("_below"),
+                              F.lit(float("-inf")).alias("_from"), F.lit(float("nan")).alias("_to"))
+        inside, groups = _narrow(rows, stage(groups, "groups"), keys, limit, sketch)
+        counted = inside.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
+        upto = F.sum("_c").over(W.partitionBy(*keys).orderBy("_v").rowsBetween(W.unboundedPreceding, W.currentRow))
+        placed = equi_join(counted.withColumn("_upto", upto), groups, keys, "inner")
+        first, last = F.col("_below") + F.col("_upto") - F.col("_c"), F.col("_below") + F.col("_upto") - 1
+        found = placed.groupBy(*keys).agg(F.max(F.when(F.col("_low").between(first, last), F.col("_v"))).alias("_lo"),
+                                          F.max(F.when(F.col("_high").between(first, last), F.col("_v"))).alias("_hi"), F.max("_w").alias("_w"))
+        parts.append(found.select(*keys, (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_w")).alias(name)))
+    out = parts[0]
+    for part in parts[1:]:
+        out = equi_join(out, part, keys, "inner")
+    return out.select(*wanted, *names)
+
+
+def _narrow(rows: DataFrame, groups: DataFrame, keys: list[str], limit: int, sketch: int) -> tuple[DataFrame, DataFrame]:
+    """The rows that may hold the wanted positions, and the groups with their brackets ``_from`` to ``_to`` and the counts below them."""
+    inside, n_inside, margin = rows, F.col("_n"), 8.0 / sketch
+    sizes = groups.select(*keys, F.col("_n").alias("_in"))
+    while True:
+        large = equi_join(groups, sizes, keys, "inner").where(F.col("_in") > limit)
+        if large.isEmpty():
+            return inside, groups
+        made = equi_join(inside, large.select(*keys), keys, "inner").groupBy(*keys).agg(F.kll_sketch_agg_double("_v", F.lit(sketch)).alias("_s"))
+        # a sketch is asked for constant ranks only
+        grid = F.array(*[F.lit(i / _GRID) for i in range(_GRID + 1)])
+        sketches = made.select(*keys, F.kll_sketch_get_quantile_double("_s", grid).alias("_grid"))
+
+        def edge(position: Column, step: float) -> Column:
+            at = ((position - F.col("_below") + 0.5) / F.col("_in") + step) * _GRID
+            at = F.floor(at) if step < 0 else F.ceil(at)
+            return F.get("_grid", F.greatest(F.lit(0), F.least(F.lit(_GRID), at)).cast("int"))
+
+        bracket = stage(equi_join(large, sketches, keys, "inner").select(
+            *keys, F.greatest(F.col("_from"), edge(F.col("_low"), -margin)).alias("_a"), F.least(F.col("_to"), edge(F.col("_high"), margin)).alias("_b"), "_in"), "bracket")
+        met = equi_join(inside, bracket, keys, "left")
+        # What a bracket leaves out below, and keeps: it is taken where it holds both positions and leaves out enough to go on.
+        kept = F.col("_v").between(F.col("_a"), F.col("_b"))
+        counts = met.where(F.col("_a").isNotNull()).groupBy(*keys).agg(F.count_if(F.col("_v") < F.col("_a")).alias("_left"), F.count_if(kept).alias("_kept"))
+        judged = equi_join(equi_join(groups, bracket, keys, "left"), counts, keys, "left")
+        holds = (F.col("_below") + F.col("_left") <= F.col("_low")) & (F.col("_below") + F.col("_left") + F.col("_kept") > F.col("_high")) & (F.col("_kept") < F.col("_in"))
+        taken = F.coalesce(holds, F.lit(False))
+        groups = stage(judged.select(
+            *keys, "_n", "_w", "_low", "_high", (F.col("_below") + F.when(taken, F.col("_left")).otherwise(0)).alias("_below"),
+            F.when(taken, F.col("_a")).otherwise(F.col("_from")).alias("_from"), F.when(taken, F.col("_b")).otherwise(F.col("_to")).alias("_to"),
+            # a group whose bracket did not narrow (few values, or an unlucky sketch) is done
+            F.when(taken & (F.col("_kept") * 2 < F.col("_in")), F.col("_kept")).otherwise(F.lit(0)).alias("_in")), "groups")
+        sizes, groups = groups.select(*keys, "_in"), groups.drop("_in")
+        inside = equi_join(rows, groups.select(*keys, "_from", "_to"), keys, "inner").where(F.col("_v").between(F.col("_from"), F.col("_to"))).select(*keys, "_v")
+
+
+def approximate_quantiles(df: DataFrame, keys: Iterable[str], column: str, shares: Mapping[str, float], sketch: int = SKETCH_K) -> DataFrame:
+    """Quantiles per key from the sketch alone, in one pass: a value of the group whose rank is off by about 2.3 / ``sketch`` of its rows at most."""
+    keys = list(keys)
+    made = df.groupBy(*keys).agg(F.kll_sketch_agg_double(F.col(column).cast("double"), F.lit(sketch)).alias("_s"))
+    return made.select(*keys, *[F.kll_sketch_get_quantile_double("_s", F.lit(float(share))).alias(name) for name, share in shares.items()])
 
 
 def latest(df: DataFrame, spec: SeriesSpec) -> DataFrame:
