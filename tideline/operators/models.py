@@ -46,53 +46,101 @@ def impute_simple(df: DataFrame, columns: Sequence[str], strategy: str = "mean")
     return Imputer(inputCols=list(columns), outputCols=list(columns), strategy=strategy).fit(df).transform(df)
 
 
-def impute_iterative(df: DataFrame, columns: Sequence[str], rounds: int = 10, ridge: float = 1e-6,
-                     tolerance: float = 1e-4) -> DataFrame:
-    """M1: every incomplete column is predicted from all the others, round after round.
+def pattern_moments(df: DataFrame, columns: Sequence[str]) -> tuple[dict[str, np.ndarray], np.ndarray]:
+    """Per pattern of missing cells, the sums of products of (1, the observed columns less ``shift``), and ``shift``.
 
-    A regression needs only sums of products, so a round is one aggregation over the table (for each incomplete column
-    the sums over its observed rows) and the solved equations, a few numbers per column pair, go into the next round as
-    literals. Observed cells never change. Each round is staged, so the plan does not grow.
+    One aggregation over the table: a row per pattern that occurs ('01...', 1 for missing) comes back. Missing columns have zeros. The shift, means of the
+    first rows, only keeps the products small.
     """
-    columns = list(columns)
-    nulls = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns]).first()
-    gaps = [c for c in columns if nulls[c]]
-    if not gaps:
-        return df
-    missing = {c: F.col(f"_gap_{c}") for c in gaps}
-    means = df.agg(*[F.avg(c).alias(c) for c in columns]).first()
-    work = df.withColumns({f"_gap_{c}": F.col(c).isNull() for c in gaps})
-    work = stage(work.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(means[c])) for c in gaps}), "impute")
+    first = np.array([[np.nan if v is None else float(v) for v in row] for row in df.select(*columns).take(100)]).reshape(-1, len(columns))
+    shift = np.array([c[np.isfinite(c)].mean() if np.isfinite(c).any() else 0.0 for c in first.T])
+    pattern = F.concat(*[F.when(F.col(c).isNull(), "1").otherwise("0") for c in columns])
+    terms = [F.lit(1.0), *[F.coalesce(F.col(c).cast("double") - F.lit(float(m)), F.lit(0.0)) for c, m in zip(columns, shift)]]
+    sums = [F.sum(a * b).alias(f"{i}|{j}") for i, a in enumerate(terms) for j, b in enumerate(terms) if j >= i]
+    size = len(terms)
+    found = {}
+    for row in df.groupBy(pattern.alias("pattern")).agg(*sums).collect():
+        found[row["pattern"]] = np.array([[row[f"{min(i, j)}|{max(i, j)}"] for j in range(size)] for i in range(size)], dtype=float)
+    return found, shift
+
+
+def fit_fills(moments: dict[str, np.ndarray], shift: np.ndarray, rounds: int, ridge: float, tolerance: float) -> dict[str, np.ndarray]:
+    """Per pattern, a matrix that turns (1, observed columns less ``shift``) into all columns less ``shift``, missing ones filled in.
+
+    A filled cell is a linear function of its row's observed cells in every round (the mean, at the start), and a regression needs only sums of
+    products, which follow from those of the patterns. So all rounds run on these matrices.
+    """
+    size = len(shift) + 1
+    seen = {p: np.array([c == "0" for c in p]) for p in moments}
+    total = sum(m[0, 0] for m in moments.values())
+    count = np.array([sum(m[0, 0] for p, m in moments.items() if seen[p][c]) for c in range(size - 1)])
+    sums = np.array([sum(m[0, c + 1] for p, m in moments.items() if seen[p][c]) for c in range(size - 1)])
+    means = sums / np.maximum(count, 1)
+    gaps = [c for c in range(size - 1) if 0 < count[c] < total]
+    fills = {}
+    for p in moments:
+        fill = np.zeros((size - 1, size))
+        for c in range(size - 1):
+            fill[c, c + 1 if seen[p][c] else 0] = 1.0 if seen[p][c] else means[c]
+        fills[p] = fill
+    centre = np.eye(size)
+    centre[1:, 0] = -means
     previous = None
-    for _ in range(rounds):
-        sums = []
-        for target in gaps:
-            inputs = [c for c in columns if c != target]
-            terms = [F.lit(1.0), *[F.col(c) - F.lit(float(means[c])) for c in inputs]]
-            seen = ~missing[target]
-            for i, a in enumerate(terms):
-                sums += [F.sum(F.when(seen, a * b)).alias(f"{target}|{i}|{j}") for j, b in enumerate(terms) if j >= i]
-                sums.append(F.sum(F.when(seen, a * F.col(target))).alias(f"{target}|{i}|y"))
-        row = work.agg(*sums).first()
-        fitted, coefficients = {}, []
+    for _ in range(rounds if gaps else 0):
+        whole = {p: np.vstack([np.eye(1, size), fill]) for p, fill in fills.items()}
+        products = {p: w @ moments[p] @ w.T for p, w in whole.items()}
+        coefficients, solved = [], {}
         for target in gaps:
-            inputs = [c for c in columns if c != target]
-            size = len(inputs) + 1
-            gram = np.array([[row[f"{target}|{min(i, j)}|{max(i, j)}"] for j in range(size)] for i in range(size)], dtype=float)
-            right = np.array([row[f"{target}|{i}|y"] for i in range(size)], dtype=float)
+            joint = sum(m for p, m in products.items() if seen[p][target])
+            inputs = [0, *[c + 1 for c in range(size - 1) if c != target]]
+            gram = (centre @ joint @ centre.T)[np.ix_(inputs, inputs)]
             gram[1:, 1:] += np.diag(ridge * np.diag(gram)[1:] + 1e-12)
-            solution = np.linalg.lstsq(gram, right, rcond=None)[0]
-            coefficients.append(solution)
-            value = F.lit(float(solution[0]))
-            for weight, c in zip(solution[1:], inputs):
-                value = value + float(weight) * (F.col(c) - F.lit(float(means[c])))
-            fitted[target] = F.when(missing[target], value).otherwise(F.col(target))
-        work = stage(work.withColumns(fitted), "impute")
+            solved[target] = np.linalg.lstsq(gram, (centre @ joint)[inputs, target + 1], rcond=None)[0]
+            coefficients.append(solved[target] + np.eye(1, len(inputs)).ravel() * shift[target])
+        updated = {p: fill.copy() for p, fill in fills.items()}
+        for target in gaps:
+            weights = np.zeros(size)
+            weights[[0, *[c + 1 for c in range(size - 1) if c != target]]] = solved[target]
+            for p in fills:
+                if not seen[p][target]:
+                    updated[p][target] = weights @ centre @ whole[p]
+        fills = updated
         current = np.concatenate(coefficients)
         if previous is not None and np.max(np.abs(current - previous)) <= tolerance * (1 + np.max(np.abs(current))):
             break
         previous = current
-    return work.drop(*[f"_gap_{c}" for c in gaps])
+    return fills
+
+
+def impute_iterative(df: DataFrame, columns: Sequence[str], rounds: int = 10, ridge: float = 1e-6,
+                     tolerance: float = 1e-4) -> DataFrame:
+    """M1: every incomplete column is predicted from all the others, round after round.
+
+    The table is read twice and never copied: once for sums of products per pattern of missing cells (at most 2 ** incomplete columns patterns, and
+    only those that occur), once to fill the cells, each pattern with its own equations. Observed cells never change. A column without any value stays NULL.
+    """
+    columns = list(columns)
+    moments, shift = pattern_moments(df, columns)
+    size = len(columns)
+    fills = fit_fills(moments, shift, rounds, ridge, tolerance)
+    known = [any(p[c] == "0" for p in moments) for c in range(size)]
+    gaps = [c for c in range(size) if known[c] and any(p[c] == "1" for p in moments)]
+    if not gaps:
+        return df
+    rows = [(p, [[float(v) for v in fill[c]] for c in gaps]) for p, fill in fills.items()]
+    equations = df.sparkSession.createDataFrame(rows, "_pattern string, _equations array<array<double>>")
+    pattern = F.concat(*[F.when(F.col(c).isNull(), "1").otherwise("0") for c in columns])
+    observed = [F.coalesce(F.col(c).cast("double") - F.lit(float(m)), F.lit(0.0)) for c, m in zip(columns, shift)]
+    filled = {}
+    for place, c in enumerate(gaps):
+        weights = F.get("_equations", F.lit(place))
+        value = F.get(weights, F.lit(0)) + F.lit(float(shift[c]))
+        for j, x in enumerate(observed):
+            if j != c:
+                value = value + F.get(weights, F.lit(j + 1)) * x
+        filled[columns[c]] = F.coalesce(F.col(columns[c]).cast("double"), value)
+    joined = df.withColumn("_pattern_of", pattern).join(equations, F.col("_pattern_of") == F.col("_pattern"), "left")
+    return joined.withColumns(filled).select(*df.columns)
 
 
 # ---------------------------------------------------------------- M5

@@ -60,7 +60,7 @@ def trades(ledger: DataFrame) -> DataFrame:
 def strategy_metrics(ledger: DataFrame, spec: SeriesSpec, keys: Sequence[str] = (), benchmark: DataFrame | None = None,
                      price: str = "price", signal: str = "signal") -> DataFrame:
     """Growth, volatility, ratios and drawdowns of an equity curve, one row per key."""
-    from tideline.operators.risk import align_benchmark, beta
+    from tideline.operators.risk import align_benchmark
 
     keys = list(keys or spec.keys)
     df = ledger.withColumn("_ret", ratio(F.col("total"), spec.lag("total")) - 1)
@@ -69,6 +69,13 @@ def strategy_metrics(ledger: DataFrame, spec: SeriesSpec, keys: Sequence[str] =
         df = align_benchmark(df, benchmark, spec.ts)
     else:
         df = df.withColumn("b", F.lit(None).cast("double"))
+    return summarise_curve(df, spec, keys, price, signal)
+
+
+def summarise_curve(df: DataFrame, spec: SeriesSpec, keys: Sequence[str], price: str = "price", signal: str = "signal") -> DataFrame:
+    """The aggregation half of ``strategy_metrics`` on columns total, trade, _ret, _top and b."""
+    from tideline.operators.risk import beta
+
     at = F.struct(*spec.order)
     paired = F.col("_ret").isNotNull() & F.col("b").isNotNull()
     out = df.groupBy(*keys).agg(
@@ -134,17 +141,42 @@ def parameter_sweep(df: DataFrame, spec: SeriesSpec, trials: Sequence[Trial], pr
                     initial: float = 10_000.0) -> DataFrame:
     """B2: every trial's ledger metrics, one row per key and trial.
 
-    The rolling means are computed once per look-back; rows are then expanded per trial (a fixed grid, no join).
+    All trials run on the same rows, in the same sort. The mean of any look-back is a difference of running prices and counts. What is held, and so
+    the log growth and the number of trades so far, depends on the look-back only, so these running logs are shared by its trials; a cost is
+    a multiple of the number of trades: ``log equity = growth + trades * log(1 - cost)``. Only the running peak is a trial's own. Rows are
+    unrolled by trial where they are summed up, so what is shuffled behind the sort are partial sums per key and trial.
     """
     backs = sorted({t.look_back for t in trials})
-    df = df.withColumns({f"_s{n}": crossing_signal(spec, price, short, n) for n in backs})
-    df = df.withColumns({f"_s{n}": spec.lag(f"_s{n}") for n in backs})
-    grid = F.array(*[F.struct(F.lit(t.name).alias("trial"), F.lit(t.cost).alias("_cost"),
-                              F.col(f"_s{t.look_back}").alias("signal")) for t in trials])
-    expanded = df.select(*spec.by, *spec.order, price, F.inline(grid))
-    per_trial = SeriesSpec((*spec.keys, "trial"), spec.ts, spec.tiebreak, spec.part)
-    ledger = equity_ledger(expanded, per_trial, price, "signal", initial, F.col("_cost"))
-    return strategy_metrics(ledger, per_trial, price=price)
+    df = df.select(*spec.by, *spec.order, price)
+    df = df.withColumns({"_sum": F.coalesce(F.sum(price).over(spec.running), F.lit(0.0)), "_count": F.count(price).over(spec.running)})
+
+    def mean(n: int) -> Column:
+        return F.when(F.col("_count") - F.coalesce(spec.lag("_count", n), F.lit(0)) == n, (F.col("_sum") - F.coalesce(spec.lag("_sum", n), F.lit(0.0))) / n)
+
+    df = df.withColumns({"_short": mean(short), **{f"_long{n}": mean(n) for n in backs}})
+    df = df.withColumns({f"_s{n}": F.coalesce(F.signum(F.round(F.col("_short") - F.col(f"_long{n}"), 9)), F.lit(0.0)) for n in backs})
+    df = df.withColumns({f"_s{n}": spec.lag(f"_s{n}") for n in backs}).drop("_sum", "_count", "_short", *[f"_long{n}" for n in backs])
+    df = df.where(F.col(price) > 0).withColumn("_before", spec.lag(price))
+
+    def act(n: int) -> Column:
+        return F.when(F.col("_before").isNotNull() & (F.col(f"_s{n}") != 0), (F.col(f"_s{n}") > 0).cast("int"))
+
+    df = running(df, spec, {f"_held{n}": ("last", act(n)) for n in backs})
+    df = df.withColumns({f"_held{n}": F.coalesce(f"_held{n}", F.lit(0)) for n in backs})
+    df = df.withColumns({f"_was{n}": F.coalesce(spec.lag(f"_held{n}"), F.lit(0)) for n in backs})
+    df = df.withColumns({**{f"_g{n}": F.when(F.col(f"_was{n}") == 1, F.log(F.col(price) / F.col("_before"))).otherwise(0.0) for n in backs},
+                         **{f"_k{n}": (F.col(f"_held{n}") != F.col(f"_was{n}")).cast("double") for n in backs}})
+    df = running(df, spec, {**{f"_growth{n}": ("sum", f"_g{n}") for n in backs}, **{f"_trades{n}": ("sum", f"_k{n}") for n in backs}})
+    fee = {t.name: F.log(F.lit(1 - t.cost)) for t in trials}
+    df = df.withColumns({f"_log_{i}": F.col(f"_growth{t.look_back}") + F.col(f"_trades{t.look_back}") * fee[t.name] for i, t in enumerate(trials)})
+    df = running(df, spec, {f"_peak_{i}": ("max", f"_log_{i}") for i in range(len(trials))})
+    lines = F.array(*[F.struct(
+        F.lit(t.name).alias("trial"), F.col(f"_s{t.look_back}").alias("signal"), (initial * F.exp(f"_log_{i}")).alias("total"),
+        (initial * F.exp(f"_peak_{i}")).alias("_top"), F.when(F.col(f"_k{t.look_back}") == 1, F.lit("trade")).alias("trade"),
+        F.when(F.col("_before").isNotNull(), F.expm1(F.col(f"_g{t.look_back}") + F.col(f"_k{t.look_back}") * fee[t.name])).alias("_ret"))
+        for i, t in enumerate(trials)])
+    curves = df.select(*spec.keys, *spec.order, price, F.inline(lines)).withColumn("b", F.lit(None).cast("double"))
+    return summarise_curve(curves, spec, [*spec.keys, "trial"], price)
 
 
 def best_trial(metrics: DataFrame, keys: Iterable[str], score: str = "sharpe_ratio") -> DataFrame:

@@ -205,6 +205,21 @@ def m1_impute_one_gap(spark, sf):
     return tidy(out, "event_id", "k", digits=4)
 
 
+def chained_sql(rounds: int) -> str:
+    """Two incomplete columns, each the line on the other's values of the round before, mean at first: tables i0 to i{rounds}."""
+    start = "i0 AS (SELECT event_id, value AS v0, k AS k0, coalesce(value, avg(value) OVER ()) AS v, coalesce(k, avg(k) OVER ()) AS k FROM gaps)"
+    steps = [f"""f{n} AS (SELECT regr_slope(v0, k) AS bv, regr_intercept(v0, k) AS av, regr_slope(k0, v) AS bk, regr_intercept(k0, v) AS ak FROM i{n - 1}),
+  i{n} AS (SELECT event_id, v0, k0, coalesce(v0, av + bv * k) AS v, coalesce(k0, ak + bk * v) AS k FROM i{n - 1}, f{n})""" for n in range(1, rounds + 1)]
+    return ", ".join([start, *steps])
+
+
+@query("m1_impute_two_gaps", f"""WITH {GAPS}, {chained_sql(10)} SELECT event_id, {r('v AS value', 'k', digits=5)} FROM i10""")
+def m1_impute_two_gaps(spark, sf):
+    """Ten rounds on two incomplete columns, some rows without either."""
+    out = models.impute_iterative(gappy(spark, sf).select("event_id", "value", "k"), ["value", "k"], rounds=10, ridge=0.0, tolerance=0.0)
+    return tidy(out, "event_id", "value", "k", digits=5)
+
+
 @query("m5_planted_outliers", "SELECT CAST(i AS BIGINT) AS event_id FROM unnest([-3, -2, -1]) AS t(i)")
 def m5_planted_outliers(spark, sf):
     """Rows far outside all others are among the flagged ones."""

@@ -260,13 +260,14 @@ def a14_imbalance_ratio(spark, sf):
     return tidy(strategy.imbalance_ratio(table(spark, sf, "documents"), "source", ["lang"]))
 
 
-# A grid inside the documented search ranges (look-back 10-100, cost 0.0001-0.01).
-TRIALS = tuple(strategy.Trial(f"back{n}_cost{c}", n, c) for n in (10, 20, 50, 100) for c in (0.0001, 0.001, 0.01))
+# 50 trials, a grid over the documented search ranges (look-back 10-100, cost 0.0001-0.01).
+BACKS, COSTS = tuple(range(10, 101, 10)), (0.0001, 0.0005, 0.001, 0.005, 0.01)
+TRIALS = tuple(strategy.Trial(f"back{n}_cost{c}", n, c) for n in BACKS for c in COSTS)
 _TRIAL_SQL = " UNION ALL ".join(
     f"""SELECT symbol, '{t.name}' AS trial, CAST({t.cost} AS DOUBLE) AS cost, ts, price, lag(s{t.look_back}) {over()} AS signal FROM sg"""
     for t in TRIALS)
 _SWEEP_SQL = f"""sg AS (SELECT symbol, ts, close AS price, """ + ", ".join(
-    f"coalesce(sign(round({roll('avg', 'close', 5)} - {roll('avg', 'close', n)}, 9)), 0) AS s{n}" for n in (10, 20, 50, 100)
+    f"coalesce(sign(round({roll('avg', 'close', 5)} - {roll('avg', 'close', n)}, 9)), 0) AS s{n}" for n in BACKS
 ) + f""" FROM bars), tr AS ({_TRIAL_SQL}),
 {ledger_sql('tr', 'ledger', 'symbol, trial', 'cost')}, {performance_sql('ledger', 'symbol, trial')}"""
 
