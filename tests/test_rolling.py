@@ -127,3 +127,70 @@ def test_the_setting_of_the_session_holds_again(spark):
     with rolling.keyed_state(spark):
         assert spark.conf.get(rolling.STORE[0]) == rolling.STORE[1]
     assert spark.conf.get(rolling.STORE[0]) == before
+
+
+# ---------------------------------------------------------------- as-of join of two streams
+
+LEFT, RIGHT = "k string, ts timestamp, id long", "k string, at timestamp, seq int, price double"
+
+
+class Pair:
+    """Two landing folders; each call lands rows on either side and runs the query over what is new."""
+
+    def __init__(self, spark, folder, delay="10 minutes"):
+        self.spark, self.folder, self.delay = spark, folder, delay
+
+    def take(self, left=(), right=()):
+        spark = self.spark
+        for rows, schema, side in ((left, LEFT, "left"), (right, RIGHT, "right")):
+            spark.createDataFrame(list(rows), schema).coalesce(1).write.mode("append").parquet(f"{self.folder}/{side}")
+        a, b = (spark.readStream.schema(schema).parquet(f"{self.folder}/{side}") for schema, side in ((LEFT, "left"), (RIGHT, "right")))
+        done = rolling.asof_stream(a, b, "ts", "at", ["k"], prefix="m_", order=["seq"], delay=self.delay)
+        with rolling.keyed_state(spark):
+            query = streams.write_stream(done, f"{self.folder}/out", f"{self.folder}/state", availableNow=True)
+            query.awaitTermination()
+        self.progress = query.recentProgress
+        return self
+
+    def close(self):
+        return self.take([("end", START + dt.timedelta(days=90), -1)], [("end", START + dt.timedelta(days=90), 0, 0.0)])
+
+    def found(self):
+        return {r["id"]: (r["m_price"], r["m_at"]) for r in self.spark.read.parquet(f"{self.folder}/out").collect()}
+
+
+def minute(m):
+    return START + dt.timedelta(minutes=m)
+
+
+def test_asof_of_two_streams_equals_the_batch_join(spark, tmp_path, few_partitions):
+    from tideline.operators.joins import asof_join
+
+    left = [[("a", minute(5), 1), ("b", minute(3), 2), ("a", minute(0), 3)], [("a", minute(12), 4), ("a", minute(9), 5), (None, minute(11), 6)], [("a", minute(200), 7), ("b", minute(220), 8)]]
+    right = [[("a", minute(5), 1, 1.0), ("a", minute(5), 2, 2.0), ("a", minute(2), 1, 3.0)], [("a", minute(11), 1, None), (None, minute(10), 1, 4.0)], [("c", minute(210), 1, 5.0)]]
+    pair = Pair(spark, str(tmp_path))
+    for a, b in zip(left, right):
+        pair.take(a, b)
+    pair.close()
+    batch = asof_join(spark.createDataFrame(sum(left, []), LEFT), spark.createDataFrame(sum(right, []), RIGHT), "ts", "at", ["k"], ["seq"], prefix="m_")
+    wanted = {r["id"]: (r["m_price"], r["m_at"]) for r in batch.collect()}
+    wanted[6] = (4.0, minute(10))  # on streams a missing key is a key like others
+    assert pair.found() == wanted and wanted[1] == (2.0, minute(5)) and wanted[3] == (None, None) and wanted[4] == (None, minute(11)) and wanted[7][1] == minute(11)
+
+
+def test_a_late_market_row_is_dropped_and_never_joined(spark, tmp_path, few_partitions):
+    pair = Pair(spark, str(tmp_path)).take([("a", minute(10), 1)], [("a", minute(5), 1, 1.0)])
+    pair.take([("a", minute(100), 2)], [("a", minute(100), 1, 2.0)])  # both watermarks pass minute 10
+    pair.take([("a", minute(102), 3)], [("a", minute(101), 1, 3.0)])
+    pair.take([("a", minute(103), 4)], [("a", minute(7), 1, 9.0)])
+    assert sum(op["numRowsDroppedByWatermark"] for p in pair.progress for op in p["stateOperators"]) == 1
+    assert {i: p for i, (p, _) in pair.close().found().items()} == {1: 1.0, 2: 2.0, 3: 3.0, 4: 3.0}
+
+
+def test_rows_wait_for_the_slower_stream(spark, tmp_path, few_partitions):
+    """The left side runs ahead; its rows leave when the right side has caught up, and meet what came meanwhile."""
+    pair = Pair(spark, str(tmp_path)).take([("a", minute(m), m) for m in (1, 50, 300)], [("a", minute(0), 1, 1.0)])
+    pair.take([("a", minute(301), 301)], [("a", minute(40), 1, 2.0)])
+    assert not set(pair.found()) & {50, 300, 301}
+    pair.take([], [("a", minute(299), 1, 3.0)])
+    assert {i: p for i, (p, _) in pair.close().found().items()} == {1: 1.0, 50: 2.0, 300: 3.0, 301: 3.0}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,22 +49,28 @@ def land(spark: SparkSession, parts: list[DataFrame], start) -> None:
         start(spark.readStream.schema(part.schema).parquet(path)).awaitTermination()
 
 
+@contextmanager
+def few_partitions(spark: SparkSession):
+    """State is kept per shuffle partition for good; a replay on few cores needs few of them."""
+    width = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(min(int(width), spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", width)
+
+
 def replay(spark: SparkSession, df: DataFrame, build, ts: str | None = None, closing: bool = True, arrival=None) -> DataFrame:
     """Run a stream over the slices of a table (by ``arrival``, default ``ts``) and read the sink.
 
     With ``closing`` a row far in the future follows, so that the watermark closes every open window.
     """
     out, checkpoint = scratch(spark, "sink"), scratch(spark, "checkpoint")
-    width = spark.conf.get("spark.sql.shuffle.partitions")
-    # state is kept per shuffle partition for good; a replay on few cores needs few of them
-    spark.conf.set("spark.sql.shuffle.partitions", str(min(int(width), spark.sparkContext.defaultParallelism)))
-    try:
+    with few_partitions(spark):
         parts = slices(df, ts, arrival)
         if ts and closing:
             parts.append(df.limit(1).withColumn(ts, F.lit("2100-01-01").cast("timestamp")))
         land(spark, parts, lambda stream: streams.write_stream(build(stream), out, checkpoint, availableNow=True))
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", width)
     return spark.read.schema(build(df).schema).parquet(out)
 
 
@@ -149,14 +157,21 @@ def st8_telemetry_stream(spark, sf):
   SELECT e.event_id, e.symbol, m.bar_ts AS m_bar_ts, {r('m.close AS m_close')}
   FROM ticks e ASOF LEFT JOIN mk m ON e.symbol = m.symbol AND e.ts >= m.bar_ts""")
 def st9_asof_stream(spark, sf):
-    out, checkpoint = scratch(spark, "asof"), scratch(spark, "checkpoint")
-    stored = scratch(spark, "market")
-    bars_by_day = zoned(bars(spark, sf), "ts").select("symbol", F.col("ts").alias("bar_ts"), "close")
-    bars_by_day.withColumn("day", F.to_date("bar_ts")).write.partitionBy("day").parquet(stored)
-
-    def market(session):
-        return session.read.parquet(stored).select("symbol", "bar_ts", "close")
-
-    land(spark, slices(zoned(ticks(spark, sf).select("symbol", "ts", "event_id"), "ts"), "ts"),
-         lambda stream: streams.asof_stream(stream, market, out, checkpoint, "ts", "bar_ts", ["symbol"], prefix="m_"))
-    return tidy(spark.read.parquet(out), "event_id", "symbol", "m_bar_ts", "m_close")
+    """Ticks and hourly bars as two live streams, joined as they arrive."""
+    left = zoned(ticks(spark, sf).select("symbol", "ts", "event_id"), "ts")
+    right = zoned(bars(spark, sf), "ts").select("symbol", F.col("ts").alias("bar_ts"), "close")
+    folders, schemas = [scratch(spark, "landing"), scratch(spark, "landing")], [left.schema, right.schema]
+    out, checkpoint = scratch(spark, "sink"), scratch(spark, "checkpoint")
+    last = F.lit("2100-01-01").cast("timestamp")
+    rounds = [*zip(slices(left, "ts"), slices(right, "bar_ts")), (left.limit(1).withColumn("ts", last), right.limit(1).withColumn("bar_ts", last))]
+
+    def build(a, b):
+        return rolling.asof_stream(a, b, "ts", "bar_ts", ["symbol"], prefix="m_", delay=LATE)
+
+    with rolling.keyed_state(spark), few_partitions(spark):
+        for parts in rounds:
+            for part, folder in zip(parts, folders):
+                part.write.mode("append").parquet(folder)
+            a, b = (spark.readStream.schema(schema).parquet(folder) for schema, folder in zip(schemas, folders))
+            streams.write_stream(build(a, b), out, checkpoint, availableNow=True).awaitTermination()
+    return tidy(spark.read.schema(build(left, right).schema).parquet(out), "event_id", "symbol", "m_bar_ts", "m_close")

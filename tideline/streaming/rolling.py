@@ -1,4 +1,4 @@
-"""Rolling row windows on streams with keyed state (ST6)."""
+"""Rolling row windows and as-of joins on streams with keyed state and timers (ST6, ST9)."""
 
 from __future__ import annotations
 
@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 _AT = "micros_of_event"  # no leading underscore: Spark renames such columns on the way into the processor
+_SIDE, _RIGHT = "side_of_join", 0
 # State in lists and timers needs this store.
 STORE = ("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 
@@ -33,26 +34,25 @@ def milliseconds(spark: SparkSession, interval: str) -> int:
     return spark.range(1).select(F.unix_millis(F.lit(0).cast("timestamp") + F.expr(f"INTERVAL {interval}"))).first()[0]
 
 
-class RollingRows(StatefulProcessor):
-    """Per key: rows wait until the watermark has passed them; then they are put in event order and joined to the last rows before them.
+class InEventOrder(StatefulProcessor):
+    """Rows of a key wait until the watermark has passed them, and are then released together in event order.
 
-    State is the waiting rows, the last ``look_back`` released rows, and the time of the pending timer. A timer stands at the oldest waiting row; if none
-    waits, at the time when the key expires. A key without new rows for ``expire_ms`` of event time loses its state.
+    State is the waiting rows and the time of the pending timer, which stands at the oldest waiting row.
     """
 
-    def __init__(self, operator: Callable[[pd.DataFrame], pd.DataFrame], columns: Sequence[str], types: Sequence[T.DataType], order: Sequence[str],
-                 look_back: int, expire_ms: int, keys: Sequence[str]):
-        self.operator, self.columns, self.types, self.order = operator, list(columns), list(types), list(order)
-        self.look_back, self.expire_ms, self.keys = look_back, expire_ms, list(keys)
+    def __init__(self, columns: Sequence[str], types: Sequence[T.DataType], order: Sequence[str]):
+        self.columns, self.types, self.order = list(columns), list(types), list(order)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        schema = T.StructType([T.StructField(c, t) for c, t in zip(self.columns, self.types)])
         self.handle = handle
-        self.waiting = handle.getListState("waiting", schema)
-        self.tail = handle.getListState("tail", schema)
+        self.waiting = handle.getListState("waiting", self.schema())
         self.timer = handle.getValueState("timer", T.StructType([T.StructField("at", T.LongType())]))
 
-    def _rows(self, frame: pd.DataFrame) -> list[tuple]:
+    def schema(self, *names: str) -> T.StructType:
+        """The fields called ``names``, or all."""
+        return T.StructType([T.StructField(c, t) for c, t in zip(self.columns, self.types) if not names or c in names])
+
+    def rows_of(self, frame: pd.DataFrame) -> list[tuple]:
         """Rows as the state takes them: whole numbers as such, missing values as NULL."""
         columns = []
         for c, t in zip(self.columns, self.types):
@@ -61,13 +61,21 @@ class RollingRows(StatefulProcessor):
             columns.append([int(v) if whole and v is not None else v for v in values])
         return list(zip(*columns))
 
-    def _frame(self, rows: list[tuple]) -> pd.DataFrame:
+    def frame_of(self, rows: list[tuple]) -> pd.DataFrame:
         return pd.DataFrame(rows, columns=self.columns)
 
+    def release(self, key, ready: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        """What comes out for rows that nothing can precede any more."""
+        raise NotImplementedError
+
+    def rest(self, passed: int) -> int | None:
+        """When to look at a key again that has no waiting row, in milliseconds of event time; state that is no longer needed may go."""
+        return None
+
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         for frame in rows:
             if len(frame):
-                self.waiting.appendList(self._rows(frame))
+                self.waiting.appendList(self.rows_of(frame))
         # What the watermark has passed by now leaves with the next timer, after all rows of this batch are in the state.
         self._set_timer(min(row[self.columns.index(_AT)] for row in self.waiting.get()) // 1000 + 1)
         return iter(())
@@ -79,26 +87,16 @@ class RollingRows(StatefulProcessor):
         ready = [r for r in rows if r[at] // 1000 < passed]
         left = [r for r in rows if r[at] // 1000 >= passed]
         out = iter(())
-        tail = list(self.tail.get())
         if ready:
             self.waiting.clear()
             if left:
                 self.waiting.put(left)
-            fresh = self._frame(ready).sort_values(self.order, kind="stable", na_position="first")
-            joined = pd.concat([self._frame(tail), fresh], ignore_index=True) if tail else fresh.reset_index(drop=True)
-            done = self.operator(joined).iloc[len(tail):]
-            tail = self._rows(joined.tail(self.look_back))
-            self.tail.put(tail)
-            for k, value in zip(self.keys, key):
-                done = done.assign(**{k: value})
-            out = iter([done])
+            # at once, not when Spark asks for the rows: what follows needs the state behind them
+            out = iter(list(self.release(key, self.frame_of(ready).sort_values(self.order, kind="stable", na_position="first", ignore_index=True))))
         self.timer.clear()
-        if left:
-            self._set_timer(min(r[at] for r in left) // 1000 + 1)
-        elif tail and tail[-1][at] // 1000 + self.expire_ms < passed:
-            self.tail.clear()
-        elif tail:
-            self._set_timer(tail[-1][at] // 1000 + self.expire_ms + 1)
+        following = min(r[at] for r in left) // 1000 + 1 if left else self.rest(passed)
+        if following is not None:
+            self._set_timer(following)
         return out
 
     def _set_timer(self, at: int) -> None:
@@ -118,6 +116,66 @@ class RollingRows(StatefulProcessor):
         pass
 
 
+class RollingRows(InEventOrder):
+    """Released rows are joined to the last ``look_back`` rows before them. A key without new rows for ``expire_ms`` loses these."""
+
+    def __init__(self, operator: Callable[[pd.DataFrame], pd.DataFrame], columns: Sequence[str], types: Sequence[T.DataType], order: Sequence[str],
+                 look_back: int, expire_ms: int, keys: Sequence[str]):
+        super().__init__(columns, types, order)
+        self.operator, self.look_back, self.expire_ms, self.keys = operator, look_back, expire_ms, list(keys)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.tail = handle.getListState("tail", self.schema())
+
+    def release(self, key, ready: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        tail = list(self.tail.get())
+        joined = pd.concat([self.frame_of(tail), ready], ignore_index=True) if tail else ready
+        done = self.operator(joined).iloc[len(tail):]
+        self.tail.put(self.rows_of(joined.tail(self.look_back)))
+        yield done.assign(**dict(zip(self.keys, key)))
+
+    def rest(self, passed: int) -> int | None:
+        tail = list(self.tail.get())
+        if not tail:
+            return None
+        end = tail[-1][self.columns.index(_AT)] // 1000 + self.expire_ms
+        if end < passed:
+            self.tail.clear()
+            return None
+        return end + 1
+
+
+class AsofRows(InEventOrder):
+    """Two kinds of rows of a key: those of the right side are remembered, the last one only; those of the left side leave with it."""
+
+    def __init__(self, columns: Sequence[str], types: Sequence[T.DataType], order: Sequence[str], right: Sequence[str], keys: Sequence[str]):
+        super().__init__(columns, types, order)
+        self.right, self.keys = list(right), list(keys)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.last = handle.getValueState("last", self.schema(*self.right))
+
+    def release(self, key, ready: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        places = [self.columns.index(c) for c in self.right]
+        side = self.columns.index(_SIDE)
+        last = tuple(self.last.get()) if self.last.exists() else None
+        known, rows, out = last, self.rows_of(ready), []
+        for row in rows:
+            if row[side] == _RIGHT:
+                known = tuple(row[p] for p in places)
+            else:
+                row = list(row)
+                for p, value in zip(places, known or [None] * len(places)):
+                    row[p] = value
+                out.append(row)
+        if known is not last:
+            self.last.update(known)
+        if out:
+            yield pd.DataFrame(out, columns=self.columns).assign(**dict(zip(self.keys, key)))
+
+
 def rolling_stream(rows: DataFrame, keys: Sequence[str], ts: str, operator: Callable[[pd.DataFrame], pd.DataFrame], added: Sequence[T.StructField],
                    look_back: int, order: Sequence[str] = (), delay: str = "1 hour", expire: str = "365 days") -> DataFrame:
     """ST6: all columns of ``rows`` plus those that ``operator`` adds to a frame of one key in event order.
@@ -138,6 +196,35 @@ def rolling_stream(rows: DataFrame, keys: Sequence[str], ts: str, operator: Call
     return done.withColumn(ts, F.timestamp_micros(_AT)).select(*rows.columns, *[f.name for f in added])
 
 
+def asof_stream(left: DataFrame, right: DataFrame, left_ts: str, right_ts: str, keys: Sequence[str], prefix: str = "right_", order: Sequence[str] = (),
+                delay: str = "1 hour") -> DataFrame:
+    """ST9: every row of the stream ``left`` with the newest row of the stream ``right`` of its key at or before its own time, NULLs if there is none.
+
+    Both streams have watermarks; a row of the left one leaves once the slower of the two has passed it, so rows of either side may come ``delay`` late and
+    in any order. Rows of the right side that come later than that are dropped and counted by Spark's progress reports, never joined to rows that come
+    after. However old the last row of a key is, it is remembered: state is one row of the right side per key and the waiting rows. Of right rows at one time,
+    the last by ``order`` counts. The query is started inside ``keyed_state``.
+    """
+    kept = [c for c in right.columns if c not in keys]
+    renamed = {c: f"{prefix}{c}" for c in kept}
+    values = [c for c in left.columns if c not in (*keys, left_ts)]
+    at, side = "time_of_event", F.lit(_RIGHT)
+    a = left.withColumn(at, F.col(left_ts)).withWatermark(at, delay).select(
+        *keys, at, F.unix_micros(at).alias(_AT), F.lit(1 - _RIGHT).alias(_SIDE), *values,
+        *[F.lit(None).cast("long" if c == right_ts else right.schema[c].dataType).alias(renamed[c]) for c in kept])
+    b = right.withColumn(at, F.col(right_ts)).withWatermark(at, delay).select(
+        *keys, at, F.unix_micros(at).alias(_AT), side.alias(_SIDE), *[F.lit(None).cast(left.schema[c].dataType).alias(c) for c in values],
+        *[(F.unix_micros(c) if c == right_ts else F.col(c)).alias(renamed[c]) for c in kept])
+    both = a.unionByName(b)
+    inside = [f for f in both.schema.fields if f.name not in (at, *keys)]
+    out = T.StructType([*[T.StructField(f.name, f.dataType) for f in inside], *[T.StructField(k, both.schema[k].dataType) for k in keys]])
+    # at one time, right rows come first
+    processor = AsofRows([f.name for f in inside], [f.dataType for f in inside], [_AT, _SIDE, *[renamed[c] for c in order]], [renamed[c] for c in kept], keys)
+    done = both.groupBy(*keys).transformWithStateInPandas(processor, out, outputMode="Append", timeMode="EventTime")
+    done = done.withColumn(left_ts, F.timestamp_micros(_AT)).withColumn(renamed[right_ts], F.timestamp_micros(renamed[right_ts]))
+    return done.select(*left.columns, *renamed.values())
+
+
 POST_FIELDS = tuple(T.StructField(c, T.DoubleType()) for c in ("engagement_rate", "sentiment_trend", "sentiment_volatility"))
 
 

@@ -16,7 +16,6 @@ from pyspark.sql.window import Window as W
 
 from tideline.functions.expr import ratio
 from tideline.operators import onchain, quality, risk, text
-from tideline.operators.joins import asof_join, one_row_per_key
 from tideline.series import SeriesSpec, over_chunks
 from tideline.sources import payloads
 from tideline.staging import remove_folder
@@ -150,25 +149,6 @@ class RollingStream:
         return spark.read.parquet(f"{self.path}/out").drop("batch")
 
 
-def asof_stream(posts: DataFrame, market: Callable[[SparkSession], DataFrame], path: str, checkpoint: str, posts_ts: str,
-                market_ts: str, keys: Sequence[str], prefix: str = "right_", **trigger) -> StreamingQuery:
-    """ST9: every micro-batch of posts against the market rows of its own time range and the last older row of every key.
-
-    However old the last market row is, it is found, as in the join of whole tables.
-    """
-    def join(batch: DataFrame, batch_id: int) -> None:
-        span = batch.agg(F.min(posts_ts).alias("a"), F.max(posts_ts).alias("b")).first()
-        if span["a"] is None:
-            return
-        table = market(batch.sparkSession)
-        older = one_row_per_key(table.where(F.col(market_ts) < F.lit(span["a"])), keys, [market_ts])
-        near = table.where((F.col(market_ts) >= F.lit(span["a"])) & (F.col(market_ts) <= F.lit(span["b"]))).unionByName(older)
-        joined = asof_join(batch, near, posts_ts, market_ts, keys, prefix=prefix)
-        joined.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-
-    return posts.writeStream.foreachBatch(join).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
-
-
 def write_stream(df: DataFrame, path: str, checkpoint: str, mode: str = "append", **trigger) -> StreamingQuery:
     """Append a stream to Parquet (exactly once through the file sink's log)."""
     return (df.writeStream.format("parquet").outputMode(mode).option("checkpointLocation", checkpoint)
