@@ -192,3 +192,41 @@ def test_recall_does_not_follow_the_number_of_vectors(number):
     for q in vectors.fit_quantisers(x, masks, 0.95):
         met |= vectors.meeting(a, b, q, masks)
     assert np.allclose((a * b).sum(axis=1), 0.95) and met.mean() >= 0.975
+
+
+@pytest.mark.parametrize("mean", [0.0, 0.8, 0.9, 0.95])
+def test_recall_with_a_common_direction(spark, mean):
+    """Vectors whose cosines are ``mean`` on average, as many models make them, each with a partner just above the threshold."""
+    rng = np.random.default_rng(6)
+    common = np.zeros(64)
+    common[0] = np.sqrt(mean)
+    free = rng.standard_normal((700, 64))
+    free[:, 0] = 0
+    x = common + np.sqrt(1 - mean) * free / np.linalg.norm(free, axis=1, keepdims=True)
+    w = rng.standard_normal(x.shape)
+    w -= (w * x).sum(axis=1, keepdims=True) * x
+    partner = 0.955 * x + np.sqrt(1 - 0.955 ** 2) * w / np.linalg.norm(w, axis=1, keepdims=True)
+    x = np.vstack([x, partner])
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    out = {r["vec_id"]: r["n_links"] for r in vectors.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    close = unit @ unit.T >= 0.95
+    np.fill_diagonal(close, False)
+    degree, got = close.sum(axis=1), np.array([out[i] for i in range(len(x))])
+    assert (got <= degree).all() and got.sum() >= 0.95 * degree.sum() and degree.sum() >= 1400
+
+
+@pytest.mark.parametrize("mean, number", [(0.8, 100_000), (0.8, 100_000_000), (0.94, 100_000_000)])
+def test_tables_are_bounded(mean, number):
+    rng = np.random.default_rng(9)
+    x = np.sqrt(1 - mean) * rng.standard_normal((3000, 64)) / 8
+    x[:, 0] += np.sqrt(mean)
+    quantisers, masks = vectors.fit_tables(x, number, 0.95)
+    assert len(quantisers) * len(masks) <= vectors.MOST_TABLES and vectors.recall_of(quantisers, masks, x, 0.95) >= 0.97
+
+
+def test_embeddings_leave_the_session_as_it_was(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    vectors.op9_itq_embeddings(spark, "/root/testdata/sf0.001").count()
+    assert spark.conf.get(name) == before
