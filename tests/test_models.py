@@ -4,6 +4,7 @@ import numpy as np
 import pandas as pd
 import pytest
 from pyspark.ml.functions import array_to_vector
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from tideline.operators import graph, models, text
@@ -119,3 +120,66 @@ def test_predictor_target_is_the_next_return(spark):
 def test_ensemble_skips_missing(spark):
     df = spark.createDataFrame([(1.0, 0.0, None), (None, None, None)], "a double, b double, c double")
     assert [r[0] for r in df.select(ensemble_signal(["a", "b", "c"])).collect()] == [0.5, None]
+
+
+def test_walk_forward_never_learns_from_the_future(spark):
+    """Every fold's model knows only rows whose label was known before the fold; the held-out rows are the newest ones."""
+    rng = np.random.default_rng(3)
+    rows = [(int(t), int(t) + 7, float(x), float(2 * x + rng.normal(0, 0.1))) for t, x in zip(np.repeat(np.arange(200), 2), rng.normal(0, 1, 400))]
+    df = spark.createDataFrame(rows, "t long, known long, x double, y double").selectExpr("timestamp_seconds(t) AS ts", "timestamp_seconds(known) AS known", "x", "y")
+    line = LinearRegression(featuresCol="features", labelCol="y", solver="normal")
+    search = models.walk_forward(df, "ts", "known", ["x"], "y", line, [{"regParam": 0.0}, {"regParam": 10.0}], folds=4, holdout=0.25)
+    report = search.report.toPandas()
+    assert len(report) == 8 and search.parameters == {"regParam": 0.0} and search.holdout_rmse < 0.2
+    pdf = pd.DataFrame(rows, columns=["t", "known", "x", "y"])
+    end = pdf["t"].quantile(0.75)
+    kept = pdf[(pdf["t"] < end) & (pdf["known"] < end)]
+    cuts = [kept["t"].quantile(i / 5) for i in range(1, 5)] + [np.inf]
+    for fold, r in report[report["trial"] == 0].set_index("fold").iterrows():
+        learned = kept[(kept["t"] < cuts[fold]) & (kept["known"] < cuts[fold])]
+        tested = kept[(kept["t"] >= cuts[fold]) & (kept["t"] < cuts[fold + 1])]
+        assert (r["n_train"], r["n_test"]) == (len(learned), len(tested)) and learned["known"].max() < tested["t"].min()
+        slope, start = np.polyfit(learned["x"], learned["y"], 1)
+        assert r["rmse"] == pytest.approx(np.sqrt(((tested["y"] - start - slope * tested["x"]) ** 2).mean()))
+    worse = report.groupby("trial")["rmse"].mean()
+    assert worse[0] < worse[1]
+
+
+def test_isolation_scores_follow_from_path_lengths(spark, monkeypatch):
+    """Scores recomputed from the trees by walking every row down every tree."""
+    grown = []
+    rng = np.random.default_rng(1)
+    sample = rng.normal(0, 1, (64, 2))
+    nodes = {n[0]: n for n in models._grow_tree(sample, np.random.default_rng(5))}
+
+    def path(row):
+        at, depth = 0, 0
+        while nodes[at][1] >= 0:
+            _, left, right, feature, cut, _ = nodes[at]
+            at, depth = (left if row[feature] < cut else right), depth + 1
+        return depth, nodes[at][5]
+
+    sizes = {}
+    for row in sample:
+        depth, size = path(row)
+        grown.append(depth)
+        sizes[depth, size] = sizes.get((depth, size), 0) + 1
+    assert max(grown) <= 6 and sum(n[5] for n in nodes.values() if n[1] < 0) == 64
+    # a leaf holds exactly the rows that walk into it
+    leaves = {}
+    for row in sample:
+        at = 0
+        while nodes[at][1] >= 0:
+            at = nodes[at][1] if row[nodes[at][3]] < nodes[at][4] else nodes[at][2]
+        leaves[at] = leaves.get(at, 0) + 1
+    assert leaves == {i: n[5] for i, n in nodes.items() if n[1] < 0}
+    harmonic = lambda n: 0.0 if n < 2 else 1.0 if n == 2 else 2 * (np.log(n - 1) + np.euler_gamma) - 2 * (n - 1) / n
+    assert models._mean_path([1, 2, 3, 64]).tolist() == pytest.approx([harmonic(n) for n in (1, 2, 3, 64)])
+
+
+def test_signals_do_not_move_over_missing_rows(spark):
+    df = spark.createDataFrame([("a", i, None if i == 3 else float(i)) for i in range(6)], "symbol string, ts long, x double")
+    line = LinearRegression(featuresCol="features", labelCol="x", solver="normal")
+    model = line.fit(models.assemble(df.where("x IS NOT NULL"), ["x"]))
+    out = models.model_signals(df, SeriesSpec(("symbol",), "ts"), model, ["x"]).orderBy("ts").collect()
+    assert [r["signal"] is None for r in out] == [True, False, False, False, True, False]

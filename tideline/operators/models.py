@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
@@ -297,7 +300,7 @@ def nearest_neighbours(df: DataFrame, key: str, vector: str, k: int = 20, pivots
     asks = placed.withColumn("_cell", F.explode(wanted)).withColumn(
         "_block", F.explode(F.sequence(F.lit(0), F.element_at(count_of, F.col("_cell")) - 1)))
     load = asks.groupBy("_cell", "_block").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("_groups"))
-    asks = asks.join(F.broadcast(load), ["_cell", "_block"])  # one row per block
+    asks = asks.join(load, ["_cell", "_block"])  # one row per block, whose number grows with the rows: how to join is the optimizer's choice
     asks = asks.withColumn("_group", F.floor(hash_uniform("_id", F.lit("g")) * F.col("_groups")).cast("int"))
     base = base.join(F.broadcast(load), ["_cell", "_block"]).withColumn(
         "_group", F.explode(F.sequence(F.lit(0), F.col("_groups") - 1)))
@@ -449,22 +452,77 @@ def selected_features(selection: DataFrame) -> DataFrame:
     return selection.where("selected").select("feature").distinct()
 
 
+@dataclass(frozen=True)
+class Search:
+    """What a walk-forward search found: the model fitted on all searched rows, its parameters, its error on the rows held out (NULL without any), and the
+    whole table (trial, parameters, fold, n_train, n_test, rmse)."""
+
+    model: object
+    parameters: dict[str, object]
+    holdout_rmse: float | None
+    report: DataFrame
+
+
+def time_cuts(df: DataFrame, ts: str, shares: Sequence[float]) -> list[float]:
+    """The times, in microseconds, below which these shares of the rows lie."""
+    at = df.select(F.unix_micros(F.col(ts).cast("timestamp")).alias("_t"))
+    found = quantiles(at, [], "_t", {f"q{i}": s for i, s in enumerate(shares)}).first()
+    return [found[f"q{i}"] for i in range(len(shares))] if found else [0.0] * len(shares)
+
+
+def walk_forward(df: DataFrame, ts: str, known: str, features: Sequence[str], label: str, learner, grid: Sequence[dict], folds: int = 5,
+                 holdout: float = 0.2, parallelism: int = 4) -> Search:
+    """Search parameters on expanding time folds.
+
+    The newest ``holdout`` of the rows is kept aside. The rest is cut at ``folds`` times into equal parts; each part after the first is tested by models that
+    learned from all parts before it. ``known`` is the time at which a row's label is known: a row is learned from only if that is before the
+    tested part begins, so no model sees anything of its future. The parameters with the least mean error are fitted on all searched rows.
+    """
+    spark = df.sparkSession
+    at, seen = (F.unix_micros(F.col(c).cast("timestamp")) for c in (ts, known))
+    rows = assemble(df.where(complete([*features, label]) & F.col(known).isNotNull()), features).select("features", label, at.alias("_at"), seen.alias("_seen"))
+    rows = stage(rows, "walk-forward")
+    end = time_cuts(rows.withColumn("_t", F.timestamp_micros("_at")), "_t", [1 - holdout])[0] if holdout else float("inf")
+    searched = rows.where((F.col("_at") < end) & (F.col("_seen") < end)) if holdout else rows
+    cuts = time_cuts(searched.withColumn("_t", F.timestamp_micros("_at")), "_t", [i / (folds + 1) for i in range(1, folds + 1)]) + [float("inf")]
+    evaluator = RegressionEvaluator(labelCol=label, predictionCol=learner.getPredictionCol(), metricName="rmse")
+
+    def rmse(model, tested: DataFrame) -> float | None:
+        return float(evaluator.evaluate(model.transform(tested))) if not tested.isEmpty() else None
+
+    def trial(task: tuple[int, int]) -> tuple:
+        number, fold = task
+        learned = searched.where((F.col("_at") < cuts[fold]) & (F.col("_seen") < cuts[fold]))
+        tested = searched.where((F.col("_at") >= cuts[fold]) & (F.col("_at") < cuts[fold + 1]))
+        n_train, n_test = learned.count(), tested.count()
+        error = rmse(learner.copy({learner.getParam(k): v for k, v in grid[number].items()}).fit(learned), tested) if n_train and n_test else None
+        return number, json.dumps(grid[number], sort_keys=True), fold, n_train, n_test, error
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        report = list(pool.map(trial, [(g, f) for g in range(len(grid)) for f in range(folds)]))
+    errors = {g: [r[5] for r in report if r[0] == g and r[5] is not None] for g in range(len(grid))}
+    scored = [g for g in errors if errors[g]]
+    best = min(scored, key=lambda g: (sum(errors[g]) / len(errors[g]), g)) if scored else 0
+    model = learner.copy({learner.getParam(k): v for k, v in grid[best].items()}).fit(searched)
+    left_out = rmse(model, rows.where(F.col("_at") >= end)) if holdout else None
+    table = spark.createDataFrame(report, "trial int, parameters string, fold int, n_train long, n_test long, rmse double")
+    return Search(model, dict(grid[best]), left_out, table)
+
+
 def risk_predictor(df: DataFrame, spec: SeriesSpec, features: Sequence[str], price: str = "close", folds: int = 5,
                    trees: Sequence[int] = (10, 20), depths: Sequence[int] = (3, 5), leaves: Sequence[int] = (1, 4),
-                   seed: int = 7) -> tuple[DataFrame, object]:
-    """Forest on the next return, grid-searched; adds ``predicted_return`` to every row.
+                   seed: int = 7, holdout: float = 0.2) -> tuple[DataFrame, Search]:
+    """Forest on the next return, searched on expanding time folds; adds ``predicted_return`` to every row.
 
-    The target is the return to the next row of the same series, so features never see it.
+    The target is the return to the next row of the same series, so features never see it, and a row is learned from only once that next row is past.
     """
-    following = F.lead(price, 1).over(spec.window)
-    data = stage(df.withColumn("next_return", ratio(following, F.col(price)) - 1), "predictor")
+    following = F.lead(F.struct(F.col(price).alias("price"), F.col(spec.ts).alias("at")), 1).over(spec.window)
+    data = df.withColumn("_following", following)
+    data = stage(data.withColumns({"next_return": ratio(F.col("_following.price"), F.col(price)) - 1, "_known": F.col("_following.at")}).drop("_following"), "predictor")
     forest = RandomForestRegressor(featuresCol="features", labelCol="next_return", predictionCol="predicted_return", seed=seed)
-    grid = (ParamGridBuilder().addGrid(forest.numTrees, list(trees)).addGrid(forest.maxDepth, list(depths))
-            .addGrid(forest.minInstancesPerNode, list(leaves)).build())
-    search = CrossValidator(estimator=forest, estimatorParamMaps=grid, numFolds=folds, seed=seed, parallelism=2,
-                            evaluator=RegressionEvaluator(labelCol="next_return", predictionCol="predicted_return"))
-    model = search.fit(assemble(data.where(complete([*features, "next_return"])), features)).bestModel
-    return predict(data, model, features), model
+    grid = [{"numTrees": t, "maxDepth": d, "minInstancesPerNode": n} for t in trees for d in depths for n in leaves]
+    search = walk_forward(data, spec.ts, "_known", features, "next_return", forest, grid, folds, holdout)
+    return predict(data.drop("_known"), search.model, features), search
 
 
 def model_signals(df: DataFrame, spec: SeriesSpec, model, features: Sequence[str], out: str = "signal") -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from tideline.functions.expr import hash_uniform
 from tideline.operators import features, models, technical
 from tideline.plans.inputs import (BARS, BARS_SQL, TICKS, TICKS_SQL, TRANSFERS_SQL, bars, over, r, roll, table, ticks,
                                    tidy, transfers)
@@ -156,9 +157,14 @@ def m8_pca_anomaly(spark, sf):
     return tidy(out, "tx_id", "reconstruction_error", "severity")
 
 
-def feature_frame(spark, sf):
+def feature_rows(spark, sf):
+    """All bars with features and target, some of them missing."""
     b = technical.rate_of_change(features.lags(bars(spark, sf), BARS, steps=(1, 2)), BARS)
-    return b.withColumn("target", F.lead("close", 1).over(BARS.window)).na.drop()
+    return b.withColumn("target", F.lead("close", 1).over(BARS.window))
+
+
+def feature_frame(spark, sf):
+    return feature_rows(spark, sf).na.drop()
 
 
 FEATURES = ("open", "high", "low", "close", "volume", "close_lag_1", "momentum")
@@ -166,7 +172,7 @@ FEATURES = ("open", "high", "low", "close", "volume", "close_lag_1", "momentum")
 
 @query("m9_feature_selection")
 def m9_feature_selection(spark, sf):
-    return tidy(models.feature_selection(feature_frame(spark, sf), FEATURES, "target", wanted=4, trees=8, folds=3))
+    return tidy(models.feature_selection(feature_frame(spark, sf), FEATURES, "target", wanted=4))
 
 
 @query("m10_feature_importance")
@@ -177,15 +183,16 @@ def m10_feature_importance(spark, sf):
 @query("m11_risk_predictor")
 def m11_risk_predictor(spark, sf):
     b = features.lags(bars(spark, sf), BARS, steps=(1,))
-    out, _ = models.risk_predictor(b, BARS, ["open", "high", "low", "close", "volume", "close_lag_1"], folds=3, trees=(10,), depths=(3, 5), leaves=(1, 4))
+    out, _ = models.risk_predictor(b, BARS, ["open", "high", "low", "close", "volume", "close_lag_1"])
     return tidy(out, *OUT, "next_return", "predicted_return")
 
 
 @query("m12_model_signals")
 def m12_model_signals(spark, sf):
-    frame = feature_frame(spark, sf)
+    """Fitted on complete rows; every row stays, so that a signal moves by one row and never over a gap."""
+    frame = feature_rows(spark, sf)
     forest = RandomForestRegressor(featuresCol="features", labelCol="target", numTrees=10, seed=7)
-    model = forest.fit(models.assemble(frame, FEATURES))
+    model = forest.fit(models.assemble(frame.where(models.complete([*FEATURES, "target"])), FEATURES))
     return tidy(models.model_signals(frame, BARS, model, FEATURES), *OUT, "signal")
 
 
@@ -269,7 +276,7 @@ def m10_importance_properties(spark, sf):
 def m11_predicted_rows(spark, sf):
     """Every bar comes back with its target; only those without a feature lack a prediction."""
     b = features.lags(bars(spark, sf), BARS, steps=(1,))
-    out, _ = models.risk_predictor(b, BARS, ["close", "volume", "close_lag_1"], folds=2, trees=(5,), depths=(3,), leaves=(1,))
+    out, _ = models.risk_predictor(b, BARS, ["close", "volume", "close_lag_1"], trees=(10,))
     return tidy(out.withColumn("predicted", F.col("predicted_return").isNotNull()), *OUT, "next_return", "predicted")
 
 
@@ -282,3 +289,67 @@ def m12_model_signals_linear(spark, sf):
     line = LinearRegression(featuresCol="features", labelCol="target", solver="normal")
     model = line.fit(models.assemble(frame.where("target IS NOT NULL"), ["close"]))
     return tidy(models.model_signals(frame, BARS, model, ["close"]), *OUT, "signal", digits=4)
+
+
+@query("m11_walk_forward_linear", f"""WITH {BARS_SQL}, a AS (SELECT symbol, ts, close, lead(close) {over()} / close - 1 AS y, lead(ts) {over()} AS known FROM bars),
+  b AS (SELECT CAST(epoch_us(ts) AS DOUBLE) AS t, CAST(epoch_us(known) AS DOUBLE) AS k, close AS x, y FROM a WHERE y IS NOT NULL),
+  h AS (SELECT quantile_cont(t, 0.8) AS h FROM b), s AS (SELECT b.* FROM b, h WHERE t < h AND k < h),
+  q AS (SELECT quantile_cont(t, [{', '.join(str(i / 6) for i in range(1, 6))}]) AS cuts FROM s), c AS (SELECT f, cuts[f + 1] AS cut FROM q, range(5) AS r(f)),
+  d AS (SELECT f, cut, coalesce(lead(cut) OVER (ORDER BY f), 'infinity') AS upto FROM c),
+  l AS (SELECT f, count(*) AS n_train, regr_slope(y, x) AS w, regr_intercept(y, x) AS v FROM s, d WHERE t < cut AND k < cut GROUP BY f)
+  SELECT CAST(f AS INTEGER) AS fold, any_value(n_train) AS n_train, count(*) AS n_test, {r('sqrt(avg((y - v - w * x) ** 2)) AS rmse')}
+  FROM s JOIN d ON t >= cut AND t < upto JOIN l USING (f) GROUP BY f""")
+def m11_walk_forward_linear(spark, sf):
+    """The folds of the search, with a line in place of the forest: SQL knows every fold's rows and error."""
+    following = F.lead(F.struct("close", "ts"), 1).over(BARS.window)
+    b = bars(spark, sf).withColumn("f", following).select("ts", "close", (F.col("f.close") / F.col("close") - 1).alias("y"), F.col("f.ts").alias("known"))
+    line = LinearRegression(featuresCol="features", labelCol="y", solver="normal")
+    search = models.walk_forward(b, "ts", "known", ["close"], "y", line, [{"regParam": 0.0}])
+    return tidy(search.report, "fold", "n_train", "n_test", "rmse")
+
+
+def planted(spark, sf):
+    """Five features that are hashes of a bar, two of which make the target."""
+    b = bars(spark, sf).select("symbol", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("at"))
+    x = {f"x{i}": hash_uniform("symbol", "at", F.lit(i)) for i in range(5)}
+    return b.withColumns(x).withColumn("target", 3 * F.col("x1") + 2 * F.col("x3") + 0.1 * F.col("x0"))
+
+
+PLANTED_SQL = BARS_SQL + ", pl AS (SELECT " + ", ".join(
+    f"CAST(('0x' || substr(md5(concat_ws('|', symbol, strftime(ts, '%Y-%m-%d %H:%M:%S'), {i})), 1, 13)) AS BIGINT) / 4503599627370496.0 AS x{i}" for i in range(5)) + """ FROM bars),
+pt AS (SELECT *, 3 * x1 + 2 * x3 + 0.1 * x0 AS target FROM pl),
+pc AS (UNPIVOT (SELECT """ + ", ".join(f"abs(corr(x{i}, target)) AS x{i}" for i in range(5)) + """ FROM pt) ON COLUMNS(*) INTO NAME feature VALUE strength)"""
+
+
+@query("m9_selection_planted", f"""WITH {PLANTED_SQL}, top AS (SELECT feature FROM pc ORDER BY strength DESC LIMIT 2)
+  SELECT method, feature, feature IN (SELECT feature FROM top) AS chosen FROM pc, (VALUES ('rfe'), ('lasso'), ('boosted')) AS m(method)""")
+def m9_selection_planted(spark, sf):
+    """Every method puts the two features that make the target first: those with the strongest correlations in the table."""
+    out = models.feature_selection(planted(spark, sf), [f"x{i}" for i in range(5)], "target", wanted=2)
+    rank = F.row_number().over(W.partitionBy("method").orderBy(F.desc("selected"), F.desc("score")))
+    return out.select("method", "feature", (rank <= 2).alias("chosen"))
+
+
+@query("m10_importance_planted", f"WITH {PLANTED_SQL} SELECT feature, CAST(row_number() OVER (ORDER BY strength DESC) AS INTEGER) AS rank FROM pc QUALIFY rank <= 2")
+def m10_importance_planted(spark, sf):
+    out = models.feature_importance(planted(spark, sf), [f"x{i}" for i in range(5)], "target")
+    ranked = out.withColumn("rank", F.row_number().over(W.orderBy(F.desc("importance"))))  # one row per feature
+    return ranked.where("rank <= 2").select("feature", "rank")
+
+
+def z_sql(*columns: str) -> list[str]:
+    return [f"({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER () AS {c}" for c in columns]
+
+
+PIPELINE = ("hour", "close_lag_1", "close_rolling_mean_5", "volume_rolling_std_10", "sentiment_change", "sma_10")
+
+
+@query("m16_feature_pipeline_scaled", f"""WITH {BARS_SQL}, s AS (SELECT *, volume / trades / 50 - 1 AS sentiment FROM bars),
+  f AS (SELECT symbol, ts, CAST(hour(ts) AS DOUBLE) AS hour, lag(close) {over()} AS close_lag_1, {roll('avg', 'close', 5)} AS close_rolling_mean_5,
+    {roll('stddev_samp', 'volume', 10)} AS volume_rolling_std_10, sentiment - lag(sentiment) {over()} AS sentiment_change, {roll('avg', 'close', 10)} AS sma_10,
+    close / lag(close) {over()} - 1 AS returns FROM s)
+  SELECT symbol, ts, {r(*z_sql(*PIPELINE), 'returns')} FROM f""")
+def m16_feature_pipeline_scaled(spark, sf):
+    """The whole pipeline without the removal of outliers, whose trees SQL does not know."""
+    b = bars(spark, sf).withColumn("sentiment", F.col("volume") / F.col("trades") / 50 - 1)
+    return tidy(features.feature_pipeline(b, BARS, contamination=None), *OUT, *PIPELINE, "returns")

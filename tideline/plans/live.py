@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from contextlib import contextmanager
 
-from pyspark.ml.regression import RandomForestRegressor
+from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.operators import models, risk
-from tideline.plans.inputs import BARS, BARS_SQL, TICKS_SQL, bars, over, r, roll, table, ticks, tidy
+from tideline.plans.inputs import BARS_SQL, TICKS_SQL, bars, over, r, roll, table, ticks, tidy
 from tideline.plans.ingest import QUOTES_SQL as RAW_SQL
 from tideline.plans.ingest import raw_quotes, scratch
 from tideline.plans.registry import query
@@ -112,6 +112,15 @@ def st4_score_stream(spark, sf):
     return tidy(replay(spark, b, lambda s: streams.score_stream(s, model, inputs)), "symbol", "ts", "day_of_week", "prediction")
 
 
+@query("st4_score_stream_linear", f"""WITH {BARS_SQL}, f AS (SELECT regr_slope(close, open) AS b, regr_intercept(close, open) AS a FROM bars)
+  SELECT symbol, ts, CAST(isodow(ts) - 1 AS INTEGER) AS day_of_week, {r('a + b * open AS prediction')} FROM bars, f""")
+def st4_score_stream_linear(spark, sf):
+    """A line fitted on the stored bars, applied to the live ones."""
+    b = zoned(bars(spark, sf), "ts")
+    model = LinearRegression(featuresCol="features", labelCol="close", solver="normal").fit(models.assemble(b, ["open"]))
+    return tidy(replay(spark, b, lambda s: streams.score_stream(s, model, ["open"])), "symbol", "ts", "day_of_week", "prediction")
+
+
 @query("st5_dedup_stream", "SELECT DISTINCT ts AS ts, round(value, 6) + 0.0 AS price FROM events")
 def st5_dedup_stream(spark, sf):
     """Every event arrives twice."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tideline.functions import text as tx
-from tideline.operators import features, graph, text
+from tideline.operators import features, graph, risk, text
 from tideline.plans.inputs import BARS_SQL, TICKS_SQL, bars, documents, over, r, roll, table, ticks, tidy
 from tideline.plans.registry import query
 from tideline.series import over_chunks
@@ -198,6 +198,15 @@ def a13_sentiment_volatility(spark, sf):
     return tidy(text.sentiment_volatility(scored, ["source"]))
 
 
+@query("p16_news_volatility", f"""WITH {LEXICON_SQL}, {sentiment_sql('documents', 'doc_id')},
+  v AS (SELECT source, lang, stddev_samp(sentiment) AS volatility FROM sent JOIN documents USING (doc_id) GROUP BY source, lang)
+  SELECT source, lang, 'volatility' AS metric, '>' AS op, CAST(0.5 AS DOUBLE) AS "limit", {r('volatility AS value')} FROM v WHERE volatility > 0.5""")
+def p16_news_volatility(spark, sf):
+    """Sources whose sentiment varies beyond the alert limit."""
+    scored = document_sentiment(spark, sf).join(documents(spark, sf).select("doc_id", "source", "lang"), "doc_id")
+    return tidy(risk.threshold_alerts(text.sentiment_volatility(scored, ["source", "lang"]), ["source", "lang"], [risk.VOLATILITY_THRESHOLD]))
+
+
 POST_ORDER = "created_at, event_id"
 
 
@@ -239,6 +248,6 @@ def g3_influencer_impact_one(spark, sf):
 @query("t6_topic_properties", "SELECT 5 AS topics, 25 AS rows, 5 AS largest_rank, TRUE AS shares")
 def t6_topic_properties(spark, sf):
     """Five topics of five words each, with weights that are shares of the topic."""
-    topics, _ = text.topic_model(documents(spark, sf).select("text"), "text", topics=5, passes=2)
+    topics, _ = text.topic_model(documents(spark, sf).select("text"), "text", topics=5)
     return topics.agg(F.countDistinct("topic").cast("int").alias("topics"), F.count(F.lit(1)).cast("int").alias("rows"),
                       F.max("rank").cast("int").alias("largest_rank"), F.every((F.col("weight") > 0) & (F.col("weight") <= 1)).alias("shares"))
