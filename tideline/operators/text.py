@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tideline.functions import text as tx
+from tideline.functions.stems import stems
 from tideline.operators.matching import match_phrases
 from tideline.staging import stage
 
@@ -48,20 +49,24 @@ def default_stop_words() -> list[str]:
 
 
 def extract_keywords(df: DataFrame, text: str, custom: Sequence[str] = (), replace: bool = False,
-                     lemmas: DataFrame | None = None, key: str | None = None) -> DataFrame:
+                     lemmas: DataFrame | None = None, key: str | None = None, stem: bool = False) -> DataFrame:
     """Add ``keywords``; custom stop words extend or replace the default list.
 
-    With a dictionary table (word, lemma) the keywords are replaced by their lemmas, which needs a ``key``.
+    With ``stem`` the keywords are replaced by their stems. With a dictionary table (word, lemma) they are replaced by their lemmas, which needs a
+    ``key``; with both, words that the dictionary does not know become stems.
     """
     stops = list(custom) if replace else [*default_stop_words(), *custom]
     df = df.withColumn("keywords", tx.keywords(text, sorted(set(stops))))
+    if stem and lemmas is None:
+        return df.withColumn("keywords", stems("keywords"))
     if lemmas is None:
         return df
     if key is None:
         raise ValueError("lemmas need the name of a key column")
     found = df.select(key, F.posexplode("keywords").alias("_pos", "word"))
     found = found.join(lemmas, "word", "left")
-    lemma = F.struct("_pos", F.coalesce("lemma", "word").alias("w"))
+    unknown = stems(F.array("word"))[0] if stem else F.col("word")
+    lemma = F.struct("_pos", F.coalesce(F.col("lemma"), unknown).alias("w"))
     rebuilt = found.groupBy(key).agg(F.transform(F.sort_array(F.collect_list(lemma)), lambda s: s["w"]).alias("keywords"))
     return (df.drop("keywords").join(rebuilt, key, "left")
             .withColumn("keywords", F.coalesce("keywords", F.array().cast("array<string>"))))

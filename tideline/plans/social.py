@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tideline.functions import stems as st
 from tideline.functions import text as tx
 from tideline.operators import features, graph, risk, text
 from tideline.plans.inputs import BARS_SQL, TICKS_SQL, bars, documents, over, r, roll, table, ticks, tidy
@@ -92,6 +93,51 @@ def t7_batch_preprocess(spark, sf):
     return k.select("conv_id", "turn", F.size("keywords").alias("n_keywords"), F.md5(F.array_join("keywords", " ")).alias("keywords_md5"))
 
 
+def stem_sql(words: str) -> str:
+    """The stems of a list of words, step by step, from the rule tables."""
+    def fits(stem: str, condition: str) -> str:
+        return f"regexp_matches({stem}, '{condition}')" if condition else "TRUE"
+
+    def rules(table, mark: str = "") -> str:
+        cases = " ".join(f"""WHEN suffix(w, '{old}') THEN CASE WHEN {fits(f"w[:-{len(old) + 1}]", condition)} THEN w[:-{len(old) + 1}] || '{new or mark}' ELSE w END"""
+                         for old, new, condition in st.longest_first(table))
+        return f"CASE {cases} ELSE w END"
+
+    doubled = " OR ".join(f"suffix(b, '{c}{c}')" for c in "bcdfghjkmnpqrtvwx")
+    repair = f"""CASE WHEN NOT suffix(w, '+') THEN w ELSE list_transform([rtrim(w, '+')], lambda b: CASE WHEN {' OR '.join(f"suffix(b, '{e}')" for e in st.RESTORED)} THEN b || 'e'
+      WHEN {doubled} THEN b[:-2] WHEN {fits('b', st.ONE)} AND {fits('b', st.SHORT)} THEN b || 'e' ELSE b END)[1] END"""
+    last_e = f"CASE WHEN suffix(w, 'e') AND ({fits('w[:-2]', st.TWO)} OR ({fits('w[:-2]', st.ONE)} AND NOT {fits('w[:-2]', st.SHORT)})) THEN w[:-2] ELSE w END"
+    last_l = f"CASE WHEN suffix(w, 'll') AND {fits('w', st.TWO)} THEN w[:-2] ELSE w END"
+    out = f"list_transform({words}, lambda w: {{'w': w, 'ok': regexp_full_match(w, '[a-z]{{3,}}')}})"
+    for step in (rules(st.PLURALS), rules(st.PAST, "+"), repair, rules(st.Y), rules(st.DOUBLE_SUFFIXES), rules(st.SUFFIXES), rules(st.ENDINGS), last_e, last_l):
+        out = f"list_transform({out}, lambda s: {{'w': CASE WHEN s.ok THEN list_transform([s.w], lambda w: {step})[1] ELSE s.w END, 'ok': s.ok}})"
+    return f"list_transform({out}, lambda s: s.w)"
+
+
+@query("t4_keyword_stems", f"""WITH k AS ({keywords_sql('documents', 'doc_id')})
+  SELECT doc_id, CAST(len(kw) AS INTEGER) AS n_keywords, md5(array_to_string({stem_sql('kw')}, ' ')) AS stems_md5 FROM k""")
+def t4_keyword_stems(spark, sf):
+    k = text.extract_keywords(documents(spark, sf), "text", STOPS, replace=True, stem=True)
+    return k.select("doc_id", F.size("keywords").alias("n_keywords"), F.md5(F.array_join("keywords", " ")).alias("stems_md5"))
+
+
+def lemma_table(spark, sf):
+    """A dictionary of the benchmark's longer words, each with its first half: a stand-in for a lemma table."""
+    found = table(spark, sf, "benchmark").select(F.explode(tx.words("text")).alias("word")).where(F.length("word") > 5).distinct()
+    return found.withColumn("lemma", F.substring("word", F.lit(1), F.floor(F.length("word") / 2).cast("int")))
+
+
+@query("t7_batch_lemmas", rf"""WITH k AS ({keywords_sql('conversations', 'conv_id, turn')}),
+  lem AS (SELECT DISTINCT w AS word, w[:length(w) // 2] AS lemma FROM (SELECT unnest(regexp_extract_all(lower(text), '{WORD}')) AS w FROM benchmark) WHERE length(w) > 5),
+  u AS (SELECT conv_id, turn, unnest(kw) AS word, unnest(range(len(kw))) AS i FROM k), j AS (SELECT u.*, coalesce(lemma, word) AS w FROM u LEFT JOIN lem USING (word)),
+  g AS (SELECT conv_id, turn, list(w ORDER BY i) AS kw FROM j GROUP BY ALL)
+  SELECT k.conv_id, k.turn, CAST(coalesce(len(g.kw), 0) AS INTEGER) AS n_keywords, md5(coalesce(array_to_string(g.kw, ' '), '')) AS lemmas_md5 FROM k LEFT JOIN g USING (conv_id, turn)""")
+def t7_batch_lemmas(spark, sf):
+    turns = table(spark, sf, "conversations").withColumn("key", F.struct("conv_id", "turn"))
+    k = text.extract_keywords(turns, "text", STOPS, replace=True, lemmas=lemma_table(spark, sf), key="key")
+    return k.select("conv_id", "turn", F.size("keywords").alias("n_keywords"), F.md5(F.array_join("keywords", " ")).alias("lemmas_md5"))
+
+
 def gazetteer(spark, sf):
     """Phrases of one to five words that follow "from" anywhere in a benchmark passage."""
     passages = table(spark, sf, "benchmark").select(tx.words("text").alias("w"))
