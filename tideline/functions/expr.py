@@ -45,3 +45,9 @@ def hash_normal(*parts: Column | str) -> Column:
     first = hash_uniform(*parts, F.lit("a"))
     second = hash_uniform(*parts, F.lit("b"))
     return F.sqrt(-2 * F.log(1 - first)) * F.cos(F.lit(6.283185307179586) * second)
+
+
+def key_text(*parts: Column | str) -> Column:
+    """One text for a key of several columns: equal for equal keys only, NULL being equal to NULL. Never NULL."""
+    texts = [col(p).cast("string") for p in parts]
+    return F.concat(*[F.when(t.isNull(), F.lit("-")).otherwise(F.concat(F.length(t).cast("string"), F.lit(":"), t)) for t in texts])

@@ -12,6 +12,7 @@ from tideline.plans.inputs import BARS, BARS_SQL, BENCHMARK_SQL, bars, benchmark
 from tideline.plans.registry import query
 from tideline.plans.risk import COLUMNS, RISK_SQL
 from tideline.sources import payloads, scans
+from tideline.sources.store import KeyedStore
 from tideline.staging import stage, staging_root
 
 
@@ -55,6 +56,16 @@ def s4_append_dedup(spark, sf):
     return tidy(spark.read.parquet(path), "timestamp", "price")
 
 
+@query("s4_keyed_store", "SELECT DISTINCT CAST(ts AS TIMESTAMP) AS timestamp, round(value, 6) + 0.0 AS price, event_type FROM events")
+def s4_keyed_store(spark, sf):
+    """The events in three appends that overlap: a store by (time, price, type) holds every key once."""
+    rows = table(spark, sf, "events").select(F.col("ts").alias("timestamp"), F.col("value").alias("price"), "event_type", F.pmod("event_id", F.lit(3)).alias("part"))
+    store = KeyedStore(spark, scratch(spark, "store"), ["timestamp", "price", "event_type"], buckets=8)
+    for parts in ((0, 1), (1, 2), (0, 1, 2)):
+        store.append(rows.where(F.col("part").isin(*parts)).drop("part"))
+    return tidy(store.read(), "timestamp", "price", "event_type")
+
+
 @query("s5_read_csv", "SELECT event_id, event_type, round(value, 6) + 0.0 AS value, props FROM events")
 def s5_read_csv(spark, sf):
     path = scratch(spark, "csv")
