@@ -6,7 +6,7 @@ import importlib
 
 from tideline.plans.registry import ORACLES, QUERIES
 
-MODULES = ("market", "technical", "risk", "tables", "ingest", "social", "learning", "live")
+MODULES = ("market", "technical", "risk", "tables", "ingest", "social", "learning", "live", "flows")
 
 for _module in MODULES:
     importlib.import_module(f"tideline.plans.{_module}")

@@ -57,9 +57,13 @@ def influencer_impact(posts: DataFrame, market: DataFrame, posts_ts: str, market
     Posts with a missing counter are not learned from and get no score.
     """
     joined = asof_join(posts, market, posts_ts, market_ts, keys, prefix="market_")
-    target = f"market_{price}"
+    return fit_impact(joined, counters, f"market_{price}")
+
+
+def fit_impact(priced: DataFrame, counters: Sequence[str], target: str) -> tuple[DataFrame, object]:
+    """The model half of ``influencer_impact``, on posts that know the price at their time."""
     known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in counters])
-    assembled = VectorAssembler(inputCols=list(counters), outputCol="_x", handleInvalid="keep").transform(joined)
+    assembled = VectorAssembler(inputCols=list(counters), outputCol="_x", handleInvalid="keep").transform(priced)
     model = LinearRegression(featuresCol="_x", labelCol=target, predictionCol="impact_score", solver="normal").fit(
         assembled.where(F.col(target).isNotNull() & known))
     return model.transform(assembled).withColumn("impact_score", F.when(known, F.col("impact_score"))).drop("_x"), model

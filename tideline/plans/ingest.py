@@ -99,8 +99,8 @@ TEMPLATES = {
 }
 
 
-def raw_quotes(spark, sf):
-    """events as landed quote messages of every source in turn; the last source is one nobody knows."""
+def raw_quotes(spark, sf, own_symbols: bool = False):
+    """events as landed quote messages of every source in turn; the last source is one nobody knows. With ``own_symbols``, messages about the event's type."""
     names = F.array(*[F.lit(n) for n in TEMPLATES])
     t = ticks(spark, sf).withColumn("source", F.get(names, (F.col("event_id") % len(TEMPLATES)).cast("int")))
     price = F.col("price")
@@ -108,7 +108,9 @@ def raw_quotes(spark, sf):
     payload = F.lit(None).cast("string")
     for name, template in TEMPLATES.items():
         payload = F.when(F.col("source") == name, F.format_string(template, *values)).otherwise(payload)
-    return stage(t.select("event_id", "ts", "source", payload.alias("payload")), "landed")
+    if own_symbols:
+        payload = F.replace(payload, F.lit('"BTC"'), F.concat(F.lit('"'), "symbol", F.lit('"')))
+    return stage(t.select("event_id", "ts", "source", *["symbol"] * own_symbols, payload.alias("payload")), "landed")
 
 
 QUOTES_SQL = TICKS_SQL + f""", q AS (SELECT event_id, {list(TEMPLATES)!r}[event_id % {len(TEMPLATES)} + 1] AS source,

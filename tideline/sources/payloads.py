@@ -57,9 +57,11 @@ def _with_last_rows(df: DataFrame) -> DataFrame:
     return df.withColumn("_last", F.to_json(series))
 
 
-def parse_quotes(raw: DataFrame, symbol: str = "BTC") -> DataFrame:
+def parse_quotes(raw: DataFrame, symbol: str | Column = "BTC") -> DataFrame:
     """raw(source, payload, ...) plus open, high, low, close, volume and ``rejected``.
 
+    ``symbol`` is what the messages are about: one name, or a column of ``raw`` if every message has its own.
+
     One CASE over the sources: a row is parsed with the constant paths of its own source only. A message of an unknown
     source, or one that lacks a field, is marked instead of dropped.
     """
@@ -68,9 +70,12 @@ def parse_quotes(raw: DataFrame, symbol: str = "BTC") -> DataFrame:
     for source, paths in QUOTE_PATHS.items():
         fields = []
         for field, path in zip(FIELDS, paths):
-            path = path.replace("{symbol}", symbol)
-            text = (F.get_json_object("_last", path.replace("$last", "$")) if path.startswith("$last")
-                    else F.get_json_object("payload", path))
+            place, path = ("_last", path.replace("$last", "$")) if path.startswith("$last") else ("payload", path)
+            if "{symbol}" in path and isinstance(symbol, Column):
+                before, after = path.split("{symbol}")
+                text = F.call_function("get_json_object", F.col(place), F.concat(F.lit(before), symbol, F.lit(after)))
+            else:
+                text = F.get_json_object(place, path.replace("{symbol}", str(symbol)))
             fields.append(text.try_cast("double").alias(field))
         found = F.struct(*fields)
         quote = (F.when(F.col("source") == source, found) if quote is None
@@ -83,11 +88,11 @@ def parse_quotes(raw: DataFrame, symbol: str = "BTC") -> DataFrame:
     return df.withColumn("rejected", missing)
 
 
-def normalize_quotes(raw: DataFrame, symbol: str = "BTC") -> DataFrame:
+def normalize_quotes(raw: DataFrame, symbol: str | Column = "BTC") -> DataFrame:
     return parse_quotes(raw, symbol).where(~F.col("rejected")).drop("payload", "rejected")
 
 
-def quote_rejects(raw: DataFrame, symbol: str = "BTC") -> DataFrame:
+def quote_rejects(raw: DataFrame, symbol: str | Column = "BTC") -> DataFrame:
     return parse_quotes(raw, symbol).where("rejected").drop(*FIELDS, "rejected")
 
 
