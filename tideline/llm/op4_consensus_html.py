@@ -2,8 +2,12 @@
 
 Every page's containers are scored by the text they hold outside links and boilerplate. Containers are named by generalised
 paths (tags and classes from the root, digits replaced), and each page votes for the paths of its best containers. The votes
-are summed per host in Spark, and the pages are extracted again by the winning paths of their host: the first winner that a
-page has gives its text. A page without any winner is extracted by its own best container.
+are summed per host in Spark, and the pages are extracted again by the winning paths of their host: the first winner that holds
+at least half of what the page's own best container holds gives the text. A page without such a winner is extracted by its own best container.
+
+Elements that never hold the article (menus, forms, scripts) are left out at once. Class names and ids only raise a suspicion, which is dropped for
+``article`` and ``main``, for names that speak of a layout (``with-sidebar``, ``comments-open``), and where next to nothing of the page would be left
+without the suspect. A list of links is a menu unless it stands among paragraphs.
 
 NULL or empty html gives the empty text. Pages without a host (NULL or odd urls) vote together under the empty host. Ids may
 be NULL or repeated; every row gets one output row; an empty table gives an empty result. Further columns have no influence. Markup
@@ -22,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import broadcast_within, small_batches, staged
+from tideline.llm.common import batches_of, broadcast_within, staged
 from tideline.llm.registry import llm_query, table
 
 # A path wins in a host if it has at least this part of the host's votes (so there are 20 winners at most).
@@ -45,6 +49,8 @@ NOT_ARTICLE = frozenset(
     "sidebars widget widgets nav navbar navigation menu menus breadcrumb breadcrumbs masthead topbar footer foot comment comments commentlist reply replies "
     "disqus respond related recommended recommendations share sharing social newsletter subscribe subscription signup cookie cookies consent gdpr notice notices "
     "notification notifications popup modal overlay login search searchbox pagination pager copyright legal skip toolbar".split())
+# Words that turn a class name into a statement about the layout.
+LAYOUT = frozenset("with without no not non has have is open opened closed off on enabled disabled".split())
 HEADER = frozenset("header heading-bar siteheader".split())
 ROLES = frozenset("navigation banner complementary contentinfo search form dialog alert alertdialog menu menubar".split())
 ARTICLE_WORDS = frozenset("article content post entry story body text main".split())
@@ -52,7 +58,15 @@ ARTICLE_WORDS = frozenset("article content post entry story body text main".spli
 _TOKEN = re.compile(
     r"<!--(?:.*?-->|.*)|<(script|style)\b(?:.*?</\1\s*>|.*)|<[!?][^>]*>|"
     r"<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([A-Za-z][^\s/>]*)([^>]*)>|</?[A-Za-z!?][^>]*$", re.S | re.I)
-_ATTRIBUTE = re.compile(r"""\b(class|id|role|style|hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
+# One attribute after the other, so that nothing within a value is taken for a name.
+_ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
+# A suspect stays if less than this part of the page's unlinked text would be left without it.
+LEAST_LEFT = 0.1
+# A list of links among at least so many unlinked characters beside it is part of the text.
+AMONG = 200
+# A host's winning path gives a page's text if it holds at least this part of what the page's own best container holds.
+LEAST_OF_BEST = 0.5
+_TRUSTED = frozenset(("html", "body", "article", "main"))
 _WORDS = re.compile(r"[a-z0-9]+")
 _DIGITS = re.compile(r"\d+")
 
@@ -65,6 +79,7 @@ class Container:
     skipped: bool
     header: bool  # in a header of the article: only headings count
     good: bool
+    suspect: bool = False  # its names say that it is not the article
     score: float = 0.0
 
 
@@ -145,20 +160,23 @@ def parse(page: str) -> tuple[list[Container], list[Block]]:
         if name in INLINE and not above.skipped and not (attributes and ("class" in attributes or "hidden" in attributes or "style" in attributes)):
             stack.append((name, parent, group))
             continue
-        found = {k.lower(): v.strip("\"'") for k, v in _ATTRIBUTE.findall(attributes)} if attributes else {}
+        found = {}
+        for k, v in _ATTRIBUTE.findall(attributes) if attributes else ():
+            found.setdefault(k.lower(), v.strip("\"'"))
         words = set(_WORDS.findall((found.get("class", "") + " " + found.get("id", "")).lower())) if found else set()
-        skipped = (above.skipped or name in SKIPPED or (name not in ("html", "body") and (
-            bool(words & NOT_ARTICLE) or found.get("role", "").lower() in ROLES or "hidden" in found
-            or "display:none" in found.get("style", "").replace(" ", "").lower())))
+        skipped = above.skipped or name in SKIPPED or (name not in ("html", "body") and (
+            found.get("role", "").lower() in ROLES or "hidden" in found or found.get("aria-hidden", "").lower() == "true"
+            or "display:none" in found.get("style", "").replace(" ", "").lower()))
+        suspect = not skipped and name not in _TRUSTED and any(not_article(n) for n in (found.get("class", "") + " " + found.get("id", "")).lower().split())
         header = above.header
         if not skipped and (name == "header" or words & HEADER):
             inside = any(x[0] == "article" for x in stack)
             skipped, header = not inside, inside
-        if name in INLINE and not skipped or name in LEAVES and not skipped and not words:
+        if name in INLINE and not skipped and not suspect or name in LEAVES and not skipped and not words:
             stack.append((name, parent, group))
             continue
         label = name + "".join("." + _DIGITS.sub("#", w) for w in sorted(found.get("class", "").lower().split()))
-        containers.append(Container(f"{above.path}>{label}", parent, name, skipped, header, bool(words & ARTICLE_WORDS) or name in ("article", "main")))
+        containers.append(Container(f"{above.path}>{label}", parent, name, skipped, header, bool(words & ARTICLE_WORDS) or name in ("article", "main"), suspect))
         place = len(containers) - 1
         stack.append((name, place, place if name in ("ul", "ol", "dl") else group))
     if at < len(page):
@@ -166,13 +184,45 @@ def parse(page: str) -> tuple[list[Container], list[Block]]:
 
     for b in blocks:
         b.text = " ".join(entities.unescape("".join(b.parts)).split())
-    # A list whose items are links and nothing else is a menu.
+    blocks = without_suspects(containers, [b for b in blocks if b.text])
+    # A list whose items are links and nothing else is a menu, unless it stands among paragraphs.
     items: dict[int, list[bool]] = {}
+    beside: Counter[int] = Counter()
     for b in blocks:
-        if b.group >= 0 and b.text:
+        if b.group >= 0:
             items.setdefault(b.group, []).append(b.linked >= 0.8 * len("".join(b.parts).strip()))
-    menus = {g for g, all_links in items.items() if len(all_links) >= 3 and all(all_links)}
-    return containers, [b for b in blocks if b.text and b.group not in menus and (b.heading or not containers[b.container].header)]
+        else:
+            beside[b.container] += unlinked(b)
+    menus = {g for g, all_links in items.items() if len(all_links) >= 3 and all(all_links) and beside[containers[g].parent] < AMONG}
+    return containers, [b for b in blocks if b.group not in menus and (b.heading or not containers[b.container].header)]
+
+
+def unlinked(block: Block) -> float:
+    return max(0.0, len(block.text) - 2.0 * block.linked)
+
+
+def not_article(name: str) -> bool:
+    """Whether a class name or id says that its element is not the article."""
+    words = set(_WORDS.findall(name))
+    return bool(words & NOT_ARTICLE) and not (words & LAYOUT)
+
+
+def without_suspects(containers: list[Container], blocks: list[Block]) -> list[Block]:
+    """The blocks outside suspect containers; while next to nothing is left, the outermost suspect with the most text is trusted."""
+    if not any(c.suspect for c in containers):
+        return blocks
+    total = sum(map(unlinked, blocks))
+    while True:
+        outermost = [0] * len(containers)  # the outermost suspect around each container, 0 for none
+        for i, c in enumerate(containers[1:], 1):
+            outermost[i] = outermost[c.parent] or (i if c.suspect else 0)
+        held: Counter[int] = Counter()
+        for b in blocks:
+            held[outermost[b.container]] += unlinked(b)
+        suspects = [(-n, i) for i, n in held.items() if i and n > 0]
+        if held[0] >= LEAST_LEFT * total or not suspects:
+            return [b for b in blocks if not outermost[b.container]]
+        containers[min(suspects)[1]].suspect = False
 
 
 def best_paths(containers: list[Container], blocks: list[Block], most: int = 3) -> list[tuple[str, float]]:
@@ -182,7 +232,7 @@ def best_paths(containers: list[Container], blocks: list[Block], most: int = 3)
     inside an article element stands for the whole article.
     """
     for b in blocks:
-        worth = max(0.0, len(b.text) - 2.0 * b.linked)
+        worth = unlinked(b)
         place, share = b.container, 1.0
         while place > 0:
             containers[place].score += worth * share
@@ -202,22 +252,22 @@ def best_paths(containers: list[Container], blocks: list[Block], most: int = 3)
 
 
 def extract(page: str | None, winners: list[str] | None) -> str:
-    """The blocks below the first of ``winners`` that the page has, else below its own best container, joined by line ends."""
+    """The blocks below the first of ``winners`` that holds enough of the page, else below its own best container, joined by line ends."""
     if not page:
         return ""
     containers, blocks = parse(page)
-    paths = {containers[b.container].path: None for b in blocks}
-    held: set[str] = set()
-    for p in paths:
-        while p and p not in held:
-            held.add(p)
-            p = p[:p.rindex(">")]
-    path = next((w for w in winners or () if w in held), None)
-    if path is None:
-        best = best_paths(containers, blocks, 1)
-        if not best:
-            return "\n".join(b.text for b in blocks)
-        path = best[0][0]
+    best = best_paths(containers, blocks, 1)
+    if not best:
+        return "\n".join(b.text for b in blocks)
+    held: Counter[str] = Counter()  # unlinked characters below each path
+    above: dict[str, list[str]] = {}
+    for b in blocks:
+        path = containers[b.container].path
+        if path not in above:
+            above[path] = [path[:i] for i in range(1, len(path)) if path[i] == ">"] + [path]
+        for p in above[path]:
+            held[p] += unlinked(b)
+    path = next((w for w in winners or () if held[w] > 0 and held[w] >= LEAST_OF_BEST * held[best[0][0]]), best[0][0])
     inside = [False] * len(containers)
     for i, c in enumerate(containers[1:], 1):
         inside[i] = c.path == path or inside[c.parent]
@@ -230,7 +280,6 @@ def host_of(url: Column) -> Column:
 
 def host_paths(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """(_of, _paths): the winning paths of each host, most votes first. Stored."""
-    small_batches(pages.sparkSession, 200)
     source = pages.select(host_of(F.col(url)).alias("host"), F.col(html).alias("html"))
     schema = pa.schema([("host", pa.string()), ("path", pa.string()), ("votes", pa.int64())])
 
@@ -246,7 +295,8 @@ def host_paths(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
                 pa.array([h for h, _ in votes], type=pa.string()), pa.array([p for _, p in votes], type=pa.string()),
                 pa.array(list(votes.values()), type=pa.int64())], schema=schema)
 
-    summed = staged(source.mapInArrow(vote, "host string, path string, votes long").groupBy("host", "path").agg(F.sum("votes").alias("votes")), "votes")
+    with batches_of(pages.sparkSession, 200):
+        summed = staged(source.mapInArrow(vote, "host string, path string, votes long").groupBy("host", "path").agg(F.sum("votes").alias("votes")), "votes")
     totals = summed.groupBy(F.col("host").alias("_of")).agg(F.sum("votes").alias("_all"))
     won = summed.join(totals, F.col("host") == F.col("_of")).where(F.col("votes") >= F.col("_all") * LEAST_SHARE)
     ranked = won.groupBy("_of").agg(F.sort_array(F.collect_list(F.struct((-F.col("votes")).alias("v"), F.col("path").alias("p")))).alias("_won"))
@@ -265,7 +315,8 @@ def main_text(pages: DataFrame, url: str = "url", html: str = "html", keep: tupl
             texts = [extract(p, w) for p, w in zip(batch.column(len(keep)).to_pylist(), batch.column(len(keep) + 1).to_pylist())]
             yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(len(keep))], pa.array(texts, type=pa.string())], names=[*keep, out])
 
-    return source.mapInArrow(run, schema)
+    with batches_of(pages.sparkSession, 200):
+        return staged(source.mapInArrow(run, schema), "main-texts")
 
 
 @llm_query("op4_consensus_html")
