@@ -27,11 +27,12 @@ _INDEX = (1 << 28) - 1
 
 @dataclass(frozen=True)
 class LineLimits:
-    """A line is boilerplate in a host if more than ``min_docs`` documents and more than ``max_share`` of the host's
-    documents hold it. A document is depleted if less than ``min_kept`` of its words remain."""
+    """A line is boilerplate in a host if more than ``min_docs`` documents hold it, and either more than ``max_share`` of the host's
+    documents or more than ``most_docs`` do: the share counts in small hosts only. A document is depleted if less than ``min_kept`` of its words remain."""
 
     min_docs: int = 5
     max_share: float = 0.1
+    most_docs: int = 50
     min_kept: float = 0.3
     min_words: int = 50
     max_repeat_percent: int = 50
@@ -112,7 +113,8 @@ def boilerplate(lines: DataFrame, limits: LineLimits = LineLimits()) -> DataFram
     held = lines.select("_host", "_key", F.explode(F.array_distinct("_lines.h")).alias("_h")).distinct()
     counts = held.groupBy("_host", "_h").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limits.min_docs)
     hosts = lines.select("_host", "_key").distinct().groupBy(F.col("_host").alias("_of")).agg(F.count(F.lit(1)).alias("_docs"))
-    heavy = staged(counts.join(hosts, F.col("_host").eqNullSafe(F.col("_of"))).where(F.col("_n") > F.col("_docs") * limits.max_share).select(
+    heavy = staged(counts.join(hosts, F.col("_host").eqNullSafe(F.col("_of"))).where(
+        (F.col("_n") > F.col("_docs") * limits.max_share) | (F.col("_n") > limits.most_docs)).select(
         F.col("_host").alias("_of"), F.col("_h").alias("_g")), "heavy-lines")
     rows = lines.select("_host", "_key", F.explode(F.array_distinct("_lines.h")).alias("_h"))
     found = rows.join(heavy, F.col("_host").eqNullSafe(F.col("_of")) & (F.col("_h") == F.col("_g")))
@@ -159,7 +161,7 @@ k AS (SELECT l.rid, source, t.x AS doc, len(regexp_extract_all(line, '[^\x20\x09
 k2 AS (SELECT *, CASE WHEN plain = '' THEN line ELSE plain END AS h FROM k),
 f AS (SELECT source, h, count(DISTINCT doc) AS n FROM k2 GROUP BY source, h),
 s AS (SELECT source, count(DISTINCT x) AS docs FROM t GROUP BY source),
-hv AS (SELECT f.source, h FROM f JOIN s ON s.source IS NOT DISTINCT FROM f.source WHERE n > {_LIMITS.min_docs} AND n > docs * CAST({_LIMITS.max_share} AS DOUBLE)),
+hv AS (SELECT f.source, h FROM f JOIN s ON s.source IS NOT DISTINCT FROM f.source WHERE n > {_LIMITS.min_docs} AND (n > docs * CAST({_LIMITS.max_share} AS DOUBLE) OR n > {_LIMITS.most_docs})),
 rm AS (SELECT rid, sum(w) AS n_removed FROM k2 JOIN hv ON hv.source IS NOT DISTINCT FROM k2.source AND hv.h = k2.h GROUP BY rid),
 m AS (SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(regexp_replace(t.x, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
    CAST(length(t.x) - length(regexp_replace(t.x, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, CAST(coalesce(n_dup_lines, 0) AS BIGINT) AS n_dup_lines,

@@ -38,6 +38,10 @@ def _at_least(n: int) -> Callable[[Column], Column]:
 
 _ASSIGN = r"""(?i)(?:password|passwd|secret|token|api_?key)["']?\x20*+[:=]\x20*+["']?"""
 
+# A private key as a whole: to its END line, over a body on one line or on up to 400; of a key that is cut off, the lines that can only be its body.
+_PEM = (r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:[A-Za-z0-9+/=\\\s]*+-----END [A-Z ]*PRIVATE KEY-----|"
+        r"(?:(?!-----)[^\n]{0,200}+\n){1,400}+-----END [A-Z ]*PRIVATE KEY-----|(?:\s{0,2}+[A-Za-z0-9+/=]{40,}+){0,400}+)")
+
 # The forms of secrets. Possessive quantifiers match the same strings here and cannot run away.
 RULES = (
     Rule("assign", _ASSIGN + r"[A-Za-z0-9+/_.=-]++", lambda v: F.length(F.regexp_replace(v, "^" + _ASSIGN, "")) >= 8, True),
@@ -48,7 +52,7 @@ RULES = (
     Rule("payment", r"[rs]k_live_[A-Za-z0-9]{16,}+", _at_least(1)),
     Rule("web", r"AIza[A-Za-z0-9_-]{35,}+", _at_least(1)),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]++\.eyJ[A-Za-z0-9_-]++\.[A-Za-z0-9_-]++", _at_least(1)),
-    Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", _at_least(1)),
+    Rule("pem", _PEM, _at_least(1)),
 )
 
 # Runs of hexadecimal digits are everywhere; only those long enough to be kept need to be looked at, and a run is found
