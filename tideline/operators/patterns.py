@@ -1,4 +1,7 @@
-"""Chart and candlestick patterns as boolean columns on every row."""
+"""Chart and candlestick patterns as boolean columns on every row.
+
+Fixed values: the comparisons are the definitions of the patterns.
+"""
 
 from __future__ import annotations
 

@@ -149,15 +149,15 @@ def s8_explode_series_map(spark, sf):
     return tidy(payloads.explode_series_map(raw, key="Time Series (60min)"), "symbol", "timestamp", *COLUMNS)
 
 
-@query("s9_explode_order_book", f"""WITH {TICKS_SQL}, l AS (SELECT symbol AS source, date_trunc('hour', ts) AS timestamp,
+@query("s9_explode_order_book", f"""WITH {TICKS_SQL}, l AS (SELECT symbol AS source, date_trunc('minute', ts) AS timestamp,
     CASE WHEN event_id % 2 = 0 THEN 'bid' ELSE 'ask' END AS side, price, volume FROM ticks)
   SELECT source, timestamp, side, CAST(row_number() OVER (PARTITION BY source, timestamp, side ORDER BY
      CASE WHEN side = 'bid' THEN -price ELSE price END, CASE WHEN side = 'bid' THEN -volume ELSE volume END) - 1 AS INTEGER) AS level,
     {r('price', 'volume AS quantity')} FROM l""")
 def s9_explode_order_book(spark, sf):
-    """An hour of ticks of one symbol as a book: even ids bid, odd ids ask, best price first."""
+    """A minute of ticks of one symbol as a book: even ids bid, odd ids ask, best price first."""
     t = ticks(spark, sf).withColumns({"even": F.col("event_id") % 2 == 0, "level": F.array("price", "volume")})
-    book = t.groupBy(F.col("symbol").alias("source"), F.window("ts", "1 hour").alias("w")).agg(
+    book = t.groupBy(F.col("symbol").alias("source"), F.window("ts", "1 minute").alias("w")).agg(
         F.to_json(F.struct(F.sort_array(F.collect_list(F.when(F.col("even"), F.col("level"))), asc=False).alias("bids"),
                            F.sort_array(F.collect_list(F.when(~F.col("even"), F.col("level")))).alias("asks"))).alias("payload"))
     raw = book.select("source", F.col("w.start").alias("timestamp"), "payload")

@@ -175,6 +175,19 @@ def p2_schema_matches(spark, sf):
 KEYWORDS = ("license", "the", "qui", "http")
 
 
+NUMBERS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax")
+
+
+@query("p11_numeric_columns", " UNION ALL ".join(f"""SELECT '{c}' AS "column", count(*) - count({c}) AS n_missing, {r(f'avg({c}) AS mean')} FROM lineitem""" for c in NUMBERS if c != "l_orderkey"))
+def p11_numeric_columns(spark, sf):
+    """Missing cells and mean of every number of a table, whatever columns it has."""
+    items = table(spark, sf, "lineitem")
+    names = quality.numeric_columns(items, exclude=["l_orderkey"])
+    measured = items.agg(*[F.struct(F.count_if(F.col(c).isNull()).alias("n_missing"), F.avg(c).alias("mean")).alias(c) for c in names])
+    lines = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"{c}.n_missing").alias("n_missing"), F.col(f"{c}.mean").cast("double").alias("mean")) for c in names])
+    return tidy(measured.select(F.inline(lines)))
+
+
 @query("p3_keyword_filter", "SELECT doc_id, n_chars FROM documents WHERE " + " OR ".join(f"contains(lower(text), '{k}')" for k in KEYWORDS))
 def p3_keyword_filter(spark, sf):
     return quality.keyword_filter(table(spark, sf, "documents"), ["text"], KEYWORDS).select("doc_id", "n_chars")

@@ -8,12 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def staging_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; where that is unset, a folder below the warehouse.
+    """The shared folder named by ``spark.checkpoint.dir``; where that is unset and all runs on one machine, a folder below the warehouse.
 
-    Both are resolved by Spark's own file systems, so that executors and driver see the same files.
+    It is resolved by Spark's own file systems, so that executors and driver see the same files. On a cluster the setting is required, because the
+    warehouse may be a folder of each machine's own.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_staging"
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:
