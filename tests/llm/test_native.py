@@ -190,3 +190,18 @@ def test_a_line_in_very_many_documents_goes_from_a_large_host_too(spark):
         own, F.when(F.col("doc_id") < 60, "\nshared line of sixty").otherwise(""), F.when(F.col("doc_id") >= 1960, "\nshared line of forty").otherwise(""))).withColumn("source", F.lit("hot"))
     removed = {r.doc_id: r.n_removed_words for r in quality.line_verdicts(df).collect()}
     assert [i for i, n in removed.items() if n] == [i for i in removed if i < 60] and set(removed.values()) == {0, 4}
+
+
+def test_whole_licence_texts_and_long_lines(spark):
+    """Every paragraph of the full notices is found, also within lines of hundreds of words."""
+    from tideline.llm.license_templates import NOTICES
+
+    notices = [(family, text) for family in ("mit", "apache-2.0", "bsd", "isc", "gpl-3.0") for text in NOTICES[family]]
+    prose = " ".join(f"storm{i % 17} gentle{i % 5} meadow" for i in range(150))
+    texts = [t for _, t in notices] + [f"{prose} {t} {prose}" for _, t in notices] + [prose, "IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE"]
+    found = {r.doc_id: r for r in licences.license_paragraphs(docs_of(spark, texts)).collect()}
+    n = len(notices)
+    assert [f for i, (f, _) in enumerate(notices) if i not in found or found[i].verdict not in (f, "unknown")] == []
+    assert sum(found[i].verdict == f for i, (f, _) in enumerate(notices)) >= n - 1
+    assert sum(n + i in found and found[n + i].verdict == f for i, (f, _) in enumerate(notices)) >= n - 3
+    assert 2 * n not in found and 2 * n + 1 in found and all(r.n_chars == len(texts[i]) for i, r in found.items())

@@ -6,7 +6,8 @@ of a notice. Its probabilities are calibrated by a temperature fitted on held-ou
 below the threshold is unknown. A prediction must be confirmed by comparison with the notices: at least ``CONFIRM`` of the
 paragraph's trigrams stand in notices of that family; otherwise the paragraph is reported as unknown.
 
-A paragraph is a line. One without any trigram of any notice can never be confirmed nor count as a licence, so only the others
+A paragraph is a line. A line of more than ``LONG`` words is scored in overlapping windows of ``PIECE`` words, of which the best one stands for it: a family
+before unknown, then the larger similarity. A line, or window, without any trigram of any notice can never be confirmed nor count as a licence, so only the others
 are scored; the classifier sees each different one once. The notices bound the vocabulary, hence the coefficient table.
 
 NULL and empty texts have no findings. NULL or repeated ids do not matter: every row yields its own findings, in as many
@@ -35,6 +36,8 @@ NEGATIVES = 4000
 NEGATIVE_DOCS = 1000
 WINDOWS = (6, 9, 14, 22)
 STRIDE = 2
+# Longer lines are cut into pieces; a piece begins every half of its length.
+LONG, PIECE = 60, 40
 CONFIRM = 0.5
 LEAST_PROBABILITY = 0.5
 
@@ -170,11 +173,25 @@ def license_paragraphs(docs: DataFrame, text: str = "text", keep: tuple[str, ...
     lines = lines_of(docs, text, keep).withColumn("words", tokens(F.col("line")))
     lines = lines.where(F.exists(gram_hashes(F.col("words")), lambda h: h.isin(*model.trigrams)))
     lines = staged(lines.select(*keep, "paragraph_no", F.length("line").cast("long").alias("n_chars"), F.xxhash64("line").alias("line_key"), "words"), "license-lines")
-    found = classify_lines(lines, model).where("verdict IS NOT NULL").withColumnRenamed("line_key", "_key")
+    # dealt out by key, so that a task's share follows the number of lines, not the bytes of the few that are found
+    distinct = lines.groupBy("line_key").agg(F.first("words").alias("words")).repartition("line_key")
+    pieces = distinct.select("line_key", F.explode(pieces_of(F.col("words"))).alias("words")).where(F.exists(gram_hashes(F.col("words")), lambda h: h.isin(*model.trigrams)))
+    pieces = staged(pieces.select(F.col("line_key").alias("_line"), F.xxhash64("words").alias("line_key"), "words"), "license-pieces")
+    scored = classify_lines(pieces, model).where("verdict IS NOT NULL").withColumnRenamed("line_key", "_piece")
+    rank = F.struct((F.col("verdict") != "unknown").alias("sure"), "similarity", "probability", "verdict")
+    found = pieces.join(scored, F.col("line_key") == F.col("_piece")).groupBy(F.col("_line").alias("_key")).agg(
+        F.max_by(F.struct("family", "probability", "similarity", "verdict"), rank).alias("_best")).select("_key", "_best.*")
     return lines.join(found, F.col("line_key") == F.col("_key")).select(
         *keep, "paragraph_no", "n_chars", "family", "probability", "similarity", "verdict")
 
 
+def pieces_of(words: Column) -> Column:
+    """The words of a line as one piece, or those of a long line as overlapping ones; the last piece ends with the line."""
+    half = PIECE // 2
+    return bind(words, lambda w: F.when(F.size(w) <= LONG, F.array(w)).otherwise(
+        F.transform(F.sequence(F.lit(0), F.greatest(F.size(w) - PIECE + half - 1, F.lit(0)), F.lit(half)), lambda i: F.slice(w, i + 1, PIECE))))
+
+
 @llm_query("op10_license_classifier")
 def op10_license_classifier(spark, sf_dir):
     found = license_paragraphs(table(spark, sf_dir, "documents"))
