@@ -227,7 +227,7 @@ def m1_impute_two_gaps(spark, sf):
     return tidy(out, "event_id", "value", "k", digits=5)
 
 
-@query("m5_planted_outliers", "SELECT CAST(i AS BIGINT) AS event_id FROM unnest([-3, -2, -1]) AS t(i)")
+@query("m5_planted_outliers", "SELECT -row_number() OVER (ORDER BY event_id) AS event_id FROM events QUALIFY row_number() OVER (ORDER BY event_id) <= 3")
 def m5_planted_outliers(spark, sf):
     """Rows far outside all others are among the flagged ones."""
     t = ticks(spark, sf).select("event_id", "price", "volume")

@@ -291,9 +291,16 @@ def g3_influencer_impact_one(spark, sf):
     return tidy(out, "event_id", "source", "market_close", "impact_score", digits=4)
 
 
-@query("t6_topic_properties", "SELECT 5 AS topics, 25 AS rows, 5 AS largest_rank, TRUE AS shares")
+@query("t6_topic_properties", rf"""WITH w AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '{WORD}')) AS w FROM documents)
+  SELECT 5 AS topics, 25 AS rows, 5 AS largest_rank, TRUE AS shares, count(*) AS n_words FROM w WHERE regexp_full_match(w, '\p{{L}}+')""")
 def t6_topic_properties(spark, sf):
-    """Five topics of five words each, with weights that are shares of the topic."""
-    topics, _ = text.topic_model(documents(spark, sf).select("text"), "text", topics=5)
+    """Five topics of five words each, with weights that are shares of the topic; the model's vocabulary and the stop words together are all words of the corpus."""
+    docs = documents(spark, sf).select("text")
+    topics, model = text.topic_model(docs, "text", topics=5)
+    words = text.extract_keywords(docs, "text", replace=True).select(F.explode("keywords").alias("w")).distinct()
+    known = spark.createDataFrame([(w,) for w in model.stages[0].vocabulary], "w string")
+    stops = spark.createDataFrame([(w,) for w in text.default_stop_words()], "w string")
+    n_words = words.join(known.union(stops).distinct(), "w", "left_semi").count()
     return topics.agg(F.countDistinct("topic").cast("int").alias("topics"), F.count(F.lit(1)).cast("int").alias("rows"),
-                      F.max("rank").cast("int").alias("largest_rank"), F.every((F.col("weight") > 0) & (F.col("weight") <= 1)).alias("shares"))
+                      F.max("rank").cast("int").alias("largest_rank"), F.every((F.col("weight") > 0) & (F.col("weight") <= 1)).alias("shares"),
+                      F.lit(n_words).cast("long").alias("n_words"))
