@@ -132,3 +132,15 @@ def test_packed_order_equals_struct_order(spark):
     df = spark.createDataFrame(rows, "k string, m long, id long").withColumn("ts", F.timestamp_micros("m"))
     got = [(r["m"], r["id"]) for r in df.withColumn("o", arrival_order(df, spec)).orderBy("o").collect()]
     assert got == sorted((m, i) for _, m, i in rows)
+
+
+def test_scenarios_side_by_side_equal_copies_of_the_series(spark):
+    b = bars_frame(spark, [100.0 + (i * 37) % 11 for i in range(60)]).withColumn("ts", F.timestamp_seconds(F.col("ts") * 3600))
+    found = {r["scenario"]: r for r in risk.stress_scenarios(b, SPEC).collect()}
+    copies = risk.apply_scenarios(b, SPEC)
+    by_scenario = SeriesSpec(("symbol", "scenario"), "ts")
+    for r in risk.risk_metrics(copies, by_scenario).collect():
+        for name in (*risk.METRICS, "n_returns"):
+            mine = found[r["scenario"]][name]
+            assert mine is None if r[name] is None else mine == pytest.approx(r[name], rel=1e-9, abs=1e-12), (r["scenario"], name)
+    assert len(found) == len(risk.SCENARIOS)

@@ -173,11 +173,10 @@ SCENARIOS = (
 )
 
 
-def apply_scenarios(df: DataFrame, spec: SeriesSpec, scenarios: Sequence[Scenario] = SCENARIOS, price: str = "close",
-                    seed: int = 0) -> DataFrame:
-    """One shocked copy of every row per scenario; chance is a hash of (series, time, scenario, seed)."""
+def shocked_prices(spec: SeriesSpec, scenarios: Sequence[Scenario] = SCENARIOS, price: str = "close", seed: int = 0) -> dict[str, Column]:
+    """The price of a row under each scenario; chance is a hash of (series, time, scenario, seed)."""
     at = F.unix_micros(F.col(spec.ts).cast("timestamp"))
-    shocked = []
+    out = {}
     for s in scenarios:
         parts = [*[F.col(k) for k in spec.keys], at, *[F.col(t) for t in spec.tiebreak], F.lit(s.name), F.lit(seed)]
         value = F.col(price) * s.factor
@@ -185,14 +184,31 @@ def apply_scenarios(df: DataFrame, spec: SeriesSpec, scenarios: Sequence[Scenari
             value = F.when(hash_uniform(*parts, F.lit("u")) < s.share, value).otherwise(F.col(price))
         if s.sigma:
             value = value * (1 + s.sigma * hash_normal(*parts))
-        shocked.append(F.struct(F.lit(s.name).alias("scenario"), value.alias("shocked")))
+        out[s.name] = value
+    return out
+
+
+def apply_scenarios(df: DataFrame, spec: SeriesSpec, scenarios: Sequence[Scenario] = SCENARIOS, price: str = "close",
+                    seed: int = 0) -> DataFrame:
+    """One shocked copy of every row per scenario."""
+    shocked = [F.struct(F.lit(name).alias("scenario"), value.alias("shocked")) for name, value in shocked_prices(spec, scenarios, price, seed).items()]
     keep = [*spec.by, *spec.order]
     return df.select(*keep, F.inline(F.array(*shocked))).withColumnRenamed("shocked", price)
 
 
 def stress_scenarios(df: DataFrame, spec: SeriesSpec, scenarios: Sequence[Scenario] = SCENARIOS,
                      benchmark: DataFrame | None = None, seed: int = 0) -> DataFrame:
-    """Risk metrics of every series under every scenario."""
-    shocked = apply_scenarios(df, spec, scenarios, seed=seed)
-    by_scenario = SeriesSpec((*spec.keys, "scenario"), spec.ts, spec.tiebreak)
-    return risk_metrics(shocked, by_scenario, benchmark)
+    """Risk metrics of every series under every scenario.
+
+    The series is sorted once. Its prices under all scenarios stand side by side as columns while returns and drawdowns are computed, and are unrolled
+    behind that, so the sort and its shuffle do not grow with the scenarios.
+    """
+    prices = list(shocked_prices(spec, scenarios, seed=seed).items())
+    df = df.select(*spec.by, *spec.order, *[value.alias(f"_p{i}") for i, (_, value) in enumerate(prices)])
+    df = df.withColumns({f"_b{i}": spec.lag(f"_p{i}") for i in range(len(prices))})
+    df = running(df, spec, {f"_top{i}": ("max", F.when(F.col(f"_b{i}").isNotNull(), F.col(f"_p{i}"))) for i in range(len(prices))})
+    df = align_benchmark(df, benchmark, spec.ts) if benchmark is not None else df.withColumn("b", F.lit(None).cast("double"))
+    lines = [F.struct(F.lit(name).alias("scenario"), (ratio(F.col(f"_p{i}"), f"_b{i}") - 1).alias("r"), (ratio(F.col(f"_p{i}"), f"_top{i}") - 1).alias("dd"))
+             for i, (name, _) in enumerate(prices)]
+    frame = df.select(*spec.keys, "b", F.inline(F.array(*lines))).where(F.col("r").isNotNull())
+    return summarise(frame, [*spec.keys, "scenario"])
