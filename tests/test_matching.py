@@ -68,3 +68,15 @@ def test_texts_are_walked_once_per_block(spark):
     found = matching.match_phrases(spark.createDataFrame(texts, "k long, t string"), "k", "t", spark.createDataFrame(phrases, "phrase string, label string"))
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert plan.count("MapInArrow") == 1 and "Exchange" not in plan
+
+
+def test_a_large_phrase_table_is_joined_in_one_pass(spark):
+    """However many blocks the table would fill, the texts pass through one Arrow step; words shorter and longer than any phrase, repeated texts and labels included."""
+    texts, phrases = make(5)
+    texts += [(0, texts[0][1]), (70, "x1"), (71, "q " * 3000)]
+    phrases += [(phrases[0][0], None), ("q q q q q q q", "seven")]
+    for width in (1, 200):  # bytes of a block
+        found = matching.match_phrases(spark.createDataFrame(texts, "k long, t string"), "k", "t", spark.createDataFrame(phrases, "phrase string, label string"), width)
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("MapInArrow") == 1 and "Union" not in plan
+        assert sorted(map(tuple, found.collect()), key=str) == plain_places(texts, phrases)
