@@ -7,7 +7,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
-from tideline.operators import graph, models, text
+from tideline.operators import graph, models, text, topics
 from tideline.operators.strategy import ensemble_signal
 from tideline.series import SeriesSpec
 
@@ -183,3 +183,35 @@ def test_signals_do_not_move_over_missing_rows(spark):
     model = line.fit(models.assemble(df.where("x IS NOT NULL"), ["x"]))
     out = models.model_signals(df, SeriesSpec(("symbol",), "ts"), model, ["x"]).orderBy("ts").collect()
     assert [r["signal"] is None for r in out] == [True, False, False, False, True, False]
+
+
+def test_topics_of_texts_are_fixed_points():
+    """What ``settle`` returns is what a plain step of the published method leaves as it is; long and short texts side by side."""
+    rng = np.random.default_rng(5)
+    sizes = np.concatenate([rng.integers(1, 60, 80), [700, 1]])
+    index = np.concatenate([rng.choice(900, n, replace=False) for n in sizes])
+    counts, ends, alpha = rng.integers(1, 9, len(index)), np.cumsum(sizes), np.array([0.3, 0.2, 0.1])
+    weights = rng.gamma(0.5, 1, (3, 900)) / 900 + 1e-9
+    gamma, added = topics.settle(weights, index, counts, ends, alpha, 1)
+    total = np.zeros((3, 900))
+    for i, (end, n) in enumerate(zip(ends, sizes)):
+        own, c = weights[:, index[end - n:end]], counts[end - n:end]
+        theta = np.exp(topics.digamma(gamma[i]) - topics.digamma(gamma[i].sum()))
+        share = theta[:, None] * own * (c / (theta @ own))
+        assert np.abs(share.sum(axis=1) + alpha - gamma[i]).mean() <= 1e-3
+        np.add.at(total.T, index[end - n:end], share.T)
+    assert added == pytest.approx(total) and added.sum() == pytest.approx(counts.sum())
+
+
+def test_topic_vocabulary_stays_a_table(spark, monkeypatch):
+    """Blocks of few words give every word a weight, no list of words reaches the driver, and separated themes are found."""
+    monkeypatch.setattr(topics.Vocabulary, "vocabulary", property(lambda self: pytest.fail("collected")))
+    themes = [["apple", "banana", "cherry", "plum"], ["stock", "bond", "market", "share"]]
+    rng = np.random.default_rng(3)
+    rows = [([str(w) for w in rng.choice(themes[i % 2], 30)],) for i in range(60)] + [([],), (None,), (["rare"],)]
+    model = topics.fit_topics(spark.createDataFrame(rows, "keywords array<string>").repartition(3), "keywords", 2, 30, block_words=200)
+    assert model.words.count() == 9 and {r["topic"] for r in model.describe(3).collect()} == {0, 1}
+    found = [{r["word"] for r in model.describe(4).where(f"topic = {t}").collect()} for t in (0, 1)]
+    assert sorted(map(sorted, found)) == sorted(map(sorted, themes))
+    assert topics.fit_topics(spark.createDataFrame(rows, "keywords array<string>"), "keywords", 2, 2, min_documents=2).words.count() == 8
+    assert topics.fit_topics(spark.createDataFrame(rows[:0], "keywords array<string>"), "keywords", 2, 2).words.count() == 0
