@@ -194,3 +194,60 @@ def test_rows_wait_for_the_slower_stream(spark, tmp_path, few_partitions):
     assert not set(pair.found()) & {50, 300, 301}
     pair.take([], [("a", minute(299), 1, 3.0)])
     assert {i: p for i, (p, _) in pair.close().found().items()} == {1: 1.0, 50: 2.0, 300: 3.0, 301: 3.0}
+
+
+def test_waiting_rows_are_kept_in_frames():
+    """A batch of many rows is a few entries of state, and leaves it in order with missing values kept."""
+    from pyspark.sql import types as T
+
+    class Kept(list):
+        def get(self):
+            return iter(list(self))
+
+        def appendList(self, rows):
+            self.extend(rows)
+
+        def put(self, rows):
+            self[:] = rows
+
+        def exists(self):
+            return bool(self)
+
+    class Single(Kept):
+        def get(self):
+            return self[0]
+
+        def update(self, value):
+            self[:] = [value]
+
+    class Handle:
+        timers = []
+
+        def getListState(self, name, schema):
+            return Kept()
+
+        def getValueState(self, name, schema):
+            return Single()
+
+        def registerTimer(self, at):
+            self.timers.append(at)
+
+        def deleteTimer(self, at):
+            self.timers.remove(at)
+
+    class Values:
+        def getCurrentWatermarkInMs(self):
+            return 30
+
+    processor = rolling.AsofRows([rolling._AT, rolling._SIDE, "n", "m_v"], [T.LongType(), T.IntegerType(), T.LongType(), T.StringType()], [rolling._AT, rolling._SIDE], ["m_v"], ["k"])
+    processor.init(Handle())
+    frame = pd.DataFrame({rolling._AT: [i * 1000 % 50_000 + 1 for i in range(50_000)], rolling._SIDE: [i % 2 for i in range(50_000)], "n": range(50_000),
+                          "m_v": [None if i % 4 else str(i % 50) for i in range(50_000)]})
+    list(processor.handleInputRows(("a",), iter([frame[:30_000], frame[30_000:]]), None))
+    assert len(processor.waiting) <= 4 and processor.handle.timers == [1]
+    out = pd.concat(list(processor.handleExpiredTimer(("a",), Values(), None)))
+    assert len(out) == 15_000 and set(out["k"]) == {"a"} and out[rolling._AT].is_monotonic_increasing
+    # odd milliseconds hold left rows, the even ones before them right rows, the last of them with a value in every other one
+    expected = [None if (at // 1000 + 1) % 4 else str(at // 1000 - 1) for at in out[rolling._AT]]
+    assert [None if pd.isna(v) else v for v in out["m_v"]] == expected
+    assert len(processor.waiting) <= 2 and processor.handle.timers[-1] == 31
