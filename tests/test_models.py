@@ -215,3 +215,17 @@ def test_topic_vocabulary_stays_a_table(spark, monkeypatch):
     assert sorted(map(sorted, found)) == sorted(map(sorted, themes))
     assert topics.fit_topics(spark.createDataFrame(rows, "keywords array<string>"), "keywords", 2, 2, min_documents=2).words.count() == 8
     assert topics.fit_topics(spark.createDataFrame(rows[:0], "keywords array<string>"), "keywords", 2, 2).words.count() == 0
+
+
+def test_blocks_of_the_neighbour_search_grow_with_the_rows(spark, monkeypatch):
+    """Blocks follow the number of rows up to a largest size, whatever which the neighbours are the same; single precision stays."""
+    rng = np.random.default_rng(9)
+    rows = [(int(i), v.tolist()) for i, v in enumerate(rng.standard_normal((9000, 4)).astype(np.float32))]
+    df = spark.createDataFrame(rows, "id long, v array<float>").repartition(4)
+    found = models.nearest_neighbours(df, "id", "v", k=3, pivots=1)
+    small = models.nearest_neighbours(df, "id", "v", k=3, pivots=1, block=1000)
+    key = ["id", "rank"]
+    assert [tuple(r) for r in found.orderBy(*key).collect()] == [tuple(r) for r in small.orderBy(*key).collect()]
+    monkeypatch.setattr(models, "LARGEST_BLOCK", 2048)
+    cut = models.nearest_neighbours(df, "id", "v", k=3, pivots=1)
+    assert [tuple(r) for r in cut.orderBy(*key).collect()] == [tuple(r) for r in small.orderBy(*key).collect()]

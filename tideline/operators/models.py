@@ -253,16 +253,22 @@ def flag_worst(df: DataFrame, score: str, contamination: float, keep: str = "all
 
 # ---------------------------------------------------------------- M6
 
-def nearest_neighbours(df: DataFrame, key: str, vector: str, k: int = 20, pivots: int = 32, block: int = 4096,
+# Rows of a block of the neighbour search: a few thousand on small tables, so that all tasks have work; at most so many on large ones.
+LARGEST_BLOCK = 65_536
+
+
+def nearest_neighbours(df: DataFrame, key: str, vector: str, k: int = 20, pivots: int = 32, block: int | None = None,
                        seed: int = 7) -> DataFrame:
     """Exact k nearest rows (Euclidean) of every row: (key, neighbour, distance, rank).
 
     Rows are assigned to the nearest of a few pivots. The triangle inequality tells, per row, which cells can hold a
     nearer neighbour than the k it is sure to find; only those are searched. A cell is cut into blocks, and the rows
     searching a block into groups of the same size, so a crowded cell is many equal tasks. A task returns k
-    candidates per row, never pairs.
+    candidates per row, never pairs. A row travels to every block it searches, so blocks (where ``block`` is not given) grow with the cells, up to
+    ``LARGEST_BLOCK`` rows; vectors of single precision travel as such.
     """
-    rows = df.select(F.col(key).alias("_id"), F.col(vector).cast("array<double>").alias("_v"))
+    single = df.schema[vector].dataType.simpleString() == "array<float>"
+    rows = df.select(F.col(key).alias("_id"), F.col(vector).cast("array<float>" if single else "array<double>").alias("_v"))
     # a fixed number of pivots, drawn by hash
     chosen = rows.select("_v", hash_uniform("_id", F.lit(seed)).alias("_u")).orderBy("_u").limit(pivots).collect()
     centres = np.array([r["_v"] for r in chosen], dtype=float)
@@ -285,6 +291,8 @@ def nearest_neighbours(df: DataFrame, key: str, vector: str, k: int = 20, pivots
     stats = {r["_cell"]: r for r in placed.groupBy("_cell").agg(
         F.count(F.lit(1)).alias("n"), F.min("_far").alias("near"), F.max("_far").alias("far")).collect()}
     holds = {c: float(r["far"]) for c, r in stats.items() if r["n"] > k}
+    if block is None:
+        block = min(max(4096, sum(r["n"] for r in stats.values()) // 16), LARGEST_BLOCK)
     blocks = {c: -(-r["n"] // block) for c, r in stats.items()}
     cells = sorted(stats)
     at = F.col("_all")
@@ -313,9 +321,9 @@ def nearest_neighbours(df: DataFrame, key: str, vector: str, k: int = 20, pivots
         points, targets = np.stack(left["_v"].to_numpy()).astype(float), np.stack(right["_bv"].to_numpy()).astype(float)
         middle = targets.mean(axis=0)
         sizes = ((targets - middle) ** 2).sum(1)
-        out = []
-        for start in range(0, len(points), 512):
-            part, ids = points[start:start + 512], left["_id"].to_numpy()[start:start + 512]
+        out, step = [], max(1, 512 * 4096 // max(4096, len(targets)))  # the table of distances stays as small as that of small blocks
+        for start in range(0, len(points), step):
+            part, ids = points[start:start + step], left["_id"].to_numpy()[start:start + step]
             own = ((part - middle) ** 2).sum(1)
             rough = own[:, None] - 2 * (part - middle) @ (targets - middle).T + sizes[None]
             rough[ids[:, None] == others[None]] = np.inf
