@@ -4,6 +4,7 @@ import datetime as dt
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from tideline import flows
 from tideline.series import SeriesSpec
@@ -71,3 +72,19 @@ def test_the_gate_stops_what_cannot_be_mended(spark):
         flows.prepare_flow(base.selectExpr("symbol", "ts", "close - 2 AS close"), {"x": gaps}, spec, ["close", "x_v"], ["close"], lag_columns=("x_v",))
     with pytest.raises(flows.QualityError, match="missing x_v: 10"):
         flows.prepare_flow(base, {"x": gaps.where("false")}, spec, ["close", "x_v"], lag_columns=("x_v",))
+
+
+def test_one_post_stands_for_a_text(spark, monkeypatch):
+    """Every text once, those of posts without a key or with a shared one too; posts are chosen before their texts are joined to them."""
+    rows = [(1, "a"), (2, "a"), (3, "b"), (3, "c"), (None, "d"), (None, "a"), (5, None)]
+    posts = spark.createDataFrame(rows, "k long, t string").withColumn("_text", F.xxhash64("t", F.col("t").isNull()))
+    assert sorted(r["raw"] or "" for r in flows.distinct_texts(posts, "k", "t").collect()) == ["", "a", "b", "c", "d"]
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(4)], "d long, t string")
+    many = spark.range(100).withColumnRenamed("id", "k").join(docs, F.pmod("k", F.lit(5)) == F.col("d"), "left").select("k", "t", F.xxhash64("t").alias("_text"))
+    for block in (1_000_000, 2):
+        monkeypatch.setattr(flows, "KEYS_OF_A_BLOCK", block)
+        found = flows.distinct_texts(many, "k", "t")
+        assert sorted(r["raw"] or "" for r in found.collect()) == ["", *[f"text {i}" for i in range(4)]]
+        # no exchange or sort below the choice of posts
+        plan = found._jdf.queryExecution().sparkPlan().toString()
+        assert plan.count("BroadcastHashJoin") >= plan.count("LeftSemi") == (1 if block > 2 else 3)
