@@ -230,3 +230,27 @@ def test_embeddings_leave_the_session_as_it_was(spark):
     before = spark.conf.get(name)
     vectors.op9_itq_embeddings(spark, "/root/testdata/sf0.001").count()
     assert spark.conf.get(name) == before
+
+
+def test_toxicity_learns_from_every_label(spark):
+    """More labels than one shard holds, a word that only toxic texts beyond any few thousand labels hold, and any partitioning."""
+    bounds = toxicity.Bounds(shard=500, seen=100)
+    rng = random.Random(6)
+    texts = [" ".join(f"w{rng.randrange(800)}" for _ in range(8)) + (f" rude{i}" if i % 2 else "") for i in range(9000)]
+    docs = docs_of(spark, texts)
+    labels = spark.createDataFrame([(i, 0, i % 2) for i in range(9000)], "doc_id long, quality int, toxic int")
+    rows = toxicity.labelled_texts(docs.union(docs.where("doc_id < 50")), labels.union(labels.where("doc_id < 50")), bounds)
+    fold = {r["doc_id"] for r in docs.select("doc_id", toxicity.held_out(docs["doc_id"]).alias("h")).collect() if not r["h"]}
+    assert sorted(r["doc_id"] for r in rows.select("doc_id").collect()) == sorted(fold) and len(fold) > 6500
+    shuffled = toxicity.labelled_texts(docs.union(docs.where("doc_id < 50")), labels.repartition(3), bounds, sent_bytes=0)
+    assert sorted(map(tuple, shuffled.collect())) == sorted(map(tuple, rows.collect()))
+    few = toxicity.labelled_texts(docs, labels.where("doc_id % 3 = 0"), bounds, sent_bytes=0)
+    assert sorted(r["doc_id"] for r in few.collect()) == sorted(i for i in fold if i % 3 == 0)
+    counts = toxicity.text_counts(rows)
+    first, _, starts = toxicity.token_rows([texts[i] for i in sorted(fold)], toxicity._Rows())
+    holds = np.zeros(toxicity.ROWS + 1)
+    for a, b in zip(starts, np.append(starts[1:], len(first))):
+        holds[np.unique(first[a:b])] += 1
+    assert (counts[0, 0] == holds).all()
+    nets = [toxicity.fit_toxicity(docs.repartition(n), labels.repartition(n), bounds) for n in (1, 5)]
+    assert all((a == b).all() for a, b in zip((nets[0].one, nets[0].weights, nets[0].shifts), (nets[1].one, nets[1].weights, nets[1].shifts)))
