@@ -3,6 +3,7 @@
 import random
 import re
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -80,3 +81,18 @@ def test_a_large_phrase_table_is_joined_in_one_pass(spark):
         plan = found._jdf.queryExecution().optimizedPlan().toString()
         assert plan.count("MapInArrow") == 1 and "Union" not in plan
         assert sorted(map(tuple, found.collect()), key=str) == plain_places(texts, phrases)
+
+
+def test_a_large_keyword_table_is_one_function(spark):
+    """However many blocks, a worker runs one function over one compact table; keywords of every length, at both ends, over piece borders, and long ones."""
+    rng = random.Random(8)
+    keys = sorted({"".join(rng.choice("abcdé本🙂") for _ in range(rng.randint(4, 40))) for _ in range(3000)}) + ["x" * 300, "yx"]
+    texts = [None, "", "x" * 299, "x" * 300, "zyxz", "q" * 300_000 + keys[5], "q" * (matching._PIECE - 3) + keys[7] + "q" * 10, keys[9] + "q", "q" + keys[9][:-1]]
+    texts += ["".join(rng.choice("abcdé本🙂") for _ in range(rng.randint(0, 60))) for _ in range(300)]
+    df = spark.createDataFrame(list(enumerate(texts)), "k long, t string")
+    flag = matching.contains_pattern(F.col("t"), spark.createDataFrame([(k,) for k in keys], "keyword string"), block_bytes=30_000)
+    out = df.select("k", flag.alias("f"))
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("hit(") == 1
+    assert {r.k: r.f for r in out.collect()} == {i: None if t is None else any(k in t for k in keys) for i, t in enumerate(texts)}
+    table = matching.KeywordTable([matching.KeywordBlock.of(pa.array(keys))], 20)
+    assert table.found(["q", "yx", "xy" * 3]) == [False, True, True]
