@@ -1,9 +1,11 @@
 """Hard negatives, whitening and token files against plain versions."""
 
 import math
+import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -252,3 +254,19 @@ def test_registered_whitening_equals_a_plain_computation(spark):
     assert [(f.name, f.dataType) for f in df.schema.fields][:5] == [("vec_id", T.LongType()), ("component", T.IntegerType()), ("n", T.LongType()),
                                                                   ("deviation", T.LongType()), ("whitened", T.DoubleType())]
     check_whitening(df.collect(), rows)
+
+
+def test_stretches_are_learned_many_at_a_time():
+    """Stretches with line ends too; Arrow in, the library's ids out, odd spaces included."""
+    encoder = planes.Encoder(planes.byte_model())
+    rng = random.Random(12)
+    texts = [" ".join(f"w{i}é\nx{rng.randrange(10 ** 6)}" for _ in range(30)) for i in range(200)]
+    odd = ["", " ", "  a", "a  b", "a \n b c", "x ", "\n", "a　b c", "it 's a"]
+    asked = []
+    plain = encoder._plain
+    encoder._plain = lambda some: asked.append(len(some)) or plain(some)
+    out = encoder.encode(pa.array(texts))
+    assert sum(asked) <= len(texts) + 6000 // planes._TOGETHER + 1
+    for given, found in ((texts, out), (odd, encoder.encode(odd)), (texts, encoder.encode(texts))):
+        assert found == [np.asarray(encoder.tokenizer.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() for t in given]
+    assert encoder.encode([]) == []

@@ -18,7 +18,7 @@ temporary file. A task that runs again after a loss writes the same bytes under
 to the shared folder and come back by Spark's ``binaryFile`` reader.
 
 Encoding is the library's. Where a tokenizer splits bytes at spaces before it merges (byte-level, without a normaliser),
-a text is cut at single spaces between visible characters, and each distinct stretch is encoded once per task.
+a text is cut at single spaces between visible characters, and each distinct stretch is encoded once per worker process.
 
 A NULL text counts as the empty one, which has the end id only. Rows with equal ids are documents of their own, in the order of their text
 hashes; NULL ids come first. An empty table gives no files and an empty result. Further columns have no influence.
@@ -38,6 +38,7 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -56,6 +57,7 @@ PLANES = {"byte": 4, "bit": 32}
 MAGIC = b"IDPLANE1"
 _TAIL = "<QQIIIQQQ8s"
 _REMEMBERED = 800_000
+_TOGETHER = 50
 _SPACE = "Ġ"  # how byte-level pieces spell a space
 # Visible characters that every version of Unicode counts as such: none of them is, or ever was, white space.
 _VISIBLE = "[!-~¡-ᙿ、-퟿]"
@@ -78,7 +80,6 @@ class Encoder:
         self.opens[[i for piece, i in vocabulary.items() if piece.startswith(_SPACE)]] = True
         self.clean = re.compile(f"{_VISIBLE}(?:[^ ]*{_VISIBLE})?", re.DOTALL).fullmatch
         self.cut = re.compile(f"(?<={_VISIBLE}) (?={_VISIBLE})").split
-        self.white = re.compile(r"\s").search
         self.known: dict[str, bytes] = {}  # a stretch to its ids behind a space
 
     @classmethod
@@ -93,46 +94,53 @@ class Encoder:
         return [np.asarray(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, stretches: list[str]) -> None:
-        """Encode stretches that stand between single spaces; those without other white space many at a time, told apart by their spaces."""
-        plain = [s for s in stretches if not self.white(s)]
-        for i in range(0, len(plain), 200):
-            some = plain[i:i + 200]
-            raw = np.asarray(self.tokenizer.encode(" " + " ".join(some), add_special_tokens=False).ids, dtype="<u4").tobytes()
-            starts = np.flatnonzero(self.opens[np.frombuffer(raw, dtype="<u4")]) * 4
-            if len(starts) != len(some):  # a piece begins with a space that no stretch begins with: one by one
-                self.known.update(zip(some, self._plain([" " + s for s in some])))
-                continue
-            at = [*starts.tolist(), len(raw)]
-            self.known.update(zip(some, [raw[a:b] for a, b in zip(at, at[1:])]))
-        rest = [s for s in stretches if self.white(s)]
-        self.known.update(zip(rest, self._plain([" " + s for s in rest])))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        if not self.splits:
-            return self._plain(texts)
+        """Encode stretches that stand between single spaces, many at a time, told apart by their spaces."""
+        groups = [stretches[i:i + _TOGETHER] for i in range(0, len(stretches), _TOGETHER)]
+        for i in range(0, len(groups), 32):
+            some = groups[i:i + 32]
+            for group, raw in zip(some, self._plain([" " + " ".join(g) for g in some])):
+                starts = np.flatnonzero(self.opens[np.frombuffer(raw, dtype="<u4")]) * 4
+                if len(starts) != len(group):  # a piece begins with a space that no stretch begins with: one by one
+                    self.known.update(zip(group, self._plain([" " + s for s in group])))
+                    continue
+                at = [*starts.tolist(), len(raw)]
+                self.known.update(zip(group, [raw[a:b] for a, b in zip(at, at[1:])]))
+
+    def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
+        texts = pa.array(texts, type=pa.large_string()) if isinstance(texts, list) else texts.cast(pa.large_string())
+        if not self.splits or not len(texts):
+            return self._plain(texts.to_pylist())
         if len(self.known) > _REMEMBERED:  # the first to come are the most frequent ones
             self.known = dict(islice(self.known.items(), _REMEMBERED * 5 // 8))
-        known = self.known
-        heads, pieces, values, new = [], [], [], set()
-        for text in texts:
-            head, *parts = text.split(" ")
-            found = list(map(known.get, parts))
-            missing = [p for p, v in zip(parts, found) if v is None]
-            if parts and not (self.clean(head) and all(map(self.clean, missing))):  # some space is not a place to cut
-                head, *parts = self.cut(text)
-                found = list(map(known.get, parts))
-                missing = [p for p, v in zip(parts, found) if v is None]
-            new.update(missing)
-            heads.append(head)
-            pieces.append(parts)
-            values.append(found)
+        parts = pc.split_pattern(texts, " ")
+        bounds = parts.offsets.to_numpy().astype(np.int64)
+        flat, first = parts.values, bounds[:-1]
+        heads = flat.take(pa.array(first)).to_pylist()
+        behind = np.ones(bounds[-1], dtype=bool)
+        behind[first] = False
+        coded = flat.filter(pa.array(behind)).dictionary_encode()
+        codes, bounds = coded.indices.to_numpy(), bounds - np.arange(len(bounds))
+        stretches = coded.dictionary.to_pylist()
+        found = list(map(self.known.get, stretches))
+        missing = [i for i, v in enumerate(found) if v is None]
+        odd = [i for i in missing if not self.clean(stretches[i])]
+        apart = {i for i, head in enumerate(heads) if bounds[i] < bounds[i + 1] and not self.clean(head)}
+        if odd:  # some space is not a place to cut
+            places = np.flatnonzero(np.isin(codes, odd))
+            apart.update((np.searchsorted(bounds, places, "right") - 1).tolist())
+        cut = {i: self.cut(texts[i].as_py()) for i in apart}
+        for i, own in cut.items():
+            heads[i] = own[0]
+        odd = set(odd)
+        new = {stretches[i] for i in missing if i not in odd}
+        new.update(s for own in cut.values() for s in own[1:] if s not in self.known)
         self._learn(list(new))
-        out = []
-        for head, parts, found in zip(self._plain(heads), pieces, values):
-            if None in found:
-                found = [known[p] if v is None else v for p, v in zip(parts, found)]
-            out.append(head + b"".join(found))
-        return out
+        for i in missing:
+            found[i] = b"" if i in odd else self.known[stretches[i]]
+        ids = pa.array(found, type=pa.large_binary()).take(pa.array(codes))
+        ends = np.frombuffer(ids.buffers()[1], dtype=np.int64)[ids.offset + bounds] if len(ids) else bounds
+        data = memoryview(ids.buffers()[2]) if len(ids) and ids.buffers()[2] is not None else memoryview(b"")
+        return [head + (b"".join(map(self.known.__getitem__, cut[i][1:])) if i in cut else data[ends[i]:ends[i + 1]].tobytes()) for i, head in enumerate(self._plain(heads))]
 
 
 # ---------------------------------------------------------------- one file
@@ -268,15 +276,13 @@ def write_token_files(docs: DataFrame, folder: str, model: str, doc_id: str = "d
             held, ids, lengths, size = [], [], [], 0
 
         for batch in batches:
-            for i in range(0, batch.num_rows, 256):
-                some = batch.slice(i, 256)
-                for key, tokens in zip(some.column("id").to_pylist(), encoder.encode(some.column("text").to_pylist())):
-                    held.append(tokens + end)
-                    ids.append(key)
-                    lengths.append(len(tokens) // 4 + 1)
-                    size += lengths[-1]
-                    if size >= file_ids:
-                        close()
+            for key, tokens in zip(batch.column("id").to_pylist(), encoder.encode(batch.column("text"))):
+                held.append(tokens + end)
+                ids.append(key)
+                lengths.append(len(tokens) // 4 + 1)
+                size += lengths[-1]
+                if size >= file_ids:
+                    close()
         if ids:
             close()
         names = ("part", "file", "name", "first_doc", "n_docs", "n_ids", "n_bytes")
