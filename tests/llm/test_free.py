@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from brute import components, fingerprint, near
@@ -254,3 +255,12 @@ def test_toxicity_learns_from_every_label(spark):
     assert (counts[0, 0] == holds).all()
     nets = [toxicity.fit_toxicity(docs.repartition(n), labels.repartition(n), bounds) for n in (1, 5)]
     assert all((a == b).all() for a, b in zip((nets[0].one, nets[0].weights, nets[0].shifts), (nets[1].one, nets[1].weights, nets[1].shifts)))
+
+
+def test_encoder_outlives_a_task():
+    """Another copy of the machine in the same process finds what was learned; words next to runs of spaces and word marks included."""
+    first, second = pieces.compile_machine(), pieces.compile_machine()
+    library = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL)
+    texts = ["the cat\nsat  on the mat", " a", "a ", "", "the cat", "x▁ y z", "▁", "  ", "\n the\n", "ein Haus, das"]
+    assert [np.frombuffer(x, dtype="<i4").tolist() for x in first.encoder().encode(pa.array(texts + [None]))] == [*map(library.encode, texts), []]
+    assert second.encoder() is first.encoder() and "cat" in second.encoder().words

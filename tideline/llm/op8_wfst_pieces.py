@@ -8,7 +8,8 @@ A sequence of pieces is the result of merging exactly if all its neighbours are
 of finite weight, the tropical shortest one, and it is found by a search that enters no dead state twice.
 
 Where no piece goes over a place between two characters (before a word mark, say), the shortest path of a text is the
-shortest paths of the stretches on both sides, one after the other; stretches are remembered within a task, up to a limit. Decoding is the inverse machine: pieces and bytes to text, without the dummy prefix.
+shortest paths of the stretches on both sides, one after the other. A worker process remembers words between single spaces, their stretches and the
+arcs, up to a limit; a batch of texts is split into words by Arrow, and each of its distinct words is looked up once. Decoding is the inverse machine: pieces and bytes to text, without the dummy prefix.
 
 NULL text encodes to NULL, the empty text to no pieces. A text that holds the word mark itself (U+2581) decodes to a space
 there; every other text comes back exactly. Ids may be NULL or repeated; every input row gets one output row; an empty table gives an
@@ -17,22 +18,28 @@ empty result. Columns that are named like the added one are replaced.
 
 from __future__ import annotations
 
+import hashlib
 import re
+import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tideline.llm.common import small_batches
 from tideline.llm.registry import llm_query, table
+from tideline.worker import kept as process
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 _REMEMBERED = 400_000
+_WHOLE = r"(?s).+"
 _LATIN = "A-Za-zÀ-ÖØ-öø-ɏ"
 # Arcs are numbered by two piece numbers; characters without a piece are numbered behind the pieces.
 _ARC = 21
@@ -49,6 +56,8 @@ class Machine:
     byte_ids: list[int]
     outputs: list[bytes]
     prefix: bool
+    name: str  # differs between models
+    longest: int  # characters of the longest piece
     _arcs: dict[int, bool] = field(default_factory=dict)
 
     def merged(self, text: str) -> list[str]:
@@ -80,17 +89,16 @@ class Machine:
 
     def path(self, text: str) -> list[int]:
         """The shortest path through ``text``: the only one of finite weight, long arcs being tried first."""
-        n, trie, arcs, foreign = len(text), self.trie, self._arcs, len(self.strings)
+        n, trie, arcs, foreign, longest = len(text), self.trie, self._arcs, len(self.strings), self.longest
         at, before = 0, _START
         stack: list[tuple[int, int, list[tuple[int, int]]]] = []  # position, piece before it, arcs not tried yet
         dead: set[int] = set()
-        entering = True
-        options: list[tuple[int, int]] = []
+        options: list[tuple[int, int]] | None = None
         while at < n:
-            if entering:  # pieces from here on, by length; a character without a piece stands for its bytes
+            if options is None:  # pieces from here on, by length; a character without a piece stands for its bytes
                 options, node, j = [], trie, at
-                while j < n:
-                    entry = node.get(text[j])
+                for c in text[at:at + longest]:
+                    entry = node.get(c)
                     if entry is None:
                         break
                     j += 1
@@ -99,19 +107,19 @@ class Machine:
                         options.append((j, piece))
                 if not options or options[0][0] > at + 1:
                     options.insert(0, (at + 1, foreign + ord(text[at])))
-                entering = False
-            if options:
+            while options:
                 end, piece = options.pop()
                 arc = before << _ARC | piece
                 finite = arcs.get(arc)
                 if (finite or finite is None and self.allowed(arc)) and (not dead or end << _ARC | piece not in dead):
                     stack.append((at, before, options))
-                    at, before, entering = end, piece, True
-                continue
-            if not stack:
-                raise ValueError("no path of finite weight")
-            dead.add(at << _ARC | before)
-            at, before, options = stack.pop()
+                    at, before, options = end, piece, None
+                    break
+            else:
+                if not stack:
+                    raise ValueError("no path of finite weight")
+                dead.add(at << _ARC | before)
+                at, before, options = stack.pop()
         ids: list[int] = []
         for piece in [x[1] for x in stack[1:]] + ([before] if stack else []):
             if piece < foreign:
@@ -125,13 +133,17 @@ class Machine:
         no piece goes over such a place."""
         joined = {c for s in self.strings for c in s if len(s) > 1}
         if any(s[i] == MARK and s[i - 1] != MARK for s in self.strings for i in range(1, len(s))) or "\n" in joined:
-            return re.compile(r"(?s).+")
+            return re.compile(_WHOLE)
         if any(re.search(f"[{_LATIN}][^{_LATIN}]", s) for s in self.strings):
             return re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
         return re.compile(f"{MARK}*[^{MARK}\n{_LATIN}]*[{_LATIN}]+|{MARK}*[^{MARK}\n{_LATIN}]+|{MARK}+|\n")
 
-    def encoder(self) -> "Encoder":
-        return Encoder(self)
+    def encoder(self) -> Encoder:
+        """The encoder of this worker process, with what it has learned in earlier tasks."""
+        found = process().setdefault("pieces", {})
+        if self.name not in found:
+            found[self.name] = Encoder(self)
+        return found[self.name]
 
     def decode(self, ids: list[int]) -> str:
         data = b"".join([self.outputs[i] for i in ids])
@@ -141,26 +153,53 @@ class Machine:
 
 
 class Encoder(dict):
-    """Stretch to ids, remembered."""
+    """Stretch to the bytes of its ids (little-endian, 32 bits each), remembered; so are words, as they stand behind a single space."""
 
     def __init__(self, machine: Machine):
         super().__init__()
-        self.machine, self.cut = machine, machine.stretches().findall
-
-    def __missing__(self, stretch: str) -> list[int]:
-        if len(self) > _REMEMBERED:
+        pattern = machine.stretches()
+        self.machine, self.cut, self.words = machine, pattern.findall, {}
+        # every other pattern cuts before each run of word marks
+        self.splits = machine.prefix and pattern.pattern != _WHOLE
+
+    def __missing__(self, stretch: str) -> bytes:
+        if len(self) > _REMEMBERED:  # the first to come are the most frequent ones
+            first = list(islice(self.items(), _REMEMBERED * 5 // 8))
             self.clear()
-        ids = self[stretch] = self.machine.path(stretch)
+            self.update(first)
+        ids = self[stretch] = struct.pack(f"<{len(found := self.machine.path(stretch))}i", *found)
         return ids
 
-    def encode(self, text: str) -> list[int]:
+    def _encode(self, text: str) -> bytes:
         if not text:
-            return []
+            return b""
         normal = (MARK if self.machine.prefix else "") + text.replace(" ", MARK)
-        out: list[int] = []
-        for stretch in self.cut(normal):
-            out += self[stretch]
-        return out
+        return b"".join(map(self.__getitem__, self.cut(normal)))
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """The bytes of the ids of every text; NULL counts as the empty one."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        if not self.splits or not len(texts):
+            return [self._encode(t) for t in texts.to_pylist()]
+        if len(self.words) > _REMEMBERED:
+            self.words = dict(islice(self.words.items(), _REMEMBERED * 5 // 8))
+        parts = pc.split_pattern(texts, " ")
+        coded = parts.values.dictionary_encode()
+        bounds, codes, words = parts.offsets.to_numpy(), coded.indices.to_numpy(), coded.dictionary.to_pylist()
+        found = list(map(self.words.get, words))
+        odd = []
+        for i, word in enumerate(words):
+            if found[i] is None:
+                if word and MARK not in word:
+                    found[i] = self.words[word] = self._encode(word)
+                else:  # next to a run of word marks
+                    found[i] = b""
+                    odd.append(i)
+        whole = set((np.searchsorted(bounds, np.flatnonzero(np.isin(codes, odd)), "right") - 1).tolist()) if odd else ()
+        ids = pa.array(found, type=pa.large_binary()).take(pa.array(codes))
+        ends = np.frombuffer(ids.buffers()[1], dtype=np.int64)[ids.offset + bounds]
+        data = memoryview(ids.buffers()[2] or b"")
+        return [self._encode(texts[i].as_py()) if i in whole else data[ends[i]:ends[i + 1]].tobytes() for i in range(len(texts))]
 
 
 def compile_machine(path: str = MODEL) -> Machine:
@@ -169,7 +208,8 @@ def compile_machine(path: str = MODEL) -> Machine:
 
     model = proto.ModelProto()
     with open(path, "rb") as f:
-        model.ParseFromString(f.read())
+        content = f.read()
+    model.ParseFromString(content)
     normal, trainer = model.normalizer_spec, model.trainer_spec
     if normal.precompiled_charsmap or normal.remove_extra_whitespaces or not normal.escape_whitespaces:
         raise ValueError("only identity normalisers that keep white space are compiled")
@@ -197,20 +237,17 @@ def compile_machine(path: str = MODEL) -> Machine:
             known = node.get(c, (-1, {}))
             node[c] = (i if j == len(s) - 1 else known[0], known[1])
             node = known[1]
-    return Machine(strings, trie, priority, byte_ids, outputs, normal.add_dummy_prefix)
+    return Machine(strings, trie, priority, byte_ids, outputs, normal.add_dummy_prefix, hashlib.sha256(content).hexdigest(), max(map(len, strings)))
 
 
-def _ids(lists: list[list[int] | None]) -> pa.Array:
-    offsets = np.zeros(len(lists) + 1, dtype=np.int32)
-    offsets[1:] = np.cumsum([len(x) if x is not None else 0 for x in lists])
-    flat = np.array([i for x in lists if x is not None for i in x], dtype=np.int32)
-    missing = [x is None for x in lists]
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat), mask=pa.array(missing) if any(missing) else None)
+def _ids(lists: list[bytes], missing: pa.Array) -> pa.Array:
+    offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in lists])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(lists), dtype="<i4")), mask=missing if missing.true_count else None)
 
 
 def encode(docs: DataFrame, machine: Machine, text: str = "text", out: str = "ids", check: str | None = None) -> DataFrame:
     """``docs`` plus the ids of ``text``; with ``check``, also whether decoding gives the text back."""
-    small_batches(docs.sparkSession, 200)
+    small_batches(docs.sparkSession)
     kept = [c for c in docs.columns if c not in (out, check)]
     place = kept.index(text)
     schema = T.StructType([*docs.select(*kept).schema.fields, T.StructField(out, T.ArrayType(T.IntegerType()))])
@@ -220,11 +257,11 @@ def encode(docs: DataFrame, machine: Machine, text: str = "text", out: str = "id
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = machine.encoder()
         for batch in batches:
-            texts = batch.column(place).to_pylist()
-            lists = [None if t is None else encoder.encode(t) for t in texts]
-            columns, names = [*batch.columns, _ids(lists)], [*kept, out]
+            texts = batch.column(place)
+            lists = encoder.encode(texts)
+            columns, names = [*batch.columns, _ids(lists, texts.is_null())], [*kept, out]
             if check:
-                columns.append(pa.array([None if t is None else machine.decode(x) == t for t, x in zip(texts, lists)], type=pa.bool_()))
+                columns.append(pa.array([None if t is None else machine.decode(np.frombuffer(x, dtype="<i4").tolist()) == t for t, x in zip(texts.to_pylist(), lists)], type=pa.bool_()))
                 names.append(check)
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
