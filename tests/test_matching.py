@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -83,6 +84,39 @@ def test_a_large_phrase_table_is_joined_in_one_pass(spark):
         assert sorted(map(tuple, found.collect()), key=str) == plain_places(texts, phrases)
 
 
+@pytest.mark.parametrize("bits", [29, 11])
+def test_only_phrases_of_some_text_are_joined_by_text(spark, monkeypatch, bits):
+    """Of a large table the join holds what some text has a hash of, also where the bitmap is far too small; keys that are texts, few places at a time, repeated lines."""
+    monkeypatch.setattr(matching, "_MOST_BITS", bits)
+    monkeypatch.setattr(matching, "_FOUND_PLACES", 40, raising=False)
+    texts, phrases = make(6)
+    texts = [(f"k{i}", t) for i, t in texts] + [(None, "a b c_d")]
+    never = [(f"w{i} w{i % 7} {'x ' * (i % 3)}end", "n") for i in range(20_000)]
+    table = spark.createDataFrame(phrases + never + phrases[:50], "phrase string, label string")
+    found = matching.match_phrases(spark.createDataFrame(texts, "k string, t string").repartition(3), "k", "t", table, 1000)
+    stored = [f for f in found.inputFiles() if "/phrases-" in f or "/patterns-" in f]
+    assert 0 < spark.read.parquet(*stored).count() < 2_000
+    assert sorted(map(tuple, found.collect()), key=str) == plain_places(texts, phrases)
+    assert matching.match_phrases(spark.createDataFrame(texts, "k string, t string"), "k", "t", spark.createDataFrame(never, "phrase string, label string"), 1000).count() == 0
+
+
+def test_stretches_over_borders(monkeypatch):
+    """Words looked at together end anywhere; no stretch leaves its text, and what is marked is found."""
+    monkeypatch.setattr(matching, "_RUN", 16)
+    rng = np.random.default_rng(2)
+    words = pa.array([rng.integers(-9, 9, n).tolist() for n in (0, 3, 40, 1, 0, 17)] + [None, [4, 4]], type=pa.list_(pa.int64())).slice(1)
+    every = matching.Marks(np.full(1 << 9, 255, dtype=np.uint8), 12, 1, 40)
+    flat, rows = [], [x or [] for x in words.to_pylist()]
+    for row in rows:
+        flat += [(len(flat) + i, row[i:]) for i in range(len(row))]
+    found = {(n, i): v for n, at, values in matching.stretches(words, [1, 2, 5, 60], every) for i, v in zip(at.tolist(), values.tolist())}
+    assert set(found) == {(n, i) for i, rest in flat for n in (1, 2, 5) if len(rest) >= n}
+    numbers, sizes = matching._numbers(pa.array([flat[i][1][:n] for n, i in found], type=pa.list_(pa.int64())), 40)
+    assert numbers.tolist() == list(found.values()) and sizes.tolist() == [n for n, _ in found]
+    dealt = list(matching._dealt(iter([numbers, numbers[:5]]), 3, 40))
+    assert np.concatenate([x for batch in dealt for x in matching._lists(batch)]).tolist() == sorted(set(numbers.tolist()))
+
+
 def test_a_large_keyword_table_is_one_function(spark):
     """However many blocks, a worker runs one function over one compact table; keywords of every length, at both ends, over piece borders, and long ones."""
     rng = random.Random(8)
