@@ -7,6 +7,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
+from tideline.functions.expr import hash_normal
 from tideline.operators import graph, models, text, topics
 from tideline.operators.strategy import ensemble_signal
 from tideline.series import SeriesSpec
@@ -217,6 +218,27 @@ def test_topic_vocabulary_stays_a_table(spark, monkeypatch):
     assert topics.fit_topics(spark.createDataFrame(rows[:0], "keywords array<string>"), "keywords", 2, 2).words.count() == 0
 
 
+def test_topic_passes_store_bare_numbers(spark, monkeypatch):
+    """However many passes, words and their places are stored once; parts of the vocabulary and words without weights do not change the model."""
+    stored = []
+    monkeypatch.setattr(topics, "stage", lambda df, name, held=topics.stage, **options: (stored.append(df.schema), held(df, name, **options))[1])
+    rng = np.random.default_rng(4)
+    rows = [([f"w{w}" for w in rng.zipf(1.3, 25) % 300],) for _ in range(80)] + [([],), (["only"],)]
+    corpus = spark.createDataFrame(rows, "keywords array<string>").coalesce(1)
+    model = topics.fit_topics(corpus, "keywords", 3, 4, 2, block_words=150)
+    assert sum("string" in s.simpleString() for s in stored) <= 3
+    known = {w for w in {w for r in rows for w in r[0]} if sum(w in r[0] for r in rows) >= 2}
+    found = {r["word"]: r["lam"] for r in model.words.collect()}
+    assert set(found) == known and model.words.select("term").distinct().count() == len(known)
+    monkeypatch.setattr(topics, "_LEAST_PARTS", 1, raising=False)
+    whole = topics.fit_topics(corpus, "keywords", 3, 4, 2, block_words=150)
+    assert model.alpha == pytest.approx(whole.alpha) and {r["word"]: r["lam"] for r in whole.words.collect()} == {w: pytest.approx(v, rel=1e-4) for w, v in found.items()}
+    words = ["a", "né", "日本", "x|1"]
+    df = spark.createDataFrame([(w,) for w in words], "w string").coalesce(1)
+    normal = np.array([list(r) for r in df.select(*[hash_normal("w", F.lit(7), F.lit(t)) for t in range(3)]).collect()])
+    assert topics.draws(words, 3, 7) == pytest.approx((normal / 30 + (1 - 1 / 900)) ** 3)
+
+
 def test_blocks_of_the_neighbour_search_grow_with_the_rows(spark, monkeypatch):
     """Blocks follow the number of rows up to a largest size, whatever which the neighbours are the same; single precision stays."""
     rng = np.random.default_rng(9)
