@@ -251,3 +251,50 @@ def test_waiting_rows_are_kept_in_frames():
     expected = [None if (at // 1000 + 1) % 4 else str(at // 1000 - 1) for at in out[rolling._AT]]
     assert [None if pd.isna(v) else v for v in out["m_v"]] == expected
     assert len(processor.waiting) <= 2 and processor.handle.timers[-1] == 31
+
+
+def test_rows_of_a_key_cross_as_columns(spark, tmp_path, monkeypatch):
+    """Many rows of a key are two calls, not a step each: one takes them in as they came, one lets them go in pieces of bounded size; gaps and the last rows are kept."""
+    from pyspark.sql import types as T
+
+    live = spark.readStream.schema(SCHEMA).parquet(str(tmp_path))
+    plan = rolling.rolling_stream(live, ["source"], "ts", rolling.post_metrics_frame, rolling.POST_FIELDS, look_back=7, order=["id"])._jdf.queryExecution().analyzed().toString()
+    assert "TransformWithState" not in plan and "FlatMapGroupsInPandasWithState" in plan
+
+    class State:
+        exists, get, passed, timeout = False, None, 0, None
+
+        def getCurrentWatermarkMs(self):
+            return self.passed
+
+        def update(self, value):
+            self.exists, self.get = True, value
+
+        def remove(self):
+            self.exists = False
+
+        def setTimeoutTimestamp(self, at):
+            assert at >= self.passed
+            self.timeout = at
+
+    monkeypatch.setattr(rolling, "_OUT_ROWS", 700)
+    schema = T.StructType([T.StructField(c, T.DoubleType() if c == "sentiment" else T.LongType()) for c in
+                           ("id", "sentiment", "retweets", "likes", "replies", "shares", "followers_count", rolling._AT)])
+    out = T.StructType([*schema.fields, *rolling.POST_FIELDS, T.StructField("source", T.StringType())])
+    rows = pd.DataFrame({"id": range(5000), "sentiment": [None if i % 900 == 3 else i % 13 for i in range(5000)], "retweets": 1, "likes": [None if i == 4000 else 2 for i in range(5000)], "replies": 3, "shares": 4,
+                         "followers_count": 10, rolling._AT: [i // 2 * 1000 for i in range(5000)]})
+    shuffled, state = rows.sample(frac=1, random_state=1), State()
+    function = rolling.RollingRows(rolling.post_metrics_frame, schema, out, [rolling._AT, "id"], 7, 60_000, ["source"])
+    assert list(function(("a",), iter([shuffled[:3000], shuffled[3000:]]), state)) == [] and state.timeout == 1
+    state.passed = 2000
+    first = list(function(("a",), iter([]), state))
+    assert [len(f) for f in first] == [700] * 5 + [500] and state.timeout == 2000 and len(state.get[0]) < 100 * 1000
+    state.passed = 2500
+    found = pd.concat([*first, *function(("a",), iter([]), state)], ignore_index=True)
+    wanted = rolling.post_metrics_frame(rows)
+    assert found["id"].tolist() == rows["id"].tolist() and set(found["source"]) == {"a"} and found.columns.tolist() == out.names
+    for c in ("engagement_rate", "sentiment_trend", "sentiment_volatility"):
+        assert (found[c].isna() == wanted[c].isna()).all() and (found[c] - wanted[c]).abs().max() < 1e-9
+    assert state.exists and state.timeout == 2499 + 60_000
+    state.passed = 70_000
+    assert list(function(("a",), iter([]), state)) == [] and not state.exists
